@@ -10,8 +10,8 @@ CHUNK_SIZE, CHUNK_OVERLAP, MIN_CHUNK = 800, 100, 50
 BLANK_LINE = r"\n{2,}"
 # The characters counted as white space at the ends of a text.
 SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0            "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0 "
+    "               　"
 )
 
 

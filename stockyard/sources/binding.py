@@ -228,7 +228,9 @@ def order_items(spark: SparkSession, root: str) -> DataFrame:
     """Order items with numbers as text, as the order tables deliver them. Some lack a net total, some a product."""
     part = table(spark, root, "part").select("p_partkey", "p_name")
     line, key = F.col("l_linenumber"), F.col("l_orderkey")
-    net = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2)
+    # whole cents, so that the text does not hang on the last bit of a product
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long") * (100 - F.round(F.col("l_discount") * 100).cast("long"))
+    net = F.floor(cents / 100.0) / 100.0
     return (
         table(spark, root, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -232,7 +232,7 @@ def extract(
             start = lower_bound(mode, last, as_of, days)
             rows = scan(rows, entity.watermark, start)
     rows = normalise(rows).withColumn("_cdc_loaded_at", moment(as_of))
-    top = F.max(entity.watermark) if entity.watermark else F.lit(None).cast("timestamp_ntz")
+    top = F.max(entity.watermark if entity.watermark else F.lit(None).cast("timestamp_ntz"))
     seen = Observation(f"{entity.name}-{run_id}")
     observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), top.alias("top"))
     path = f"{bronze_root}/{entity.name}"
