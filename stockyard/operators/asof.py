@@ -16,9 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stockyard.functions.exprs import epoch
-
 BUCKET_SECONDS = 60
+ASK, HIT = 1, 2
 
 
 def first_after(
@@ -35,31 +34,30 @@ def first_after(
     NULL keys and NULL times never match. Every left row is kept, and none is repeated.
     """
 
-    def instants(df: DataFrame, time: str, is_hit: bool) -> DataFrame:
-        return df.select(
-            F.col(by).alias("_k"), F.col(time).alias("_t"),
-            F.lit(is_hit).alias("_hit"), F.lit(not is_hit).alias("_ask"),
-        ).where("_k is not null and _t is not null")
+    def instants(df: DataFrame, time: str, side: int) -> DataFrame:
+        return df.selectExpr(f"{by} as _k", f"{time} as _t", f"{side} as _side").where(
+            "_k is not null and _t is not null"
+        )
 
-    seconds = epoch("_t")
+    # one aggregate for both sides keeps the two uses of this frame alike, so they share its shuffle
     points = (
-        instants(left, left_time, False)
-        .unionByName(instants(right, right_time, True))
+        instants(left, left_time, ASK)
+        .unionByName(instants(right, right_time, HIT))
         .groupBy("_k", "_t")
-        .agg(F.bool_or("_hit").alias("_hit"), F.bool_or("_ask").alias("_ask"))
-        .withColumn("_b", seconds - F.pmod(seconds, F.lit(bucket_seconds)))
+        .agg(F.expr("bit_or(_side) as _side"))
+        .selectExpr("*", f"unix_timestamp(_t) - pmod(unix_timestamp(_t), {bucket_seconds}) as _b")
     )
-    hit_time = F.when(F.col("_hit"), F.col("_t"))
+    hit_time = F.expr(f"if(_side <> {ASK}, _t, null)")
 
     later_here = (
-        Window.partitionBy("_k", "_b").orderBy(F.col("_t").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_k", "_b").orderBy(F.desc("_t")).rowsBetween(Window.unboundedPreceding, -1)
     )
-    near = points.withColumn("_near", F.min(hit_time).over(later_here)).where("_ask").select("_k", "_b", "_t", "_near")
+    near = points.withColumn("_near", F.min(hit_time).over(later_here)).where(f"_side <> {HIT}")
 
-    later_buckets = Window.partitionBy("_k").orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    later_buckets = Window.partitionBy("_k").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     far = (
         points.groupBy("_k", "_b")
-        .agg(F.min(hit_time).alias("_first"), F.bool_or("_ask").alias("_ask"))
+        .agg(F.min(hit_time).alias("_first"), F.expr(f"bool_or(_side <> {HIT}) as _ask"))
         .withColumn("_far", F.min("_first").over(later_buckets))
         .where("_ask and _far is not null")
         .select("_k", "_b", "_far")
@@ -67,8 +65,8 @@ def first_after(
 
     found = (
         near.join(far, ["_k", "_b"], "left")
-        .select("_k", "_t", F.coalesce("_near", "_far").alias(out))
-        .where(F.col(out).isNotNull())
+        .selectExpr("_k", "_t", f"coalesce(_near, _far) as {out}")
+        .where(f"{out} is not null")
     )
-    on = (left[by] == found["_k"]) & (left[left_time] == found["_t"])
-    return left.join(found, on, "left").select(*[left[c] for c in left.columns], found[out])
+    on = F.expr(f"{by} = _k and {left_time} = _t")
+    return left.join(found, on, "left").drop("_k", "_t")

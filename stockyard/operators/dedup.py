@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
@@ -19,10 +19,10 @@ def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one row per key. The remaining columns break ties, so a recomputed task picks the same survivor."""
     rest = [c for c in df.columns if c not in keys]
-    return _keep_first(df, keys, [F.col(c) for c in rest] or [F.col(k) for k in keys])
+    return _keep_first(df, keys, rest or list(keys))
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
     """Keep the row with the newest timestamp per key; NULL timestamps lose, the other columns break ties."""
     rest = [c for c in df.columns if c not in keys and c != newest_by]
-    return _keep_first(df, keys, [F.col(newest_by).desc_nulls_last(), *[F.col(c) for c in rest]])
+    return _keep_first(df, keys, [F.col(newest_by).desc_nulls_last(), *rest])

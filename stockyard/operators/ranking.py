@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 
@@ -13,12 +11,12 @@ def rank_desc(df: DataFrame, by: list[str], measure: str, out: str) -> DataFrame
     The window runs over one row per distinct measure value, so a group holding a third of all rows only costs as
     many rows as it has different values. Each row then looks its value up. The measure must not be NULL.
     """
-    above = Window.partitionBy(*by).orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*by).orderBy(F.desc(measure)).rowsBetween(Window.unboundedPreceding, -1)
     keys = [*by, measure]
     ranks = (
         df.groupBy(*keys).agg(F.count("*").alias("_n"))
-        .select(*[F.col(k).alias(f"_{k}") for k in keys],
-                (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(out))
+        .withColumn(out, F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1)
+        .selectExpr(*[f"{k} as _{k}" for k in keys], out)
     )
-    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(ranks[f"_{k}"]) for k in keys])
-    return df.join(ranks, on, "left").select(*[df[c] for c in df.columns], ranks[out])
+    on = F.expr(" and ".join(f"{k} <=> _{k}" for k in keys))
+    return df.join(ranks, on, "left").drop(*[f"_{k}" for k in keys])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from stockyard.operators.dedup import dedup_any
 
@@ -46,22 +46,23 @@ MOVEMENT_COLUMNS = [
 ]
 
 
-def rename_and_cast(df: DataFrame, columns: list[tuple[str, str, str]], lenient: bool = False) -> DataFrame:
-    """Typed projection. A bad value raises; ``lenient`` turns it into NULL instead."""
+def _typed(columns: list[tuple[str, str, str]], lenient: bool) -> list[str]:
+    cast = "try_cast" if lenient else "cast"
+    return [f"{cast}({source} as {dtype}) as {name}" for name, source, dtype in columns]
 
-    def typed(source: str, dtype: str) -> Column:
-        return F.col(source).try_cast(dtype) if lenient else F.col(source).cast(dtype)
 
-    return df.select(*[typed(source, dtype).alias(name) for name, source, dtype in columns])
+def rename_and_cast(df: DataFrame, columns: list[tuple[str, str, str]], lenient: bool = False) -> DataFrame:
+    """Typed projection. A bad value raises; ``lenient`` turns it into NULL instead."""
+    return df.selectExpr(*_typed(columns, lenient))
 
 
 def project_movements(bronze: DataFrame, lenient: bool = False) -> DataFrame:
     """Typed movements with the signed quantity, not de-duplicated."""
-    typed = rename_and_cast(bronze, MOVEMENT_COLUMNS, lenient)
-    delta = (F.col("qty_after") - F.col("qty_before")).alias("qty_delta")
     names = [name for name, _, _ in MOVEMENT_COLUMNS]
     cut = names.index("qty_after") + 1
-    return typed.select(*names[:cut], delta, *names[cut:])
+    return rename_and_cast(bronze, MOVEMENT_COLUMNS, lenient).selectExpr(
+        *names[:cut], "qty_after - qty_before as qty_delta", *names[cut:]
+    )
 
 
 def stg_orders(bronze: DataFrame, lenient: bool = False) -> DataFrame:

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # call sites per column expression cost a driver round trip each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
