@@ -138,7 +138,7 @@ def normalise(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, T.TimestampType):
-            c = F.convert_timezone(F.lit("UTC"), c.cast("timestamp_ntz"), sourceTz=F.current_timezone())
+            c = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("timestamp_ntz")
         return c.alias(f.name)
