@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 CHUNK_SIZE, CHUNK_OVERLAP, MIN_CHUNK = 800, 100, 50
@@ -89,27 +92,37 @@ def index_documents(docs: DataFrame, path_column: str, text_column: str, **optio
     )
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two vectors in double precision; NULL when either has no length."""
+def cosine_to(query: Sequence[float]):
+    """A column function giving the cosine of each vector to ``query``, in double precision.
 
-    def dot(x: Column, y: Column) -> Column:
-        products = F.zip_with(x, y, lambda u, v: u.cast("double") * v.cast("double"))
-        return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+    Vectors arrive as Arrow batches and are scored as one matrix product. A vector that is NULL, has another length
+    or no magnitude has no score.
+    """
+    target = np.asarray(query, dtype="float64")
+    target = target / np.linalg.norm(target)
+
+    @F.arrow_udf("double")
+    def score(vectors: pa.Array) -> pa.Array:
+        fits = pc.fill_null(pc.equal(pc.list_value_length(vectors), len(target)), False)
+        matrix = vectors.filter(fits).flatten().to_numpy(zero_copy_only=False).astype("float64")
+        matrix = matrix.reshape(-1, len(target))
+        scores = np.full(len(vectors), np.nan)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            scores[np.asarray(fits)] = (matrix @ target) / np.linalg.norm(matrix, axis=1)
+        return pa.array(scores, mask=~np.isfinite(scores))
 
-    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return dot(a, b) / F.nullif(norm, F.lit(0.0))
+    return score
 
 
 def cosine_topk(
-    vectors: DataFrame, query: Sequence[float] | Column, k: int = 5, id_column: str = "vec_id",
-    vector_column: str = "embedding",
+    vectors: DataFrame, query: Sequence[float], k: int = 5, vector_column: str = "embedding",
+    id_column: str = "vec_id",
 ) -> DataFrame:
     """The ``k`` vectors nearest to one query, best first, with all their columns as payload.
 
     Every task keeps its own best ``k`` and only those meet, so the scan is the whole cost.
     """
-    q = query if isinstance(query, Column) else F.array(*[F.lit(float(x)) for x in query])
     return (
-        vectors.withColumn("score", cosine(F.col(vector_column), q))
-        .orderBy(F.desc_nulls_last("score"), id_column).limit(k)
+        vectors.withColumn("score", cosine_to(query)(vector_column)).where("score is not null")
+        .orderBy(F.desc("score"), id_column).limit(k)
     )

@@ -141,7 +141,7 @@ def _documents(lake: Layers) -> DataFrame:
 
 def _cosine(lake: Layers) -> DataFrame:
     vectors = binding.table(lake.spark, lake.root, "embeddings")
-    query = vectors.orderBy("vec_id").limit(1).select("embedding").scalar()
+    query = vectors.orderBy("vec_id").select("embedding").first()[0]  # the question: one vector
     return docs.cosine_topk(vectors, query).select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
