@@ -7,7 +7,9 @@ with row-level operations does this better; ``merge_into`` uses it where the cat
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -128,15 +130,46 @@ def _refuse_duplicates(new: DataFrame, keys: Sequence[str], null_safe: bool) ->
         raise MergeError(f"key appears more than once: {twice.asDict()}")
 
 
+@contextmanager
+def _staged(new: DataFrame, path: str):
+    """The rows to merge, computed once and written beside the table, so that the key check and the merge read them
+    back instead of computing them again."""
+    spark = new.sparkSession
+    folder = f"{path}/_new-{uuid.uuid4().hex}"
+    new.write.parquet(folder)
+    try:
+        yield spark.read.schema(new.schema).parquet(folder)
+    finally:
+        fs, _, hadoop = _folder(spark, path)
+        fs.delete(hadoop.Path(folder), True)
+
+
+def create(df: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True, partition_by: Sequence[str] = ()) -> int:
+    """Write the next version, look for repeated keys in what was written, and only then publish it."""
+    spark = df.sparkSession
+    found = versions(spark, path)
+    n = found[-1] + 1 if found else 1
+    target = _version_path(path, n)
+    (
+        df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        .partitionBy(*partition_by).parquet(target)
+    )
+    _refuse_duplicates(spark.read.schema(df.schema).parquet(target), keys, null_safe)
+    fs, _, hadoop = _folder(spark, path)
+    fs.create(hadoop.Path(f"{target}/_SUCCESS")).close()
+    return n
+
+
 def merge_by_key(
     spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True,
     partition_by: Sequence[str] = (),
 ) -> int:
     """Update the rows whose key exists, insert the others, and publish the result as the next version."""
-    _refuse_duplicates(new, keys, null_safe)
     if not exists(spark, path):
-        return overwrite(new, path, partition_by)
-    return overwrite(merged(read(spark, path), new, keys, null_safe), path, partition_by)
+        return create(new, path, keys, null_safe, partition_by)
+    with _staged(new, path) as rows:
+        _refuse_duplicates(rows, keys, null_safe)
+        return overwrite(merged(read(spark, path), rows, keys, null_safe), path, partition_by)
 
 
 def merge_partitions(
@@ -151,19 +184,20 @@ def merge_partitions(
     if partition not in keys:
         raise ValueError(f"{partition} is not part of the key")
     if not exists(spark, path):
-        return merge_by_key(spark, new, path, keys, null_safe, [partition])
-    _refuse_duplicates(new, keys, null_safe)
-    n = versions(spark, path)[-1]
-    touched = new.select(F.col(partition).alias("_p")).distinct()
-    stored = read(spark, path)
-    # the folder names carry the partition values as text, so the type comes from the new rows
-    stored = stored.withColumn(partition, F.col(partition).cast(new.schema[partition].dataType))
-    affected = stored.join(touched, stored[partition].eqNullSafe(touched["_p"]), "left_semi")
-    result = merged(affected, new, keys, null_safe)
-    (
-        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
-        .parquet(_version_path(path, n))
-    )
+        return create(new, path, keys, null_safe, [partition])
+    with _staged(new, path) as rows:
+        _refuse_duplicates(rows, keys, null_safe)
+        n = versions(spark, path)[-1]
+        touched = rows.select(F.col(partition).alias("_p")).distinct()
+        stored = read(spark, path)
+        # the folder names carry the partition values as text, so the type comes from the new rows
+        stored = stored.withColumn(partition, F.col(partition).cast(new.schema[partition].dataType))
+        affected = stored.join(touched, stored[partition].eqNullSafe(touched["_p"]), "left_semi")
+        (
+            merged(affected, rows, keys, null_safe)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+            .parquet(_version_path(path, n))
+        )
     return n
 
 
@@ -198,6 +232,6 @@ def materialize(
     is strict, so a day or month that was stored once is not opened again unless ``lookback`` reaches back over it.
     """
     if full_refresh:
-        return overwrite(build(None), path)
+        return create(build(None), path, keys, null_safe)
     since = high_water(spark, path, high_water_column, lookback) if high_water_column else None
     return merge_by_key(spark, build(since), path, keys, null_safe)
