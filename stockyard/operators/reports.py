@@ -471,12 +471,21 @@ def estimated_total(items: DataFrame) -> DataFrame:
 
 
 def estimated_by_product(items: DataFrame, limit: int | None = 10) -> DataFrame:
-    """Estimated revenue per product, largest first. Items without product share one group."""
+    """Estimated revenue per product, largest first. Items without product share one group.
+
+    Amounts are summed per product and description first: with text only in the keys that step hashes its rows, and
+    the step that picks a description sees few of them.
+    """
     key = F.coalesce(F.nullif("cdproduto", F.lit("")), F.lit("SEM_PRODUTO"))
+    described = (
+        _estimated(items).groupBy(key.alias("product_key"), "cdproduto", "dsproduto")
+        .agg(F.expr("sum(cast(_quantity as decimal(28,6))) as _q"), F.expr("sum(cast(_value as decimal(28,6))) as _v"))
+    )
     out = (
-        _estimated(items).groupBy(key.alias("product_key"))
+        described.groupBy("product_key")
         .agg(F.min("cdproduto").alias("cdproduto"), F.min("dsproduto").alias("dsproduto"),
-             F.round(_exact(F.col("_quantity")), 2).alias("quantity"), F.round(_exact(F.col("_value")), 2).alias("revenue"))
+             F.expr("round(cast(sum(_q) as double), 2) as quantity"),
+             F.expr("round(cast(sum(_v) as double), 2) as revenue"))
         .orderBy(F.desc("revenue"), "product_key")
     )
     return out.limit(limit) if limit else out

@@ -49,6 +49,11 @@ class Model:
     build: Callable[[Warehouse, datetime | None], DataFrame]
     high_water: str | None = None
 
+    @property
+    def partition(self) -> str | None:
+        """A mart grouped by its high-water date is stored by that date, so that a run only writes new dates."""
+        return self.high_water if self.high_water in self.keys else None
+
 
 FACTS = [
     Model("fct_orders", ("order_id",),
@@ -101,7 +106,7 @@ def build_gold(
         try:
             tables.materialize(
                 spark, path, model.keys, lambda since: model.build(warehouse, since), model.high_water, lookback,
-                full_refresh,
+                full_refresh, partition=model.partition,
             )
             state, rows = "success", tables.read(spark, path).count()
         except Exception:  # noqa: BLE001 - the state is reported, the other models go on

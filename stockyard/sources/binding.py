@@ -50,48 +50,42 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     ])
 
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(hours=n.cast("int"))
-
-
 def _one_of(values: list, index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
 def orders(spark: SparkSession, root: str) -> DataFrame:
-    key = F.col("o_orderkey")
     customer = table(spark, root, "customer").select("c_custkey", "c_nationkey")
-    df = table(spark, root, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.lit("1").alias("sequenciadocumento"),
-        _text(key).alias("numerodocumento"),
-        F.lit("1").alias("seriedocumento"),
-        F.col("o_orderpriority").alias("tipodocumento"),
-        _text("c_nationkey").alias("codigoempresa"),
-        _text("o_custkey").alias("codigodepositante"),
-        F.col("o_orderdate").alias("dataemissao"),
-        F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + _hours(key % 97)).alias("dataentrega"),
-        F.col("o_totalprice").alias("valortotaldocumento"),
-        _text(key).alias("sequenciaintegracao"),
-        (F.col("o_orderdate") + _hours(F.lit(1))).alias("_cdc_loaded_at"),
+    df = table(spark, root, "orders").join(customer, F.expr("o_custkey = c_custkey")).selectExpr(
+        "'1' as sequenciadocumento",
+        "o_orderkey as numerodocumento",
+        "'1' as seriedocumento",
+        "o_orderpriority as tipodocumento",
+        "c_nationkey as codigoempresa",
+        "o_custkey as codigodepositante",
+        "o_orderdate as dataemissao",
+        "if(o_orderstatus = 'F', o_orderdate + make_dt_interval(0, cast(o_orderkey % 97 as int)), null) as dataentrega",
+        "o_totalprice as valortotaldocumento",
+        "o_orderkey as sequenciaintegracao",
+        "o_orderdate + interval '1' hour as _cdc_loaded_at",
     )
     return _conform(df, ORDERS)
 
 
 def movements(spark: SparkSession, root: str) -> DataFrame:
     """Operator movements, one per event."""
-    size = F.ceil("value").cast("int")
-    outbound = F.col("event_type").isin("purchase", "click", "error")
-    df = table(spark, root, "events").select(
-        _text("event_id").alias("sequenciamovimento"),
-        F.get_json_object("props", "$.k").alias("codigoproduto"),
-        _text(F.col("user_id") % 7).alias("codigoestabelecimento"),
-        F.when(outbound, size).otherwise(0).alias("quantidadeanterior"),
-        F.when(outbound, 0).otherwise(size).alias("quantidadeatual"),
-        F.col("ts").alias("datamovimento"),
-        F.lit("1").alias("estadomovimento"),
-        _text("user_id").alias("usuario"),
-        F.col("event_type").alias("observacao"),
-        F.col("ts").alias("_cdc_loaded_at"),
+    leaves = "event_type in ('purchase', 'click', 'error')"
+    df = table(spark, root, "events").selectExpr(
+        "event_id as sequenciamovimento",
+        "get_json_object(props, '$.k') as codigoproduto",
+        "user_id % 7 as codigoestabelecimento",
+        f"if({leaves}, ceil(value), 0) as quantidadeanterior",
+        f"if({leaves}, 0, ceil(value)) as quantidadeatual",
+        "ts as datamovimento",
+        "'1' as estadomovimento",
+        "user_id as usuario",
+        "event_type as observacao",
+        "ts as _cdc_loaded_at",
     )
     return _conform(df, MOVEMENTS)
 
@@ -99,48 +93,43 @@ def movements(spark: SparkSession, root: str) -> DataFrame:
 def outbound(spark: SparkSession, root: str) -> DataFrame:
     """Depositor movements, one per order line; keys repeat, so this table also shows de-duplication."""
     owner = table(spark, root, "orders").select("o_orderkey", "o_custkey")
-    quantity, shipped = F.col("l_quantity").cast("int"), F.col("l_linestatus") == "F"
-    df = table(spark, root, "lineitem").join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sequenciamovimento"),
-        _text("l_partkey").alias("codigoproduto"),
-        _text("l_suppkey").alias("codigoestabelecimento"),
-        _text("o_custkey").alias("codigodepositante"),
-        F.when(shipped, quantity).otherwise(0).alias("quantidadeanterior"),
-        F.when(shipped, 0).otherwise(quantity).alias("quantidadeatual"),
-        F.col("l_shipdate").alias("datamovimento"),
-        F.when(shipped, "8").otherwise("1").alias("estadomovimento"),
-        F.col("l_returnflag").alias("observacao"),
-        F.col("l_shipdate").alias("_cdc_loaded_at"),
+    df = table(spark, root, "lineitem").join(owner, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber) as sequenciamovimento",
+        "l_partkey as codigoproduto",
+        "l_suppkey as codigoestabelecimento",
+        "o_custkey as codigodepositante",
+        "if(l_linestatus = 'F', l_quantity, 0) as quantidadeanterior",
+        "if(l_linestatus = 'F', 0, l_quantity) as quantidadeatual",
+        "l_shipdate as datamovimento",
+        "if(l_linestatus = 'F', '8', '1') as estadomovimento",
+        "l_returnflag as observacao",
+        "l_shipdate as _cdc_loaded_at",
     )
     return _conform(df, MOVEMENTS)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     part = table(spark, root, "part").select("p_partkey", "p_type")
-    ideal, key = F.col("_ideal"), F.col("l_partkey")
-    daily = F.floor(ideal * 10000.0 / (F.col("_n") * (key % 25 + 1))) / 10000.0
     df = (
         table(spark, root, "lineitem")
         .groupBy("l_partkey", "l_suppkey")
         .agg(
-            F.sum(F.col("l_quantity").cast("long")).alias("_ideal"),
-            F.min("l_quantity").alias("_least"),
-            F.count("*").alias("_n"),
-            F.max("l_shipdate").alias("_cdc_loaded_at"),
+            F.expr("sum(cast(l_quantity as bigint)) as ideal"), F.min("l_quantity").alias("least"),
+            F.count("*").alias("n"), F.max("l_shipdate").alias("_cdc_loaded_at"),
         )
-        .join(part, key == F.col("p_partkey"))
-        .select(
-            F.concat_ws("-", "l_partkey", "l_suppkey").alias("sequenciaestoque"),
-            _text("l_partkey").alias("codigoproduto"),
-            _text("l_suppkey").alias("codigoestabelecimento"),
-            _text(F.col("l_suppkey") % 5).alias("codigoempresa"),
-            ideal.alias("estoqueideal"),
-            F.col("_least").alias("estoqueminimo"),
-            (ideal * 2).alias("estoquemaximo"),
-            F.floor(ideal * 0.15).alias("estoqueseguranca"),
-            F.floor(ideal * 0.25).alias("pontoreposicao"),
-            F.when(key % 11 == 0, 0.0).otherwise(daily).alias("consumomedio"),
-            F.col("p_type").alias("classeproduto"),
+        .join(part, F.expr("l_partkey = p_partkey"))
+        .selectExpr(
+            "concat_ws('-', l_partkey, l_suppkey) as sequenciaestoque",
+            "l_partkey as codigoproduto",
+            "l_suppkey as codigoestabelecimento",
+            "l_suppkey % 5 as codigoempresa",
+            "ideal as estoqueideal",
+            "least as estoqueminimo",
+            "ideal * 2 as estoquemaximo",
+            "floor(ideal * 0.15D) as estoqueseguranca",
+            "floor(ideal * 0.25D) as pontoreposicao",
+            "if(l_partkey % 11 = 0, 0D, floor(ideal * 10000D / (n * (l_partkey % 25 + 1))) / 10000D) as consumomedio",
+            "p_type as classeproduto",
             "_cdc_loaded_at",
         )
     )

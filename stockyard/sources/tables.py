@@ -16,6 +16,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+# Folder column of a partitioned table: the text of the partitioning column, which itself stays in the files with its
+# own type. The letter in front keeps it from being read back as a date or number.
+PART = "part_key"
+
+
+def _with_part(df: DataFrame, column: str | None) -> DataFrame:
+    if column is None:
+        return df
+    return df.withColumn(PART, F.concat(F.lit("p"), F.coalesce(F.col(column).cast("string"), F.lit("-"))))
+
+
 class MergeError(ValueError):
     """The rows to merge hold a key twice."""
 
@@ -44,13 +55,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(versions(spark, path))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def _stored(spark: SparkSession, path: str) -> DataFrame:
     found = versions(spark, path)
     if not found:
         raise FileNotFoundError(path)
     return spark.read.parquet(_version_path(path, found[-1]))
 
 
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path).drop(PART)
+
+
 def optional_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty relation of the same type where it does not exist."""
     return read(spark, path) if exists(spark, path) else spark.createDataFrame([], schema)
@@ -144,58 +159,54 @@ def _staged(new: DataFrame, path: str):
         fs.delete(hadoop.Path(folder), True)
 
 
-def create(df: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True, partition_by: Sequence[str] = ()) -> int:
+def create(
+    df: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True, partition: str | None = None,
+) -> int:
     """Write the next version, look for repeated keys in what was written, and only then publish it."""
     spark = df.sparkSession
     found = versions(spark, path)
     n = found[-1] + 1 if found else 1
     target = _version_path(path, n)
-    (
-        df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-        .partitionBy(*partition_by).parquet(target)
-    )
+    writer = _with_part(df, partition).write.mode("overwrite")
+    if partition:
+        writer = writer.partitionBy(PART)
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
     _refuse_duplicates(spark.read.schema(df.schema).parquet(target), keys, null_safe)
     fs, _, hadoop = _folder(spark, path)
     fs.create(hadoop.Path(f"{target}/_SUCCESS")).close()
     return n
 
 
-def merge_by_key(
-    spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True,
-    partition_by: Sequence[str] = (),
-) -> int:
+def merge_by_key(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True) -> int:
     """Update the rows whose key exists, insert the others, and publish the result as the next version."""
     if not exists(spark, path):
-        return create(new, path, keys, null_safe, partition_by)
+        return create(new, path, keys, null_safe)
     with _staged(new, path) as rows:
         _refuse_duplicates(rows, keys, null_safe)
-        return overwrite(merged(read(spark, path), rows, keys, null_safe), path, partition_by)
+        return overwrite(merged(read(spark, path), rows, keys, null_safe), path)
 
 
 def merge_partitions(
     spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], partition: str, null_safe: bool = True,
 ) -> int:
-    """Key merge that rewrites only the partitions the new rows fall into.
+    """Key merge that reads and rewrites only the partitions the new rows fall into.
 
-    ``partition`` must be one of the keys, so that a row cannot move between partitions. Untouched partitions are
-    neither read nor written: the semi-join on the partition column prunes them at run time, and the dynamic
-    overwrite replaces only partitions it receives rows for.
+    ``partition`` must be one of the keys, so that a row cannot move between partitions. The driver sees the names of
+    the touched folders, never rows. Each folder is replaced on commit, so a run lost during the commit is repeated;
+    the merge gives the same result again.
     """
     if partition not in keys:
         raise ValueError(f"{partition} is not part of the key")
     if not exists(spark, path):
-        return create(new, path, keys, null_safe, [partition])
+        return create(new, path, keys, null_safe, partition)
     with _staged(new, path) as rows:
         _refuse_duplicates(rows, keys, null_safe)
         n = versions(spark, path)[-1]
-        touched = rows.select(F.col(partition).alias("_p")).distinct()
-        stored = read(spark, path)
-        # the folder names carry the partition values as text, so the type comes from the new rows
-        stored = stored.withColumn(partition, F.col(partition).cast(new.schema[partition].dataType))
-        affected = stored.join(touched, stored[partition].eqNullSafe(touched["_p"]), "left_semi")
+        touched = [row[0] for row in _with_part(rows, partition).select(PART).distinct().collect()]
+        affected = _stored(spark, path).where(F.col(PART).isin(touched)).drop(PART)
         (
-            merged(affected, rows, keys, null_safe)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+            _with_part(merged(affected, rows, keys, null_safe), partition)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART)
             .parquet(_version_path(path, n))
         )
     return n
@@ -225,13 +236,17 @@ def materialize(
     lookback: timedelta = timedelta(0),
     full_refresh: bool = False,
     null_safe: bool = True,
+    partition: str | None = None,
 ) -> int:
     """Build a gold table and merge it by key.
 
     ``build`` receives the stored high-water mark, or ``None`` for everything, and applies it to its inputs. The mark
     is strict, so a day or month that was stored once is not opened again unless ``lookback`` reaches back over it.
+    With a ``partition`` column the merge touches only the partitions that receive rows.
     """
     if full_refresh:
-        return create(build(None), path, keys, null_safe)
+        return create(build(None), path, keys, null_safe, partition)
     since = high_water(spark, path, high_water_column, lookback) if high_water_column else None
+    if partition:
+        return merge_partitions(spark, build(since), path, keys, partition, null_safe)
     return merge_by_key(spark, build(since), path, keys, null_safe)

@@ -42,9 +42,8 @@ def rows_of(columns, rows):
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-def compare(spark, con, root, build, sql):
+def compare(df, con, sql):
     """None if both give the same columns and values, else a description of the difference."""
-    df = build(spark, root)
     mine = rows_of(df.columns, df.collect())
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]

@@ -5,7 +5,6 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from stockyard.operators.asof import first_after
 from stockyard.operators.ranking import rank_desc
@@ -40,16 +39,6 @@ def test_first_after(spark, seed, span_seconds, micros):
     assert {r.id: r.next for r in got} == want
 
 
-def test_no_group_is_larger_than_a_minute(spark):
-    """The plan windows by key and minute, and by key only over one row per minute."""
-    df = spark.range(100).select(
-        F.lit("hot").alias("k"), (F.lit(T0.isoformat(sep=" ")).cast("timestamp_ntz")).alias("at"), "id"
-    )
-    hits = df.select("k", F.col("at").alias("seen"))
-    plan = first_after(df, hits, "k", "at", "seen", "next")._jdf.queryExecution().optimizedPlan().toString()
-    assert "CartesianProduct" not in plan and "collect" not in plan
-
-
 def test_rank_desc(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice(["a", None, "b"]), rng.randrange(6)) for i in range(200)]

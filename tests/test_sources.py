@@ -65,10 +65,15 @@ def test_merge_partitions_rewrites_only_what_it_touches(spark, path, tmp_path):
     tables.merge_partitions(
         spark, spark.createDataFrame([(d1, "a", 1), (d2, "a", 2), (d2, "b", 3)], schema), path, ["d", "k"], "d"
     )
-    kept = sorted(p.name for p in (tmp_path / "table" / "v00000001" / "d=2024-01-01").glob("*.parquet"))
+    untouched = tmp_path / "table" / "v00000001" / f"{tables.PART}=p2024-01-01"
+    kept = sorted(p.name for p in untouched.glob("*.parquet"))
     tables.merge_partitions(spark, spark.createDataFrame([(d2, "b", 30)], schema), path, ["d", "k"], "d")
-    assert content(tables.read(spark, path).select("d", "k", "v")) == [(d1, "a", 1), (d2, "a", 2), (d2, "b", 30)]
-    assert kept == sorted(p.name for p in (tmp_path / "table" / "v00000001" / "d=2024-01-01").glob("*.parquet"))
+    assert content(tables.read(spark, path)) == [(d1, "a", 1), (d2, "a", 2), (d2, "b", 30)]
+    assert kept and kept == sorted(p.name for p in untouched.glob("*.parquet"))
+    null_day = spark.createDataFrame([(None, "n", 1)], schema)
+    for _ in range(2):
+        tables.merge_partitions(spark, null_day, path, ["d", "k"], "d")
+    assert tables.read(spark, path).where("d is null").count() == 1 and tables.read(spark, path).count() == 4
     with pytest.raises(ValueError):
         tables.merge_partitions(spark, spark.createDataFrame([(d2, "b", 30)], schema), path, ["k"], "d")
 
@@ -118,6 +123,19 @@ def test_materialize(spark, path):
     assert counts() == {5: 1}
 
 
+def test_materialize_by_partition(spark, path):
+    rows = [("op", "W", "p", -1, datetime(2024, 3, d, 8)) for d in (1, 2, 2)]
+    movements = spark.createDataFrame(rows, MOVES)
+    for _ in range(2):
+        tables.materialize(
+            spark, path, KEY, lambda since: marts.operator_productivity(movements, since), "period_date",
+            lookback=timedelta(days=1), partition="period_date",
+        )
+    stored = tables.read(spark, path)
+    assert dict(stored.dtypes)["period_date"] == "timestamp_ntz" and tables.versions(spark, path) == [1]
+    assert {r.period_date.day: r.movement_count for r in stored.collect()} == {1: 1, 2: 2}
+
+
 def test_empty_target_has_no_bound(spark, path):
     tables.overwrite(spark.createDataFrame([], "period_date timestamp_ntz"), path)
     assert tables.high_water(spark, path, "period_date") is None
