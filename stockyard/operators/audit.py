@@ -195,6 +195,26 @@ def recency(tables: dict[str, tuple[DataFrame, str]], as_of: datetime, max_days:
     return rows.select("*", age.alias("age_days"), status.alias("status"))
 
 
+def freshness_summary(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows and newest value of one column per table, across the layers."""
+    return _stack([
+        df.agg(F.count("*").alias("row_count"), F.max(F.col(at).cast("timestamp_ntz")).alias("latest"))
+        .select(F.lit(label).alias("label"), "row_count", "latest")
+        for label, (df, at) in tables.items()
+    ])
+
+
+def silver_metrics(entity: str, bronze: DataFrame, key: str, run_id: str) -> DataFrame:
+    """Rows in, rows out and rows dropped as duplicates of one silver step."""
+    per_key = bronze.groupBy(key).agg(F.count("*").alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_read"), F.count("*").alias("rows_written"),
+    ).select(
+        F.lit(entity).alias("entity"), "rows_read", "rows_written",
+        (F.col("rows_read") - F.col("rows_written")).alias("rows_deduplicated"), F.lit(run_id).alias("run_id"),
+    )
+
+
 def date_profile(df: DataFrame, first: str, second: str) -> DataFrame:
     """Range and gaps of two date columns and of the first one present."""
     either = F.coalesce(first, second)

@@ -12,7 +12,7 @@ from stockyard.functions.fixed import uf_of_ibge_code
 from stockyard.operators import audit, churn, dedup, docs, enrich, marts, quality, reports, staging
 from stockyard.operators.asof import first_after
 from stockyard.plans.layers import EVENTS_AS_OF, ORDERS_AS_OF, Layers
-from stockyard.sources import binding, extract, tables
+from stockyard.sources import binding, extract, sinks, tables
 
 BEFORE = (date(2001, 1, 1), date(2001, 4, 1))
 AFTER = (date(2001, 4, 1), date(2001, 5, 1))
@@ -193,6 +193,17 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "mart_counts": lambda k: audit.table_counts(_gold(k, [g for g in GOLD if g.startswith("mart_")])),
     "freshness": _freshness,
     "recency": _recency,
+    "freshness_summary": lambda k: audit.freshness_summary({
+        "orders_bronze": (k.bronze("orders"), "_cdc_loaded_at"),
+        "movements_bronze": (k.bronze("movements"), "_cdc_loaded_at"),
+        "orders_gold": (k.fct_orders, "issued_at"), "movements_gold": (k.fct_movements, "movement_date"),
+        "mart_sla": (k.mart_order_sla, "issued_at"),
+    }),
+    "silver_metrics": lambda k: audit.silver_metrics("movements", k.bronze("outbound"), "sequenciamovimento", "run-1"),
+    "gold_counts": lambda k: audit.table_counts(_gold(k, [
+        "fct_orders", "fct_movements", "dim_products", "mart_order_sla", "mart_operator_productivity",
+        "mart_picking_performance", "mart_stockout_risk", "mart_inventory_health", "mart_geo_performance",
+    ])),
     "date_profile": lambda k: audit.date_profile(k.fct_orders, "delivered_at", "issued_at"),
     "pending_alarm": lambda k: audit.pending_alarm(k.mart_order_sla, share=0.05, days=3),
     "lost_clients": lambda k: churn.lost_clients(k.mart_order_sla, BEFORE, AFTER),
@@ -242,6 +253,9 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "estimated_total": lambda k: reports.estimated_total(k.bronze("order_items")),
     "estimated_by_product": lambda k: reports.estimated_by_product(k.bronze("order_items")),
     "estimated_by_order": lambda k: reports.estimated_by_order(k.bronze("order_items")),
+    "revenue_file": lambda k: sinks.revenue_file(reports.revenue_by_day(k.fct_orders)),
+    "product_file": lambda k: sinks.product_file(reports.estimated_by_product(k.bronze("order_items"), limit=None)),
+    "order_file": lambda k: sinks.order_file(reports.estimated_by_order(k.bronze("order_items"), limit=None)),
     "orders_per_day": lambda k: reports.orders_per_day(k.bronze("order_headers")),
     "merge_incremental": _merge_incremental,
     "watermark_scan": lambda k: _watermark_scan(k).select(

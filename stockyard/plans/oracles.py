@@ -438,6 +438,26 @@ SQL = {
                     ELSE 'STALE' END AS status
         FROM (SELECT 'fct_orders' AS table_name, MAX(issued_at) AS latest, COUNT(*) AS row_count FROM fct_orders
               UNION ALL SELECT 'fct_movements', MAX(movement_date), COUNT(*) FROM fct_movements)""",
+    "freshness_summary": """
+        SELECT 'orders_bronze' AS label, COUNT(*) AS row_count, MAX(issued_at) + INTERVAL 1 HOUR AS latest
+        FROM fct_orders
+        UNION ALL SELECT 'movements_bronze', COUNT(*), MAX(ts) FROM events
+        UNION ALL SELECT 'orders_gold', COUNT(*), MAX(issued_at) FROM fct_orders
+        UNION ALL SELECT 'movements_gold', COUNT(*), MAX(movement_date) FROM fct_movements
+        UNION ALL SELECT 'mart_sla', COUNT(*), MAX(issued_at) FROM mart_order_sla""",
+    "silver_metrics": """
+        SELECT 'movements' AS entity, COUNT(*) AS rows_read, COUNT(DISTINCT movement_id) AS rows_written,
+               COUNT(*) - COUNT(DISTINCT movement_id) AS rows_deduplicated, 'run-1' AS run_id FROM outbound""",
+    "gold_counts": "\nUNION ALL ".join(
+        f"SELECT '{m}' AS table_name, COUNT(*) AS row_count FROM {t}" for m, t in {
+            "fct_orders": "fct_orders", "fct_movements": "fct_movements",
+            "dim_products": "(SELECT DISTINCT product_id, warehouse_id, company_id, product_class "
+                            "FROM fct_inventory_snapshot)",
+            "mart_order_sla": "mart_order_sla", "mart_operator_productivity": "mart_operator_productivity",
+            "mart_picking_performance": "mart_picking_performance", "mart_stockout_risk": "mart_stockout_risk",
+            "mart_inventory_health": "mart_inventory_health", "mart_geo_performance": "mart_geo_performance",
+        }.items()
+    ),
     "date_profile": """
         SELECT COUNT(*) AS row_count, MIN(delivered_at) AS min_first, MAX(delivered_at) AS max_first,
                MIN(issued_at) AS min_second, MAX(issued_at) AS max_second,
@@ -657,6 +677,19 @@ SQL = {
         SELECT coalesce(nullif(nrpedido, ''), CAST(idpedido AS VARCHAR)) AS order_key, COUNT(*) AS items,
                CAST(SUM(value) AS DOUBLE) AS revenue
         FROM valued GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10""",
+    "revenue_file": f"""
+        SELECT strftime(CAST(issued_at AS DATE), '%Y-%m-%d %H:%M:%S') AS data, COUNT(*) AS documentos,
+               {money("total_value")} AS faturamento
+        FROM fct_orders GROUP BY 1""",
+    "product_file": """
+        SELECT MIN(cdproduto) AS cdproduto, MIN(dsproduto) AS dsproduto,
+               CAST(CAST(SUM(qty) AS DECIMAL(28,2)) AS VARCHAR) AS qtd_total,
+               CAST(CAST(SUM(value) AS DECIMAL(28,2)) AS VARCHAR) AS faturamento_total
+        FROM valued GROUP BY coalesce(cdproduto, 'SEM_PRODUTO')""",
+    "order_file": """
+        SELECT coalesce(nullif(nrpedido, ''), CAST(idpedido AS VARCHAR)) AS pedido, COUNT(*) AS itens,
+               CAST(CAST(SUM(value) AS DECIMAL(28,2)) AS VARCHAR) AS faturamento_total
+        FROM valued GROUP BY 1""",
     "orders_per_day": """
         SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS orders FROM orders WHERE o_orderdate IS NOT NULL
         GROUP BY 1 ORDER BY 1 DESC LIMIT 15""",
