@@ -48,6 +48,7 @@ class Model:
     keys: tuple[str, ...]
     build: Callable[[Warehouse, datetime | None], DataFrame]
     high_water: str | None = None
+    sort_by: str | None = None  # the date that increments filter on
 
     @property
     def partition(self) -> str | None:
@@ -57,9 +58,11 @@ class Model:
 
 FACTS = [
     Model("fct_orders", ("order_id",),
-          lambda w, _: facts.fct_orders(staging.stg_orders(w.bronze("orders_documento")))),
+          lambda w, _: facts.fct_orders(staging.stg_orders(w.bronze("orders_documento"))),
+          sort_by="issued_at"),
     Model("fct_movements", ("movement_id",),
-          lambda w, _: facts.fct_movements(staging.stg_movements(w.bronze("movements_entrada_saida")))),
+          lambda w, _: facts.fct_movements(staging.stg_movements(w.bronze("movements_entrada_saida"))),
+          sort_by="movement_date"),
     Model("fct_inventory_snapshot", ("inventory_id",),
           lambda w, _: facts.fct_inventory_snapshot(staging.stg_inventory(w.bronze("inventory_produtoestoque")))),
     Model("dim_products", tuple(facts.PRODUCT_KEY),
@@ -69,7 +72,7 @@ MARTS = [
     Model("mart_order_sla", ("order_id",),
           lambda w, since: marts.order_sla(
               w.gold("fct_orders"), staging.project_movements(w.bronze("movements_entrada_saida")), since),
-          "issued_at"),
+          "issued_at", sort_by="issued_at"),
     Model("mart_inventory_health", ("inventory_id",),
           lambda w, _: marts.inventory_health(w.gold("fct_inventory_snapshot"))),
     Model("mart_stockout_risk", ("inventory_id",),
@@ -106,7 +109,7 @@ def build_gold(
         try:
             tables.materialize(
                 spark, path, model.keys, lambda since: model.build(warehouse, since), model.high_water, lookback,
-                full_refresh, partition=model.partition,
+                full_refresh, partition=model.partition, sort_by=model.sort_by,
             )
             state, rows = "success", tables.read(spark, path).count()
         except Exception:  # noqa: BLE001 - the state is reported, the other models go on

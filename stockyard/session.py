@@ -21,6 +21,21 @@ DEFAULTS = {
 }
 
 
+def sizing(input_bytes: int, partition_bytes: int = 128 * 2**20, least: int = 200, most: int = 200_000) -> dict[str, str]:
+    """Shuffle settings for an input of a known size.
+
+    Shuffles start with about one partition per ``partition_bytes`` of input, so that a task's share fits in memory;
+    adaptive execution merges the small ones of later, smaller shuffles.
+    """
+    partitions = max(least, min(most, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "stockyard", **conf: str) -> SparkSession:
     """A session with the defaults above; keyword options use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

@@ -39,3 +39,11 @@ def test_asof_windows_by_key_and_minute(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     # both sides are combined to distinct instants before they are shuffled
     assert re.search(r"HashAggregate.*\n.*Exchange.*\n.*HashAggregate.*\n.*Union", re.sub(r"\(\d+\)", "", plan))
+
+
+def test_sizing():
+    from stockyard.session import sizing
+
+    assert sizing(10**9)["spark.sql.shuffle.partitions"] == "200"
+    assert sizing(10**13)["spark.sql.shuffle.partitions"] == "74506"
+    assert sizing(10**15)["spark.sql.shuffle.partitions"] == "200000"
