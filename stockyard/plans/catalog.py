@@ -95,7 +95,7 @@ def _watermark_scan(lake: Layers) -> DataFrame:
 def _append_new(lake: Layers) -> DataFrame:
     orders = lake.fct_orders.select("order_id", "issued_at")
     stored = orders.where(F.col("issued_at") < moment(date(2000, 1, 1)))
-    return tables._without(orders, stored, ["order_id"], null_safe=True)
+    return tables.without_keys(orders, stored, ["order_id"], null_safe=True)
 
 
 def _normalise(lake: Layers) -> DataFrame:
@@ -116,7 +116,7 @@ def _mask(lake: Layers) -> DataFrame:
 
 def _envelope(lake: Layers) -> DataFrame:
     customer = binding.table(lake.spark, lake.root, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return extract.envelope(customer, "customers", "oracle_wms", "WMAS.CLIENTE", "run-1", ORDERS_AS_OF)
+    return extract.envelope(customer, "customers", "oracle_wms", "CLIENTE", "run-1", ORDERS_AS_OF)
 
 
 def _evolve(lake: Layers) -> DataFrame:

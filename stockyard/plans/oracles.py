@@ -715,7 +715,7 @@ SQL = {
                CASE WHEN c_nationkey % 2 = 0 THEN '***' END AS document_number FROM customer""",
     "bronze_envelope": """
         SELECT 'customers' AS entity_name, TIMESTAMP '2001-08-01' AS extraction_timestamp,
-               'oracle_wms' AS source_system, 'WMAS.CLIENTE' AS source_table, 'run-1' AS ingestion_run_id,
+               'oracle_wms' AS source_system, 'CLIENTE' AS source_table, 'run-1' AS ingestion_run_id,
                '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}'
                  AS payload, DATE '2001-08-01' AS extraction_date
         FROM customer""",

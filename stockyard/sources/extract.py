@@ -28,6 +28,7 @@ class Entity:
     snapshot: bool = False
 
 
+# Source tables and the columns each bronze table takes from them.
 ENTITIES = {
     e.name: e
     for e in (
@@ -75,7 +76,7 @@ ENTITIES = {
     )
 }
 
-# Columns of the row-limited source previews.
+# Columns of the row-limited source previews.
 PREVIEWS = {
     "orders": (
         "sequenciadocumento", "numerodocumento", "seriedocumento", "tipodocumento", "codigodepositante",

@@ -104,7 +104,7 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Append only the rows whose key is not stored yet."""
     spark = df.sparkSession
     if exists(spark, path):
-        df = _without(df, read(spark, path), keys, null_safe=True)
+        df = without_keys(df, read(spark, path), keys, null_safe=True)
     return append(df, path)
 
 
@@ -129,7 +129,8 @@ def evolve(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     return wide, new.select("*", *gone).select(*wide.columns)
 
 
-def _without(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+    """The rows of ``df`` whose key does not occur in ``other``."""
     taken = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = [df[k].eqNullSafe(taken[f"_k_{k}"]) if null_safe else df[k] == taken[f"_k_{k}"] for k in keys]
     return df.join(taken, reduce(lambda a, b: a & b, same), "left_anti")
@@ -141,7 +142,7 @@ def merged(existing: DataFrame, new: DataFrame, keys: Sequence[str], null_safe:
     With ``null_safe=False`` a key holding a NULL matches nothing, so such rows pile up, as in a SQL merge.
     """
     existing, new = evolve(existing, new)
-    return _without(existing, new, keys, null_safe).unionByName(new)
+    return without_keys(existing, new, keys, null_safe).unionByName(new)
 
 
 def _refuse_duplicates(new: DataFrame, keys: Sequence[str], null_safe: bool) -> None:
