@@ -29,7 +29,7 @@ SAMPLE = 65_536
 LEAF = 128
 TREES = 8
 SHARE = 2.0  # entries popped, counted per tree, as a share of the index
-SHARD = 16_384
+SHARD = 65_536
 SPARE = 4  # candidates kept beyond the last rank, so that rounding in a matrix product cannot push one out
 
 
