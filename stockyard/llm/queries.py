@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import neighbours
+from stockyard.llm import near_duplicates, neighbours
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.groups(_table(spark, sf_dir, "documents"))
+
+
 def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"))
@@ -20,9 +24,33 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_near_duplicates": op3_near_duplicates,
         "op4_nearest_vectors": op4_nearest_vectors,
     }
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+')"
+NEAR_DUPLICATES = f"""
+with recursive w as (select doc_id, {WORDS} as w from documents),
+sets as (
+    select doc_id, list_distinct(case when len(w) < 5 then (case when len(w) = 0 then [] else [array_to_string(w, ' ')] end)
+        else [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] end) as s
+    from w
+),
+items as (select doc_id, len(s) as n, unnest(s) as item from sets),
+common as (
+    select x.doc_id as a, y.doc_id as b, any_value(x.n) as na, any_value(y.n) as nb, count(*) as same
+    from items x join items y on x.item = y.item and x.doc_id <> y.doc_id group by 1, 2
+),
+links as (select a, b from common where 100 * same >= 75 * (na + nb - same)),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select doc_id, len(s) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id, doc_id <= coalesce(m, doc_id) as kept
+from sets left join (select a, min(b) as m from reach group by a) on a = doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_near_duplicates": NEAR_DUPLICATES,
+    }
