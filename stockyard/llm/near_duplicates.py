@@ -9,9 +9,9 @@ one has at most one wrong value (pigeonhole), so the two documents agree on some
 Groups of copies do not make pairs among themselves:
 
 * Equal sets are one class, named by its smallest id, before anything is joined.
-* A key's members are compared with one pivot, the one that shares most keys with others, in a star. What the star
-  leaves unconnected gets further pivots while there is much of it, and finally every pair of members that are still
-  in different components is compared. Members of one component need no comparison, so no link is lost.
+* A key's members are compared with one pivot, the one that shares most keys with others, in a star. Members of one
+  component need no comparison among themselves. Those that a star leaves outside the pivot's component are queries
+  against the pivot's other members, in blocks of bounded size that give out links only, so no link is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ HASHES, CHUNK = 64, 4
 CHUNKS = HASHES // CHUNK
 RADIUS = 2 * CHUNKS - 1
 PERCENT = 75
-FEW_PAIRS = 4  # pairs per member that the closing comparison may make; beyond it another star comes first
+BLOCK = 512
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,35 +131,70 @@ def linked(docs: DataFrame, prints: DataFrame, doc_id: str = "doc_id", text: str
     def check(pairs: DataFrame) -> DataFrame:
         return confirmed(within_radius(pairs, signatures), sets, percent)
 
-    left, used, links, found = ranked, None, None, None
-    while True:
-        # a star in every key that is left
-        free = left if used is None else left.join(used.select("key", "node"), ["key", "node"], "left_anti")
-        pivots = free.groupBy("key").agg(F.max(F.struct("degree", -F.col("node"), "n")).alias("p")).select(
-            "key", (-F.col("p.col2")).alias("a"), F.col("p.n").alias("na")
-        )
-        pivots = written(pivots, "pivots")
-        pairs = left.join(pivots, "key").where("node <> a").where(_similar_size("n", "na", percent)).selectExpr("a", "node as b").distinct()
-        new = check(pairs)
-        links = written(new if links is None else links.unionByName(new), "links")
-        found = written(components(links), "components")
-        use = pivots.selectExpr("key", "a as node")
-        used = use if used is None else used.unionByName(use)
-        here = left.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        apart = here.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        left = written(here.join(apart, "key"), "apart")
-        per_key = left.groupBy("key", "component").agg(F.count("node").alias("c")).groupBy("key").agg(
-            F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc")
-        )
-        rows, open_pairs = per_key.agg(F.sum("c"), F.sum((F.col("c") * F.col("c") - F.col("cc")) / 2)).first()
-        if not rows:
-            return found
-        if open_pairs <= FEW_PAIRS * rows:
-            break
-    x = left.selectExpr("key", "node as a", "n as na", "component as ca")
-    y = left.selectExpr("key", "node as b", "n as nb", "component as cb")
-    pairs = x.join(y, "key").where("ca < cb").where(_similar_size("na", "nb", percent)).select("a", "b").distinct()
-    return components(written(links.unionByName(check(pairs)), "links"))
+    # a star around one pivot in every key
+    best = ranked.groupBy("key").agg(F.max(F.struct("degree", -F.col("node"), "n")).alias("p"))
+    pivots = written(best.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("np")), "pivots")
+    placed = ranked.join(pivots, "key").where("node <> pivot")
+    pairs = placed.where(_similar_size("n", "np", percent)).selectExpr("pivot as a", "node as b").distinct()
+    links = written(confirmed(within_radius(pairs, signatures), sets, percent), "links")
+    found = written(components(links), "components")
+
+    # members of one key that are in different components have only been compared with the pivot
+    here = placed.select("key", "pivot", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = here.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    left = here.join(apart, "key").select("pivot", "node", "n", "component").distinct()
+    left = written(left.join(found.selectExpr("node as pivot", "component as main"), "pivot", "left"), "apart")
+    more = written(linked_in_blocks(left, sets, percent), "links")
+    if more.isEmpty():
+        return found
+    return components(links.unionByName(more))
+
+
+def linked_in_blocks(left: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) among the rows (pivot, node, n, component, main) of one pivot.
+
+    The queries are the nodes outside the pivot's own component ``main``; each is held against all nodes of the
+    pivot's group that are in another component. Queries and nodes are dealt to blocks of about ``block`` sets, and a
+    task holds one block of each: a large group takes more tasks, not larger ones. Only links leave a task.
+    """
+    outside = F.col("main").isNull() | (F.col("component") != F.col("main"))
+    sizes = left.groupBy("pivot").agg(F.count("node").alias("nodes"), F.count_if(outside).alias("queries")).where("nodes > 1 and queries > 0")
+    dealt = (
+        left.withColumn("query", outside).join(sizes, "pivot")
+        .withColumn("nb", F.expr(f"cast(ceil(nodes / {block}) as int)")).withColumn("qb", F.expr(f"cast(ceil(queries / {block}) as int)"))
+        .withColumn("h", F.xxhash64("node"))
+    )
+    rest = ["pivot", "node", "component"]
+    queries = dealt.where("query").select(*rest, F.lit(True).alias("query"), F.expr("cast(pmod(h, qb) as int)").alias("q"), F.explode(F.expr("sequence(0, nb - 1)")).alias("b"))
+    others = dealt.select(*rest, F.lit(False).alias("query"), F.explode(F.expr("sequence(0, qb - 1)")).alias("q"), F.expr("cast(pmod(h, nb) as int)").alias("b"))
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        query = group["query"].to_numpy()
+        node, component = group["node"].to_numpy(), group["component"].to_numpy()
+        lists = group["items"].combine_chunks()
+        lengths = np.diff(lists.offsets.to_numpy())
+        row = np.repeat(np.arange(len(node)), lengths)
+        values, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        y, x = np.flatnonzero(query), np.flatnonzero(~query)
+        same = np.zeros((len(y), len(x)), np.float32)
+        place = np.zeros(len(node), np.int64)
+        place[y], place[x] = np.arange(len(y)), np.arange(len(x))
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, len(values), 4096):  # sums of products of 0/1 matrices, some columns at a time
+            part = slice(*np.searchsorted(column, [first, first + 4096]))
+            r, c = row[part], column[part] - first
+            left_side, right_side = np.zeros((len(y), 4096), np.float32), np.zeros((len(x), 4096), np.float32)
+            left_side[place[r[query[r]]], c[query[r]]] = 1
+            right_side[place[r[~query[r]]], c[~query[r]]] = 1
+            same += left_side @ right_side.T
+        union = lengths[y][:, None] + lengths[x][None, :] - same
+        i, j = np.nonzero((100 * same >= percent * union) & (component[y][:, None] != component[x][None, :]))
+        return pa.table({"a": node[y[i]], "b": node[x[j]]})
+
+    rows = queries.unionByName(others).join(sets, "node")
+    return rows.groupBy("pivot", "q", "b").applyInArrow(compare, "a long, b long").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
