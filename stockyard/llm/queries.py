@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import near_duplicates, neighbours, quality, toxicity
+from stockyard.llm import language, near_duplicates, neighbours, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -30,12 +34,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_near_duplicates": op3_near_duplicates,
         "op4_nearest_vectors": op4_nearest_vectors,
+        "op6_language": op6_language,
         "op8_quality": op8_quality,
         "op9_toxicity": op9_toxicity,
+        "op10_packing": op10_packing,
     }
 
 
