@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import language, near_duplicates, neighbours, packing, quality, toxicity
+from stockyard.llm import language, near_duplicates, neighbours, packing, passages, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.groups(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_repeated_passages": op1_repeated_passages,
         "op3_near_duplicates": op3_near_duplicates,
         "op4_nearest_vectors": op4_nearest_vectors,
         "op6_language": op6_language,
@@ -68,9 +73,23 @@ reach(a, b) as (select a, b from links union select r.a, l.b from reach r join l
 select doc_id, len(s) as n_shingles, least(doc_id, coalesce(m, doc_id)) as component_id, doc_id <= coalesce(m, doc_id) as kept
 from sets left join (select a, min(b) as m from reach group by a) on a = doc_id
 """
+REPEATED_PASSAGES = f"""
+with w as (select doc_id, {WORDS} as w from documents),
+windows as (
+    select doc_id, unnest(range(0, len(w) - 49)) as pos, unnest([array_to_string(w[i : i + 49], ' ') for i in range(1, len(w) - 48)]) as passage
+    from w where len(w) >= 50
+),
+owned as (select doc_id, pos, min(doc_id) over (partition by passage) as owner from windows),
+covered as (select doc_id, pos, pos - lag(pos) over (partition by doc_id order by pos) as gap from owned where owner <> doc_id),
+marked as (select doc_id, pos, sum(case when gap is null or gap > 50 then 1 else 0 end) over (partition by doc_id order by pos) as island from covered),
+spans as (select doc_id, min(pos) as b, max(pos) + 50 as e from marked group by doc_id, island),
+told as (select doc_id, sum(e - b) as n, string_agg(b || '-' || e, ',' order by b) as p from spans group by doc_id)
+select doc_id, len(w) as n_words, coalesce(n, 0)::bigint as n_repeated, coalesce(p, '') as passages from w left join told using (doc_id)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_repeated_passages": REPEATED_PASSAGES,
         "op3_near_duplicates": NEAR_DUPLICATES,
     }
