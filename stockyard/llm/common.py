@@ -67,6 +67,19 @@ def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None
     return df.mapInArrow(run, schema)
 
 
+def filtered(docs: DataFrame, text: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose texts ``keep`` marks."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, at):
+                if part.num_rows:
+                    yield part.filter(pa.array(keep(part.column(at))))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts on end, and where each text begins, with the end; null is empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())

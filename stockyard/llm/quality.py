@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockyard.llm.common import id_remainder, mapped
+from stockyard.llm.common import filtered, id_remainder, mapped
 from stockyard.llm.words import Words, mix
 
 PASSAGE = 64
@@ -175,6 +175,21 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     return train(x.astype(np.float64), bag, y)
 
 
+def judged(net: Net | float, texts: pa.Array) -> np.ndarray:
+    if isinstance(net, float):
+        return np.full(len(texts), net)
+    x, owner = passages(texts)
+    return net.forward(x, owner, len(texts))["y"]
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", may_learn: str = "_rest <> 1",
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score one half or more; see ``scores``."""
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id, text, label, may_learn))
+    return filtered(docs, text, lambda texts: judged(held.value, texts) >= 0.5)
+
+
 def scores(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", may_learn: str = "_rest <> 1",
 ) -> DataFrame:
@@ -185,17 +200,10 @@ def scores(
     counts as good if no label says otherwise. A null id is scored and counts as held out. Where all labels are alike
     that label is the score, without labels one half. Other columns are ignored.
     """
-    net = fit(docs, labels, doc_id, text, label, may_learn)
-    held = docs.sparkSession.sparkContext.broadcast(net)
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id, text, label, may_learn))
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        net = held.value
-        if isinstance(net, float):
-            score = np.full(b.num_rows, net)
-        else:
-            x, owner = passages(b.column(1))
-            score = net.forward(x, owner, b.num_rows)["y"]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], ["doc_id", "score"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(judged(held.value, b.column(1)))], ["doc_id", "score"])
 
     found = mapped(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), each, "doc_id long, score double", text=1)
     return found.select(

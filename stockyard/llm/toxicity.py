@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockyard.llm.common import id_remainder, mapped, slices, text_bytes, written
+from stockyard.llm.common import filtered, id_remainder, mapped, slices, text_bytes, written
 from stockyard.llm.fitting import logistic
 from stockyard.llm.words import mix
 
@@ -241,6 +241,19 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     return model, logistic(x, known["label"].to_numpy())
 
 
+def judged(model: Model, weights: np.ndarray, texts: pa.Array) -> np.ndarray:
+    x = model.evidence(texts)
+    return 1 / (1 + np.exp(-np.clip(x @ weights[1:] + weights[0], -50, 50)))
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", may_learn: str = "_rest <> 0",
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, that score below one half; see ``scores``."""
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id, text, label, may_learn))
+    return filtered(docs, text, lambda texts: judged(*held.value, texts) < 0.5)
+
+
 def scores(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", may_learn: str = "_rest <> 0",
 ) -> DataFrame:
@@ -250,14 +263,10 @@ def scores(
     letters has no evidence and gets the score of that. Repeated ids get a row each; a document labelled twice counts
     as toxic if one label says so. An id that is null is scored and counts as held out. Other columns are ignored.
     """
-    model, weights = fit(docs, labels, doc_id, text, label, may_learn)
-    held = docs.sparkSession.sparkContext.broadcast((model, weights))
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id, text, label, may_learn))
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        model, weights = held.value
-        x = model.evidence(b.column(1))
-        score = 1 / (1 + np.exp(-np.clip(x @ weights[1:] + weights[0], -50, 50)))
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], ["doc_id", "score"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(judged(*held.value, b.column(1)))], ["doc_id", "score"])
 
     found = mapped(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), each, "doc_id long, score double", text=1)
     return found.select(
