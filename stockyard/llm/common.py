@@ -55,12 +55,12 @@ def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(a, b - a)
 
 
-def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: int | None = None) -> DataFrame:
+def mapped(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: int | None = None, limit: int = SLICE_BYTES) -> DataFrame:
     """``mapInArrow`` with a function of one batch; with ``text``, batches are cut by the bytes of that column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text) if text is not None else [batch]:
+            for part in slices(batch, text, limit) if text is not None else [batch]:
                 if part.num_rows and (out := each(part)) is not None:
                     yield out
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm import bpe, language, near_duplicates, neighbours, packing, passages, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,11 @@ def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.report(_table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.groups(_table(spark, sf_dir, "documents"))
 
@@ -45,6 +51,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repeated_passages": op1_repeated_passages,
+        "op2_byte_bpe": op2_byte_bpe,
         "op3_near_duplicates": op3_near_duplicates,
         "op4_nearest_vectors": op4_nearest_vectors,
         "op6_language": op6_language,
