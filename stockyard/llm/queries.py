@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import bpe, language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm import bpe, fingerprint, language, near_duplicates, neighbours, packing, passages, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(_table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_near_duplicates": op3_near_duplicates,
         "op4_nearest_vectors": op4_nearest_vectors,
         "op6_language": op6_language,
+        "op7_fingerprints": op7_fingerprints,
         "op8_quality": op8_quality,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
