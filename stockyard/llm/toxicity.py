@@ -13,6 +13,7 @@ logistic fit on labelled rows that the counts have not seen.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -173,6 +174,17 @@ class Model:
                 weight[side] = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1)
             self.alpha[o], self.weight[o] = alpha, weight
 
+    def __getstate__(self) -> dict:
+        """Tables in half precision and packed, as most buckets are alike: the model goes to every executor."""
+        pack = lambda x: (x.shape, zlib.compress(x.astype(np.float16).tobytes(), 1))
+        return {k: pack(v) if isinstance(v, np.ndarray) else {o: pack(t) for o, t in v.items()} for k, v in vars(self).items()}
+
+    def __setstate__(self, state: dict) -> None:
+        least = np.float32(6e-8)  # half precision knows no smaller number, and a probability is never zero
+        unpack = lambda x: np.frombuffer(zlib.decompress(x[1]), np.float16).astype(np.float32).reshape(x[0])
+        for k, v in state.items():
+            setattr(self, k, {o: unpack(t) for o, t in v.items()} if isinstance(v, dict) else np.maximum(unpack(v), least))
+
     @staticmethod
     def _interpolate(n: np.ndarray, lower: np.ndarray) -> np.ndarray:
         total, kinds = n.sum(-1, keepdims=True), (n > 0).sum(-1, keepdims=True)
@@ -237,6 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     if most > CALIBRATION_ROWS:
         rows = rows.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int((1 << 30) * CALIBRATION_ROWS / most))
     known = mapped(rows.select("text", "label"), each, ", ".join(f"{c} double" for c in EVIDENCE) + ", label int", text=0).toArrow()
+    held.destroy()
     x = np.stack([known[c].to_numpy() for c in EVIDENCE], 1)
     return model, logistic(x, known["label"].to_numpy())
 
