@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import bpe, fingerprint, language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm import bpe, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_near_duplicates": op3_near_duplicates,
         "op4_nearest_vectors": op4_nearest_vectors,
+        "op5_main_text": op5_main_text,
         "op6_language": op6_language,
         "op7_fingerprints": op7_fingerprints,
         "op8_quality": op8_quality,
