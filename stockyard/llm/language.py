@@ -146,8 +146,9 @@ class Model:
             to = self.table[state[:, :m] * KINDS + code]
             ended = to == 0
             if t:
-                count[:, :m] += ended
-            # a new phrase begins with this letter; a letter that the language never has is a phrase of its own
+                count[:, :m] += ended | (state[:, :m] == root)
+            # a new phrase begins with this letter; a letter that the language never has is a phrase of its own, and
+            # leaves the start behind it
             again = self.table[root * KINDS + code]
             state[:, :m] = np.where(ended, np.where(again == 0, root, again), to)
         out = np.zeros((len(sizes), len(root)))
