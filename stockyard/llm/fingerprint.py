@@ -102,7 +102,8 @@ def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_ro
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "id", F.coalesce("doc_id", F.lit(low))
     )
-    rows = rows.withColumn("range", _range_of(rows, range_rows))
+    range_of, count = _range_of(rows, range_rows)
+    rows = rows.withColumn("range", range_of)
     # the first document of each range, for the range above it
     first = written(rows.groupBy("range").agg(F.max(F.struct("id", "text")).alias("f")).select("range", "f.id", "f.text"), "first")
     above = first.select("range").withColumn("to", F.lag("range").over(Window.orderBy(F.desc("range"))))
@@ -113,7 +114,7 @@ def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_ro
         F.lit(None).cast("long").alias("doc_id"), "text", "id", F.coalesce("to", F.lit(lowest)).alias("range"), F.lit(1).alias("edge")
     )
     order = ["range", "edge", F.desc("id"), F.desc("text")]
-    dealt = rows.withColumn("edge", F.lit(0)).unionByName(edge).repartition("range").sortWithinPartitions(*order)
+    dealt = rows.withColumn("edge", F.lit(0)).unionByName(edge).repartition(max(1, count // (2 * range_rows)), "range").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -143,18 +144,18 @@ def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_ro
     return dealt.mapInArrow(run, SCHEMA)
 
 
-def _range_of(rows: DataFrame, range_rows: int) -> Column:
-    """A number per range of ids that rises with ``id``; rows without an id are a range below all others."""
+def _range_of(rows: DataFrame, range_rows: int) -> tuple[Column, int]:
+    """A number per range of ids that rises with ``id``, rows without an id being a range below all others; the count."""
     share = ",".join(str(i / KNOTS) for i in range(KNOTS + 1))
     count, knots = rows.where("doc_id is not null").agg(F.count("*"), F.expr(f"percentile_approx(id, array({share}), 10000)")).first()
     if not count:
-        return F.lit(-1).cast("long")
+        return F.lit(-1).cast("long"), 0
     knots = sorted(set(knots))
     width = [max(1, -(-(b - a + 1) * range_rows * KNOTS // count)) for a, b in zip(knots, [*knots[1:], knots[-1]])]
     at = " + ".join(f"if(id >= {k}L, 1, 0)" for k in knots[1:]) or "0"
     picked = lambda values: f"element_at(array({','.join(f'{v}L' for v in values)}), {at} + 1)"
     inside = f"greatest(0L, id - {picked(knots)}) div {picked(width)}"
-    return F.expr(f"if(doc_id is null, -1L, cast({at} as long) * 1048576L * 1048576L + ({inside}))")
+    return F.expr(f"if(doc_id is null, -1L, cast({at} as long) * 1048576L * 1048576L + ({inside}))"), count
 
 
 SCHEMA_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
