@@ -41,6 +41,14 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """``stem``, with underscores before it if a column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem = f"_{stem}"
+    return stem
+
+
 def id_remainder(doc_id: str | Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``: the split into rows that may be learnt from and held-out rows."""
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % divisor

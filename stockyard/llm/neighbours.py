@@ -98,7 +98,7 @@ def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     plain = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return (
         df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-        .where(v.isNotNull() & plain & F.exists(v, lambda x: x != 0.0))
+        .where(F.col("id").isNotNull() & v.isNotNull() & plain & F.exists(v, lambda x: x != 0.0))
     )
 
 
@@ -127,7 +127,7 @@ def search(
     """The ``k`` nearest of ``vectors`` for each of ``queries``: query_id, rank from 1, vec_id, score.
 
     Both frames have the columns ``vec_id`` and ``vector``; a candidate with the query's own id is left out. Vectors
-    that are null, zero, or hold a null or non-finite component take no part, on either side. All others must have
+    that are null, zero, or hold a null or non-finite component, or have no id, take no part on either side. All others must have
     one length. Rows repeated under one id count once. Fewer than ``k`` candidates give fewer rows, an empty table
     none. Ties go to the smaller id. Other columns are ignored.
     """
