@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stockyard.llm.common import dropped, mapped, written
+from stockyard.llm.common import dropped, free_name, mapped, written
 from stockyard.llm.components import components
 from stockyard.llm.words import Permutations, mix, shingle_sets
 
@@ -219,14 +219,17 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``groups`` keeps; of rows repeated under one id, the first by all columns."""
-    told = written(groups(docs, doc_id, text).select(F.col("doc_id").alias("_id"), "kept"), "told")
-    kept = told.where("kept and _id is not null").groupBy("_id").agg(F.count("kept").alias("_n"))
-    kept = written(kept, "kept")
+    told = written(groups(docs, doc_id, text).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("kept").alias("n")), "kept")
+    name = free_name(docs, "kept_id")
     key = F.col(doc_id).cast("long")
-    once = docs.join(kept.where("_n = 1").select("_id"), key == F.col("_id"), "left_semi")
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids.select(F.col("doc_id").alias(name)), key == F.col(name), "left_semi")
+
+    out = of(told.where("n = 1")).unionByName(docs.where(key.isNull()))
+    if told.where("n > 1").isEmpty():
+        return out
+    number = free_name(docs, "number")
     first = Window.partitionBy(doc_id).orderBy(*[c for c in docs.columns if c != doc_id])
-    repeated = (
-        docs.join(kept.where("_n > 1").select("_id"), key == F.col("_id"), "left_semi")
-        .withColumn("_first", F.row_number().over(first)).where("_first = 1").drop("_first")
-    )
-    return once.unionByName(repeated).unionByName(docs.where(key.isNull()))
+    repeated = of(told.where("n > 1")).withColumn(number, F.row_number().over(first)).where(F.col(number) == 1).drop(number)
+    return out.unionByName(repeated)

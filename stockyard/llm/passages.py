@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockyard.llm.common import dropped, mapped, slices, written
+from stockyard.llm.common import dropped, free_name, mapped, slices, written
 from stockyard.llm.words import Words, mix, runs, stream
 
 LENGTH, SEED = 50, 10
@@ -229,9 +229,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     A passage goes with the white space behind it. All other rows and columns stay as they are, but for ``n_chars``,
     where there is one, which follows the text.
     """
-    spans = repeated(docs, doc_id, text).selectExpr("doc_id as _id", "copy as _copy", "spans as _spans")
-    rows = docs.withColumn("_copy", F.xxhash64(text)).withColumn("_id", F.col(doc_id).cast("long"))
-    joined = rows.join(spans, ["_id", "_copy"], "left").drop("_id", "_copy")
+    id_name, copy_name, spans_name = (free_name(docs, n) for n in ("span_id", "span_copy", "spans"))
+    spans = repeated(docs, doc_id, text).select(F.col("doc_id").alias(id_name), F.col("copy").alias(copy_name), F.col("spans").alias(spans_name))
+    rows = docs.withColumn(copy_name, F.xxhash64(text)).withColumn(id_name, F.col(doc_id).cast("long"))
+    joined = rows.join(spans, [id_name, copy_name], "left").drop(id_name, copy_name)
     place = joined.columns.index(text)
     names = joined.columns
 
@@ -257,7 +258,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             out[i] = b"".join(kept).decode()
         return pa.array(out, pa.string())
 
-    kept = joined.mapInArrow(run, joined.schema).where(f"_spans is null or trim(`{text}`) <> ''").drop("_spans")
+    kept = joined.mapInArrow(run, joined.schema).where(F.col(spans_name).isNull() | (F.trim(text) != "")).drop(spans_name)
     if "n_chars" in kept.columns:
         kept = kept.withColumn("n_chars", F.coalesce(F.length(text).cast(kept.schema["n_chars"].dataType), F.col("n_chars")))
     return kept.select(*docs.columns)
