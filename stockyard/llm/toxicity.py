@@ -118,13 +118,13 @@ def class_counts(labelled: DataFrame) -> DataFrame:
         for o in ORDERS:
             seen = np.flatnonzero(counts[o].any(0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(seen), o, np.int32)), pa.array(seen.astype(np.int32)), pa.array(contexts[o][seen]),
-                 pa.array(counts[o][1, seen]), pa.array(counts[o][0, seen])],
-                ["order", "bucket", "context", "toxic", "plain"],
+                [pa.array((seen | o << 24).astype(np.int32)), pa.array(contexts[o][seen]), pa.array(counts[o][1, seen]), pa.array(counts[o][0, seen])],
+                ["slot", "context", "toxic", "plain"],
             )
 
-    parts = labelled.select("text", "label").mapInArrow(run, "order int, bucket int, context int, toxic int, plain int")
-    return parts.groupBy("order", "bucket").agg(F.max("context").alias("context"), F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    parts = labelled.select("text", "label").mapInArrow(run, "slot int, context int, toxic int, plain int")
+    summed = parts.groupBy("slot").agg(F.max("context").alias("context"), F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    return summed.selectExpr("slot >> 24 as order", f"slot & {(1 << 24) - 1} as bucket", "context", "toxic", "plain")
 
 
 def continuations(docs: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     """
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), id_remainder(doc_id, 5).alias("_rest")).where("text is not null")
     told = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("label"))
-    labelled = texts.where(may_learn).join(told, "_id")
+    labelled = texts.where(may_learn).hint("merge").join(told, "_id")  # the labels grow with the documents
     counts = class_counts(labelled.where("_rest <> 4")).toArrow()
     model = Model(counts, continuations(docs.select(F.col(text).alias("text"))).toArrow())
     held = docs.sparkSession.sparkContext.broadcast(model)
