@@ -69,8 +69,9 @@ def exact_avg(c: Column | str, scale: int = 10) -> Column:
 
 
 def lenient_double(c: Column | str) -> Column:
-    """Text to number; blank or unreadable text counts as zero."""
-    return F.coalesce(F.trim(col(c).cast("string")).try_cast("double"), F.lit(0.0))
+    """Text to number; text that is blank, unreadable, or names no finite number counts as zero."""
+    number = F.trim(col(c).cast("string")).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number).otherwise(0.0)
 
 
 def digits_only(c: Column | str) -> Column:

@@ -4,24 +4,19 @@ The plain form of this join compares every left row with every later right row o
 a heavy key into one task. Here no pairs are formed and heavy keys are split:
 
 1. Both sides shrink to distinct ``(key, instant)`` pairs, combined before the shuffle.
-2. Keys with many instants are listed. A key on the list is cut into minutes, any other key stays whole.
-3. Inside one group a framed minimum finds the next hit. A minute has at most 60 million distinct microseconds, so
-   the groups of a listed key are bounded whatever share of the rows it holds.
-4. For listed keys, one row per ``(key, minute)`` is enough to find the first hit of the next non-empty minute; that
-   window is bounded by the number of minutes in the data's time span.
-5. The left rows are moved once, to look up their own ``(key, instant)``. The lookup side is unique on it, so adaptive
+2. Every key is cut into hours, whatever its size. Inside one (key, hour) a framed minimum finds the next hit; the
+   group is bounded by the microseconds of an hour, whatever share of the rows the key holds.
+3. One row per ``(key, hour)`` is enough to find the first hit of the next non-empty hour; that window is bounded by
+   the number of hours in the data's time span, under 90,000 a decade.
+4. The left rows are moved once, to look up their own ``(key, instant)``. The lookup side is unique on it, so adaptive
    execution may split a heavy instant of the left side, or broadcast the lookup when it turns out to be small.
-
-The list only decides how the work is cut, never the result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-BUCKET_SECONDS = 60
-HEAVY_INSTANTS = 1_000_000
-MAX_HEAVY_KEYS = 100_000
+BUCKET_SECONDS = 3600
 ASK, HIT = 1, 2
 
 
@@ -33,7 +28,6 @@ def first_after(
     right_time: str,
     out: str,
     bucket_seconds: int = BUCKET_SECONDS,
-    heavy_instants: int = HEAVY_INSTANTS,
 ) -> DataFrame:
     """``left`` plus the column ``out``: the earliest ``right_time`` of the same key later than ``left_time``.
 
@@ -52,14 +46,8 @@ def first_after(
         .groupBy("_k", "_t")
         .agg(F.expr("bit_or(_side) as _side"))
     )
-    # The heaviest keys; those beyond the limit, each with less than a hundred-thousandth of the rows, stay whole.
-    # Counting `_side` instead of rows keeps the column, and with it the shared shuffle.
-    heavy = F.broadcast(
-        points.groupBy("_k").agg(F.count("_side").alias("_n")).where(f"_n > {heavy_instants}")
-        .orderBy(F.desc("_n")).limit(MAX_HEAVY_KEYS).selectExpr("_k", "true as _heavy")
-    )
-    minute = f"unix_timestamp(_t) - pmod(unix_timestamp(_t), {bucket_seconds})"
-    cut = points.join(heavy, "_k", "left").selectExpr("_k", "_t", "_side", "_heavy", f"if(_heavy, {minute}, 0) as _b")
+    bucket = f"unix_timestamp(_t) - pmod(unix_timestamp(_t), {bucket_seconds})"
+    cut = points.selectExpr("_k", "_t", "_side", f"{bucket} as _b")
     hit_time = F.expr(f"if(_side <> {ASK}, _t, null)")
 
     later_here = Window.partitionBy("_k", "_b").orderBy(F.desc("_t")).rowsBetween(Window.unboundedPreceding, -1)
@@ -67,7 +55,7 @@ def first_after(
 
     later_buckets = Window.partitionBy("_k").orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     far = (
-        cut.where("_heavy").groupBy("_k", "_b")
+        cut.groupBy("_k", "_b")
         .agg(F.min(hit_time).alias("_first"), F.expr(f"bool_or(_side <> {HIT}) as _ask"))
         .withColumn("_far", F.min("_first").over(later_buckets))
         .where("_ask and _far is not null")

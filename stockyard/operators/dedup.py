@@ -17,9 +17,17 @@ def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep one row per key. The remaining columns break ties, so a recomputed task picks the same survivor."""
+    """Keep one row per key: the least by its remaining columns, so that a recomputed task picks the same one.
+
+    It is an aggregate, combined before the shuffle. Where only the keys are asked for, as by a count, the rest is
+    pruned and neither read nor compared.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return _keep_first(df, keys, rest or list(keys))
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
+    )
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stockyard.operators.marts import HEALTH_LEVELS, RISK_LEVELS, SHIFTS, SLA_STATUSES
 
-# Tests per model: columns that may not be NULL, columns that must be unique, columns with a closed set of values.
+# Fixed values. Tests per model: columns that may not be NULL, columns that must be unique, columns with a closed set of values.
 TESTS: dict[str, tuple[list[str], list[str], dict[str, list[str]]]] = {
     "stg_orders": (["order_id", "depositor_id", "company_id"], ["order_id"], {}),
     "stg_inventory": (["inventory_id", "product_id", "warehouse_id"], ["inventory_id"], {}),
@@ -30,7 +30,7 @@ TESTS: dict[str, tuple[list[str], list[str], dict[str, list[str]]]] = {
     "mart_weather_impact": (["company_id", "issued_date"], [], {}),
 }
 
-# Gates: least row count per gold table, and columns that stop the run when they hold a NULL.
+# Fixed values. Gates: least row count per gold table, and columns that stop the run when they hold a NULL.
 MIN_ROWS = {
     "fct_orders": 1, "fct_movements": 1, "mart_order_sla": 1, "mart_operator_productivity": 1,
     "mart_picking_performance": 1, "mart_stockout_risk": 1, "mart_inventory_health": 1,

@@ -209,17 +209,19 @@ COMMON = {
         LEFT JOIN weather w ON w.location_uf = c.uf AND w.weather_date = o.issued_date""",
     "orphans": """
         SELECT m.* FROM outbound m
-        WHERE m.movement_status = '8' AND NOT EXISTS (
-          SELECT 1 FROM fct_orders o WHERE o.depositor_id = m.depositor_id AND o.issued_at <= m.movement_date)""",
-    "before": """
-        SELECT DISTINCT depositor_id FROM mart_order_sla
-        WHERE issued_at >= '2001-01-01' AND issued_at < '2001-04-01'""",
-    "after": """
-        SELECT DISTINCT depositor_id FROM mart_order_sla
-        WHERE issued_at >= '2001-04-01' AND issued_at < '2001-05-01'""",
-    "lost": """
-        SELECT b.depositor_id FROM before b LEFT JOIN after a ON a.depositor_id = b.depositor_id
-        WHERE a.depositor_id IS NULL""",
+        LEFT JOIN (SELECT depositor_id AS d, MIN(issued_at) AS first_issued FROM fct_orders GROUP BY 1) ON d = depositor_id
+        WHERE movement_status = '8' AND coalesce(first_issued > movement_date, true)""",
+    "clients": """
+        SELECT depositor_id, COUNT(*) FILTER (early) AS orders_a, COUNT(*) FILTER (NOT early) AS orders_b,
+               COUNT(*) FILTER (early AND sla_status = 'late') AS late_a,
+               COUNT(*) FILTER (early AND sla_status IN ('late', 'at_risk')) AS problem_a,
+               CAST(MIN(issued_at) FILTER (early) AS DATE) AS first_a, CAST(MAX(issued_at) FILTER (early) AS DATE) AS last_a,
+               CAST(MIN(issued_at) FILTER (NOT early) AS DATE) AS first_b,
+               CAST(SUM(amount) FILTER (early) AS DOUBLE) AS sum_a, COUNT(amount) FILTER (early) AS priced_a,
+               CAST(SUM(amount) FILTER (NOT early) AS DOUBLE) AS sum_b
+        FROM (SELECT *, issued_at < '2001-04-01' AS early, CAST(total_value AS DECIMAL(15,2)) AS amount
+              FROM mart_order_sla WHERE issued_at >= '2001-01-01' AND issued_at < '2001-05-01')
+        GROUP BY depositor_id""",
     "dedup_outbound": """
         SELECT * EXCLUDE (rn) FROM (
           SELECT *, row_number() OVER (PARTITION BY movement_id ORDER BY product_id, warehouse_id, depositor_id,
@@ -472,32 +474,22 @@ SQL = {
                     HAVING COUNT(CASE WHEN sla_status = 'pending' THEN 1 END) / COUNT(*) > 0.05))
         GROUP BY run HAVING COUNT(*) > 3""",
     "lost_clients": f"""
-        SELECT l.depositor_id, COUNT(o.order_id) AS orders, CAST(MIN(issued_at) AS DATE) AS first_order,
-               CAST(MAX(issued_at) AS DATE) AS last_order,
-               {r("CAST(SUM(CAST(total_value AS DECIMAL(15,2))) AS DOUBLE) / COUNT(total_value)", 2)} AS mean_ticket,
-               {money("total_value")} AS total_value,
-               COUNT(CASE WHEN sla_status = 'late' THEN 1 END) AS late_orders,
-               {_pct("sla_status = 'late'")} AS late_pct
-        FROM lost l JOIN mart_order_sla o ON o.depositor_id = l.depositor_id
-        WHERE issued_at >= '2001-01-01' AND issued_at < '2001-04-01' GROUP BY 1""",
+        SELECT depositor_id, orders_a AS orders, first_a AS first_order, last_a AS last_order,
+               {r("sum_a / priced_a", 2)} AS mean_ticket, sum_a AS total_value, late_a AS late_orders,
+               {r("100.0 * late_a / orders_a", 1)} AS late_pct
+        FROM clients WHERE orders_a > 0 AND orders_b = 0""",
     "churn_summary": f"""
-        SELECT b AS active_before, a AS active_after, l AS lost_clients, n AS new_clients,
-               {r("100.0 * l / nullif(b, 0)", 1)} AS churn_pct
-        FROM (SELECT (SELECT COUNT(*) FROM before) AS b, (SELECT COUNT(*) FROM after) AS a,
-                     (SELECT COUNT(*) FROM lost) AS l,
-                     (SELECT COUNT(*) FROM after LEFT JOIN before ON after.depositor_id = before.depositor_id
-                      WHERE before.depositor_id IS NULL) AS n)""",
+        SELECT a AS active_before, b AS active_after, a - both_periods AS lost_clients, b - both_periods AS new_clients,
+               {r("100.0 * (a - both_periods) / nullif(a, 0)", 1)} AS churn_pct
+        FROM (SELECT COUNT(*) FILTER (orders_a > 0) AS a, COUNT(*) FILTER (orders_b > 0) AS b,
+                     COUNT(*) FILTER (orders_a > 0 AND orders_b > 0) AS both_periods FROM clients)""",
     "lost_sla": f"""
-        SELECT o.depositor_id, COUNT(*) AS orders,
-               COUNT(CASE WHEN sla_status IN ('late', 'at_risk') THEN 1 END) AS problem_orders,
-               {_pct("sla_status IN ('late', 'at_risk')")} AS problem_pct
-        FROM mart_order_sla o JOIN lost l ON o.depositor_id = l.depositor_id
-        WHERE issued_at >= '2001-01-01' AND issued_at < '2001-04-01' GROUP BY 1""",
-    "new_clients": f"""
-        SELECT o.depositor_id, COUNT(*) AS orders, CAST(MIN(issued_at) AS DATE) AS first_order,
-               {money("total_value")} AS total_value
-        FROM mart_order_sla o LEFT JOIN before b ON o.depositor_id = b.depositor_id
-        WHERE issued_at >= '2001-04-01' AND issued_at < '2001-05-01' AND b.depositor_id IS NULL GROUP BY 1""",
+        SELECT depositor_id, orders_a AS orders, problem_a AS problem_orders,
+               {r("100.0 * problem_a / orders_a", 1)} AS problem_pct
+        FROM clients WHERE orders_a > 0 AND orders_b = 0""",
+    "new_clients": """
+        SELECT depositor_id, orders_b AS orders, first_b AS first_order, sum_b AS total_value
+        FROM clients WHERE orders_b > 0 AND orders_a = 0""",
     "gate_rows": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, {n} AS min_rows, "
         f"CASE WHEN COUNT(*) >= {n} THEN 'OK' ELSE 'FAIL' END AS status FROM {t}" for t, n in MIN_ROWS.items()

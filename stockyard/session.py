@@ -5,7 +5,7 @@ Only settings that are unset are filled in, so a cluster's own configuration alw
 
 from __future__ import annotations
 
-import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -16,18 +16,18 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # call sites per column expression cost a driver round trip each
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# can only be given when a session starts: call sites per column expression cost a driver round trip each
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-def sizing(input_bytes: int, partition_bytes: int = 128 * 2**20, least: int = 200, most: int = 200_000) -> dict[str, str]:
+def sizing(input_bytes: int, partition_bytes: int = 128 * 2**20, least: int = 200) -> dict[str, str]:
     """Shuffle settings for an input of a known size.
 
     Shuffles start with about one partition per ``partition_bytes`` of input, so that a task's share fits in memory;
     adaptive execution merges the small ones of later, smaller shuffles.
     """
-    partitions = max(least, min(most, -(-input_bytes // partition_bytes)))
+    partitions = max(least, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
@@ -36,24 +36,36 @@ def sizing(input_bytes: int, partition_bytes: int = 128 * 2**20, least: int = 20
     }
 
 
+def explicit(spark: SparkSession) -> set[str]:
+    """The settings that somebody has set, at submission or since."""
+    return {row["key"] for row in spark.sql("SET").collect()}
+
+
+@contextmanager
+def sized(spark: SparkSession, input_bytes: int):
+    """``sizing`` for the jobs inside, as far as nothing else is set."""
+    given = explicit(spark)
+    mine = {k: v for k, v in sizing(input_bytes).items() if k not in given}
+    for key, value in mine.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in mine:
+            spark.conf.unset(key)
+
+
 def build_session(master: str | None = None, app: str = "stockyard", **conf: str) -> SparkSession:
-    """A session with the defaults above; keyword options use ``__`` for dots."""
+    """A session with the defaults above, where they are unset; keyword options use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    options = DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}
-    for key, value in options.items():
+    start = {} if SparkSession.getActiveSession() else AT_START
+    for key, value in {**start, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fresh local one only where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="stockyard-checkpoint-")
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    spark = builder.getOrCreate()
+    given = explicit(spark)
+    for key, value in DEFAULTS.items():
+        if key not in given:
+            spark.conf.set(key, value)
+    return spark

@@ -3,7 +3,7 @@
 import re
 from datetime import date, datetime
 
-from stockyard.operators import facts, marts, staging
+from stockyard.operators import facts, marts, reports, staging
 from stockyard.sources import binding
 
 
@@ -31,7 +31,7 @@ def test_inventory_marts_are_one_stage(spark, root, tmp_path):
         assert "Exchange" not in plan_of(df)
 
 
-def test_asof_windows_by_key_and_minute(spark):
+def test_asof_windows_by_key_and_hour(spark):
     df = spark.range(100).selectExpr("if(id < 99, 'hot', 'cold') as k", "timestamp_ntz'2024-01-01' as at", "id")
     from stockyard.operators.asof import first_after
 
@@ -46,4 +46,21 @@ def test_sizing():
 
     assert sizing(10**9)["spark.sql.shuffle.partitions"] == "200"
     assert sizing(10**13)["spark.sql.shuffle.partitions"] == "74506"
-    assert sizing(10**15)["spark.sql.shuffle.partitions"] == "200000"
+    assert sizing(10**15)["spark.sql.shuffle.partitions"] == "7450581"
+
+
+def test_a_count_reads_the_key_only(spark, root):
+    plan = plan_of(reports.movement_count(facts.fct_movements(staging.stg_movements(binding.movements(spark, root)))))
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == ["event_id:bigint"]
+
+
+def test_submitted_settings_win(spark):
+    from stockyard.session import build_session, explicit
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        assert build_session().conf.get("spark.sql.session.timeZone") == "America/Sao_Paulo"
+        assert "spark.sql.session.timeZone" in explicit(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

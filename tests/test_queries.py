@@ -5,9 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from stockyard.plans import catalog, oracles
 from tests.oracle import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 # these window over a handful of rows: statuses, calendar days
 FEW_ROWS = {"sla_distribution", "pending_alarm"}
 
