@@ -139,6 +139,23 @@ def _documents(lake: Layers) -> DataFrame:
     )
 
 
+def _movement_source(lake: Layers) -> DataFrame:
+    """Movements as the source has them: some without a movement date, which the history date stands in for."""
+    missing = F.col("l_orderkey") % 5 == 0
+    return binding.table(lake.spark, lake.root, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sequenciamovimento"),
+        F.when(~missing, F.col("l_shipdate")).alias("datamovimento"), F.col("l_shipdate").alias("datahistorico"),
+    )
+
+
+def _movement_window(start: datetime, end: datetime | None = None) -> Callable[[Layers], DataFrame]:
+    def run(lake: Layers) -> DataFrame:
+        rows = extract.source_window(_movement_source(lake), extract.ENTITIES["movements_entrada_saida"], start, end)
+        return rows.select("sequenciamovimento", F.coalesce("datamovimento", "datahistorico").alias("datamovimento"))
+
+    return run
+
+
 def _cosine(lake: Layers) -> DataFrame:
     vectors = binding.table(lake.spark, lake.root, "embeddings")
     query = vectors.orderBy("vec_id").select("embedding").first()[0]  # the question: one vector
@@ -261,6 +278,8 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "watermark_scan": lambda k: _watermark_scan(k).select(
         "sequenciaintegracao", "dataemissao", F.col("valortotaldocumento").cast("double").alias("valortotaldocumento")
     ),
+    "watermark_scan_movements": _movement_window(datetime(2001, 6, 1)),
+    "full_window_scan": _movement_window(datetime(2000, 1, 1), datetime(2000, 3, 31)),
     "new_watermark": lambda k: _watermark_scan(k).agg(F.max("dataemissao").alias("last_successful_value")).select(
         F.lit("orders_documento").alias("entity_name"), "last_successful_value"
     ),

@@ -11,7 +11,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from stockyard.operators import facts, marts, staging
-from stockyard.schemas import BRONZE, JOB_METRICS
+from stockyard.schemas import JOB_METRICS
+from stockyard.session import sized
 from stockyard.sources import tables
 
 log = logging.getLogger(__name__)
@@ -28,7 +29,13 @@ class Warehouse:
         self.spark, self.bronze_root, self.gold_root, self.as_of = spark, bronze_root, gold_root, as_of
 
     def bronze(self, name: str) -> DataFrame:
-        return tables.optional_source(self.spark, f"{self.bronze_root}/{name}", BRONZE[name])
+        """A mandatory bronze table; it raises where there is none."""
+        return tables.read(self.spark, f"{self.bronze_root}/{name}")
+
+    def bronze_bytes(self) -> int:
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.bronze_root)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return fs.getContentSummary(root).getLength() if fs.exists(root) else 0
 
     def enrichment(self, name: str) -> DataFrame | None:
         """An optional bronze table: without it the marts show NULL in its columns."""
@@ -49,6 +56,7 @@ class Model:
     build: Callable[[Warehouse, datetime | None], DataFrame]
     high_water: str | None = None
     sort_by: str | None = None  # the date that increments filter on
+    inputs: tuple[str, ...] = ()  # gold tables it reads
 
     @property
     def partition(self) -> str | None:
@@ -72,24 +80,24 @@ MARTS = [
     Model("mart_order_sla", ("order_id",),
           lambda w, since: marts.order_sla(
               w.gold("fct_orders"), staging.project_movements(w.bronze("movements_entrada_saida")), since),
-          "issued_at", sort_by="issued_at"),
+          "issued_at", sort_by="issued_at", inputs=("fct_orders",)),
     Model("mart_inventory_health", ("inventory_id",),
-          lambda w, _: marts.inventory_health(w.gold("fct_inventory_snapshot"))),
+          lambda w, _: marts.inventory_health(w.gold("fct_inventory_snapshot")), inputs=("fct_inventory_snapshot",)),
     Model("mart_stockout_risk", ("inventory_id",),
-          lambda w, _: marts.stockout_risk(w.gold("fct_inventory_snapshot"), w.as_of)),
+          lambda w, _: marts.stockout_risk(w.gold("fct_inventory_snapshot"), w.as_of), inputs=("fct_inventory_snapshot",)),
     Model("mart_operator_productivity", ("operator_user", "warehouse_id", "period_date"),
-          lambda w, since: marts.operator_productivity(w.gold("fct_movements"), since), "period_date"),
+          lambda w, since: marts.operator_productivity(w.gold("fct_movements"), since), "period_date", inputs=("fct_movements",)),
     Model("mart_picking_performance", ("operator_user", "warehouse_id", "shift_date", "shift"),
-          lambda w, since: marts.picking_performance(w.gold("fct_movements"), since), "shift_date"),
+          lambda w, since: marts.picking_performance(w.gold("fct_movements"), since), "shift_date", inputs=("fct_movements",)),
     Model("mart_geo_performance", ("company_id", "depositor_id", "issued_month"),
           lambda w, since: marts.geo_performance(w.gold("fct_orders"), w.enrichment("geo_reference"), since),
-          "issued_month"),
+          "issued_month", inputs=("fct_orders",)),
     Model("mart_geo_inventory", ("warehouse_id", "company_id", "product_class"),
-          lambda w, _: marts.geo_inventory(w.gold("fct_inventory_snapshot"), w.enrichment("geo_reference"))),
+          lambda w, _: marts.geo_inventory(w.gold("fct_inventory_snapshot"), w.enrichment("geo_reference")), inputs=("fct_inventory_snapshot",)),
     Model("mart_weather_impact", ("company_id", "depositor_id", "issued_date"),
           lambda w, since: marts.weather_impact(
               w.gold("fct_orders"), w.enrichment("geo_reference"), w.enrichment("weather_daily"), since),
-          "issued_date"),
+          "issued_date", inputs=("fct_orders",)),
 ]
 
 
@@ -100,28 +108,36 @@ def build_gold(
     """Bring every fact and mart up to date and return the run's metrics, one row per table.
 
     Models of one stage do not depend on each other and are submitted side by side, so that the tail of one fills with
-    tasks of the next. A model that fails is reported as failed and leaves its table as it was.
+    tasks of the next. A model that fails is reported as failed and leaves its table as it was; models that read it are
+    skipped. After a success all but the two newest versions of the table are deleted.
     """
     spark = warehouse.spark
+    broken: set[str] = set()
 
     def run(model: Model) -> tuple:
         path, began = warehouse.gold_path(model.name), _now()
+        if broken.intersection(model.inputs):
+            broken.add(model.name)
+            return ("build_gold", model.name, "skipped", began, _now(), 1, None, None, None, run_id)
         try:
             tables.materialize(
                 spark, path, model.keys, lambda since: model.build(warehouse, since), model.high_water, lookback,
                 full_refresh, partition=model.partition, sort_by=model.sort_by,
             )
             state, rows = "success", tables.read(spark, path).count()
+            tables.expire(spark, path)
         except Exception:  # noqa: BLE001 - the state is reported, the other models go on
             log.exception("%s failed", model.name)
             state, rows = "failed", None
+            broken.add(model.name)
         return ("build_gold", model.name, state, began, _now(), 1, None, rows, None, run_id)
 
     def stage(models: Iterable[Model]) -> list[tuple]:
         with ThreadPoolExecutor(threads) as pool:
             return list(pool.map(run, models))
 
-    return spark.createDataFrame(stage(FACTS) + stage(MARTS), JOB_METRICS)
+    with sized(spark, warehouse.bronze_bytes()):
+        return spark.createDataFrame(stage(FACTS) + stage(MARTS), JOB_METRICS)
 
 
 def record_metrics(metrics: DataFrame, path: str) -> None:

@@ -692,6 +692,12 @@ SQL = {
     "watermark_scan": """
         SELECT order_id AS sequenciaintegracao, issued_at AS dataemissao, total_value AS valortotaldocumento
         FROM fct_orders WHERE issued_at >= TIMESTAMP '2001-01-01'""",
+    "watermark_scan_movements": """
+        SELECT l_orderkey || '-' || l_linenumber AS sequenciamovimento, l_shipdate AS datamovimento
+        FROM lineitem WHERE l_shipdate >= '2001-06-01'""",
+    "full_window_scan": """
+        SELECT l_orderkey || '-' || l_linenumber AS sequenciamovimento, l_shipdate AS datamovimento
+        FROM lineitem WHERE l_shipdate >= '2000-01-01' AND l_shipdate < '2000-03-31'""",
     "new_watermark": """
         SELECT 'orders_documento' AS entity_name, MAX(issued_at) AS last_successful_value FROM fct_orders
         WHERE issued_at >= TIMESTAMP '2001-01-01'""",

@@ -26,6 +26,7 @@ class Entity:
     columns: tuple[tuple[str, str], ...]  # bronze name, source expression
     watermark: str | None = None
     snapshot: bool = False
+    instead: str | None = None  # source column that stands in where the watermark's is NULL
 
 
 # Source tables and the columns each bronze table takes from them.
@@ -62,7 +63,7 @@ ENTITIES = {
                 ("estadomovimento", "cast(estadomovimento as string)"), ("usuario", "usuario"),
                 ("observacao", "observacao"),
             ),
-            watermark="datamovimento",
+            watermark="datamovimento", instead="datahistorico",
         ),
         Entity(
             "products_snapshot", "ORAINT.PRODUTO",
@@ -109,9 +110,12 @@ def query_rows(spark: SparkSession, sql: str, limit: int = 50) -> list[str]:
 def jdbc_options(
     url: str, table: str, user: str | None = None, password: str | None = None, driver: str | None = None,
     fetch_size: int = 2000, split_column: str | None = None, bounds: tuple | None = None, splits: int = 1,
+    one_task: bool = False,
 ) -> dict[str, str]:
-    """Options of a JDBC scan. With a split column the table is read by ``splits`` tasks at once; filters and column
-    lists put on the frame are pushed into the generated queries."""
+    """Options of a JDBC scan. The table is read by ``splits`` tasks at once, cut by the split column; a small one may
+    be read by ``one_task``. Filters and column lists put on the frame are pushed into the generated queries."""
+    if not split_column and not one_task:
+        raise ValueError("name a split column, or say one_task=True for a table that one task can read")
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), "pushDownPredicate": "true"}
     options |= {k: v for k, v in {"user": user, "password": password, "driver": driver}.items() if v}
     if split_column:
@@ -167,6 +171,20 @@ def scan(source: DataFrame, watermark: str, start: datetime) -> DataFrame:
     return source.where(F.col(watermark) >= moment(start))
 
 
+def source_window(source: DataFrame, entity: Entity, start: datetime, end: datetime | None = None) -> DataFrame:
+    """The source rows whose watermark lies in the window, by conditions on bare columns, which Parquet and JDBC scans
+    evaluate themselves."""
+
+    def inside(column: str) -> Column:
+        after = F.col(column) >= moment(start)
+        return after & (F.col(column) < moment(end)) if end else after
+
+    kept = inside(entity.watermark)
+    if entity.instead:
+        kept = kept | (F.col(entity.watermark).isNull() & inside(entity.instead))
+    return source.where(kept)
+
+
 def project(source: DataFrame, entity: Entity) -> DataFrame:
     return lower_names(source).select(*[F.expr(sql).alias(name) for name, sql in entity.columns])
 
@@ -222,22 +240,21 @@ def extract(
     import time
 
     began = time.monotonic()
-    rows = project(source, entity)
-    start = None
+    rows, start = lower_names(source), None
     if entity.watermark and not entity.snapshot:
         if window:
             start = window[0]
-            rows = scan(rows, entity.watermark, start).where(F.col(entity.watermark) < moment(window[1]))
+            rows = source_window(rows, entity, *window)
         else:
             last = checkpoints.last_value(spark, checkpoint_path, entity.name)
             start = lower_bound(mode, last, as_of, days)
-            rows = scan(rows, entity.watermark, start)
-    rows = normalise(rows).withColumn("_cdc_loaded_at", moment(as_of))
+            rows = source_window(rows, entity, start)
+    rows = normalise(project(rows, entity)).withColumn("_cdc_loaded_at", moment(as_of))
     top = F.max(entity.watermark if entity.watermark else F.lit(None).cast("timestamp_ntz"))
     seen = Observation(f"{entity.name}-{run_id}")
     observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), top.alias("top"))
     path = f"{bronze_root}/{entity.name}"
-    tables.overwrite(observed, path) if entity.snapshot else tables.append(observed, path)
+    tables.overwrite(observed, path) if entity.snapshot else tables.append(observed, path, run_id)
     count, watermark = seen.get["rows"], seen.get.get("top")
     if not window:
         checkpoints.save(

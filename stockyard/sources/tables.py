@@ -1,12 +1,15 @@
 """Tables as folders of Parquet versions, and key merge.
 
-A write goes to a new version folder, which counts once Spark has put its ``_SUCCESS`` marker there. Readers therefore
-see the old or the new table, never a part of one, also when executors or the driver are lost midway. A table format
-with row-level operations does this better; ``merge_into`` uses it where the catalog offers it.
+A write goes to a new version folder, which counts once Spark has put its ``_SUCCESS`` marker there; an append goes to a
+folder of its own beside the version it belongs to, named by its run, so that a repeated run replaces it. Readers see
+the old or the new table, never a part of one, also when executors or the driver are lost midway. Only the replacement
+of partitions (``merge_partitions``) moves finished folders one by one; a run that was lost there is carried on by the
+next. A table format with row-level operations does this better; ``merge_into`` uses it where the catalog offers it.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
@@ -22,15 +25,22 @@ PART = "part_key"
 
 
 def _with_part(df: DataFrame, column: str | None) -> DataFrame:
+    """The folder column, and the rows of a folder brought together: a file or a few per folder, however many tasks
+    there were. Adaptive execution splits the heavy folders."""
     if column is None:
         return df
-    return df.withColumn(PART, F.concat(F.lit("p"), F.coalesce(F.col(column).cast("string"), F.lit("-"))))
+    part = F.concat(F.lit("p"), F.coalesce(F.col(column).cast("string"), F.lit("-")))
+    return df.withColumn(PART, part).hint("rebalance", F.col(PART))
 
 
 class MergeError(ValueError):
     """The rows to merge hold a key twice."""
 
 
+class EmptyRefreshError(ValueError):
+    """A full refresh would replace a table that has rows by one that has none."""
+
+
 def _folder(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(path)
@@ -59,7 +69,15 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     found = versions(spark, path)
     if not found:
         raise FileNotFoundError(path)
-    return spark.read.parquet(_version_path(path, found[-1]))
+    return spark.read.parquet(_version_path(path, found[-1]), *_appended(spark, path, found[-1]))
+
+
+def _appended(spark: SparkSession, path: str, n: int, complete: bool = True) -> list[str]:
+    """Folders of the appends to a version."""
+    fs, folder, hadoop = _folder(spark, path)
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+    own = [f"{path}/{x}" for x in names if x.startswith(f"v{n:08d}+")]
+    return [x for x in own if not complete or fs.exists(hadoop.Path(f"{x}/_SUCCESS"))]
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -91,21 +109,26 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_b
     return n
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Add rows to the current version; a table that does not exist yet is created. Rows that arrive twice are left
-    to the silver layer, which keeps one per key."""
-    found = versions(df.sparkSession, path)
-    n = found[-1] if found else 1
-    df.write.mode("append").partitionBy(*partition_by).parquet(_version_path(path, n))
+def append(df: DataFrame, path: str, run_id: str | None = None) -> int:
+    """Add rows to the current version; a table that does not exist yet is created.
+
+    The rows become visible together. A run that is repeated under its ``run_id`` replaces what it appended before;
+    rows that arrive twice otherwise are left to the silver layer, which keeps one per key.
+    """
+    spark = df.sparkSession
+    found = versions(spark, path)
+    n = found[-1] if found else overwrite(spark.createDataFrame([], df.schema), path)
+    name = re.sub(r"[^\w.-]", "-", run_id) if run_id else uuid.uuid4().hex
+    df.write.mode("overwrite").parquet(f"{_version_path(path, n)}+{name}")
     return n
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> int:
+def append_new(df: DataFrame, path: str, keys: Sequence[str], run_id: str | None = None) -> int:
     """Append only the rows whose key is not stored yet."""
     spark = df.sparkSession
     if exists(spark, path):
         df = without_keys(df, read(spark, path), keys, null_safe=True)
-    return append(df, path)
+    return append(df, path, run_id)
 
 
 def expire(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
@@ -113,7 +136,8 @@ def expire(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     fs, _, hadoop = _folder(spark, path)
     old = versions(spark, path)[:-keep]
     for n in old:
-        fs.delete(hadoop.Path(_version_path(path, n)), True)
+        for folder in [_version_path(path, n), *_appended(spark, path, n, complete=False)]:
+            fs.delete(hadoop.Path(folder), True)
     return old
 
 
@@ -168,9 +192,12 @@ def _staged(new: DataFrame, path: str):
 
 def create(
     df: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True, partition: str | None = None,
-    sort_by: str | None = None,
+    sort_by: str | None = None, may_be_empty: bool = True,
 ) -> int:
-    """Write the next version, look for repeated keys in what was written, and only then publish it."""
+    """Write the next version, look for repeated keys in what was written, and only then publish it.
+
+    With ``may_be_empty=False`` an empty result is not published over rows.
+    """
     df = _sorted(df, sort_by)
     spark = df.sparkSession
     found = versions(spark, path)
@@ -180,7 +207,10 @@ def create(
     if partition:
         writer = writer.partitionBy(PART)
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
-    _refuse_duplicates(spark.read.schema(df.schema).parquet(target), keys, null_safe)
+    after = spark.read.schema(df.schema).parquet(target)
+    _refuse_duplicates(after, keys, null_safe)
+    if not may_be_empty and found and after.isEmpty() and not read(spark, path).isEmpty():
+        raise EmptyRefreshError(path)
     fs, _, hadoop = _folder(spark, path)
     fs.create(hadoop.Path(f"{target}/_SUCCESS")).close()
     return n
@@ -204,26 +234,47 @@ def merge_partitions(
     """Key merge that reads and rewrites only the partitions the new rows fall into.
 
     ``partition`` must be one of the keys, so that a row cannot move between partitions. The driver sees the names of
-    the touched folders, never rows. Each folder is replaced on commit, so a run lost during the commit is repeated;
-    the merge gives the same result again.
+    the touched folders, never rows: one per day or month of the new rows. The merged partitions are written in full
+    beside the table and then put in the place of the old ones; a run that is lost in between is carried on by the
+    next one, before it reads anything.
     """
     if partition not in keys:
         raise ValueError(f"{partition} is not part of the key")
     if not exists(spark, path):
         return create(new, path, keys, null_safe, partition)
+    n = versions(spark, path)[-1]
+    for left in _merges(spark, path):
+        _put_in_place(spark, left, _version_path(path, n))
     with _staged(new, path) as rows:
         _refuse_duplicates(rows, keys, null_safe)
-        n = versions(spark, path)[-1]
         touched = [row[0] for row in _with_part(rows, partition).select(PART).distinct().collect()]
         affected = _stored(spark, path).where(F.col(PART).isin(touched)).drop(PART)
-        (
-            _with_part(merged(affected, rows, keys, null_safe), partition)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART)
-            .parquet(_version_path(path, n))
-        )
+        folder = f"{path}/_merge-{uuid.uuid4().hex}"
+        _with_part(merged(affected, rows, keys, null_safe), partition).write.partitionBy(PART).parquet(folder)
+    _put_in_place(spark, folder, _version_path(path, n))
     return n
 
 
+def _merges(spark: SparkSession, path: str) -> list[str]:
+    """Merged partitions that were written in full and not all put in place."""
+    fs, folder, hadoop = _folder(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("_merge-")]
+    return [f"{path}/{x}" for x in names if fs.exists(hadoop.Path(f"{path}/{x}/_SUCCESS"))]
+
+
+def _put_in_place(spark: SparkSession, folder: str, version: str) -> None:
+    """Move each partition of ``folder`` over the one of ``version``. Doing it again carries on where it stopped."""
+    fs, source, hadoop = _folder(spark, folder)
+    for status in fs.listStatus(source):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{PART}="):
+            target = hadoop.Path(f"{version}/{name}")
+            fs.delete(target, True)
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"cannot move {status.getPath()} to {target}")
+    fs.delete(source, True)
+
+
 def merge_into(new: DataFrame, table: str, keys: Sequence[str], null_safe: bool = True) -> None:
     """Key merge by the catalog's own row-level operation, for tables in a format that has one."""
     op = "<=>" if null_safe else "="
@@ -258,7 +309,7 @@ def materialize(
     With a ``partition`` column the merge touches only the partitions that receive rows.
     """
     if full_refresh:
-        return create(build(None), path, keys, null_safe, partition, sort_by)
+        return create(build(None), path, keys, null_safe, partition, sort_by, may_be_empty=False)
     since = high_water(spark, path, high_water_column, lookback) if high_water_column else None
     if partition:
         return merge_partitions(spark, build(since), path, keys, partition, null_safe)

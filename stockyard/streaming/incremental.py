@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stockyard.functions.exprs import moment
+from stockyard.sources import tables
 from stockyard.sources.extract import normalise
 
 
@@ -24,10 +25,11 @@ def new_files(spark: SparkSession, folder: str, schema: T.StructType, per_batch:
 def load_available(
     spark: SparkSession, folder: str, schema: T.StructType, target: str, checkpoint: str, at, per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Append everything that has arrived to a bronze folder, then stop. A file is loaded exactly once, also when the
-    run is broken off and started again."""
+    """Append everything that has arrived to a bronze table, then stop. A file is loaded exactly once, also when the
+    run is broken off and started again: a batch that comes again replaces what it appended before."""
     rows = normalise(new_files(spark, folder, schema, per_batch)).withColumn("_cdc_loaded_at", moment(at))
-    return (
-        rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", target)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+
+    def load(batch: DataFrame, number: int) -> None:
+        tables.append(batch, target, f"batch-{number}")
+
+    return rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

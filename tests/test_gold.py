@@ -66,11 +66,27 @@ def test_metrics_feed_the_job_panels(spark, stored):
     assert reports.run_counts(runs, now).first().failed == 0
 
 
-def test_a_failing_model_is_reported_and_the_rest_go_on(spark, tmp_path, monkeypatch):
-    warehouse = gold.Warehouse(spark, str(tmp_path / "bronze"), str(tmp_path / "gold"), NOW)
+def test_a_failed_fact_stops_its_marts(spark, stored, monkeypatch):
+    warehouse, _, _, _ = stored
+    before = tables.versions(spark, warehouse.gold_path("mart_order_sla"))
     broken = gold.Model("fct_orders", ("order_id",), lambda w, _: w.gold("missing"))
-    monkeypatch.setattr(gold, "FACTS", [broken, gold.FACTS[1]])
-    monkeypatch.setattr(gold, "MARTS", [])
+    monkeypatch.setattr(gold, "FACTS", [broken, *gold.FACTS[1:]])
     states = {r.task: r.state for r in gold.build_gold(warehouse, "r").collect()}
-    assert states == {"fct_orders": "failed", "fct_movements": "success"}
-    assert warehouse.gold("fct_movements").count() == 0
+    assert {k for k, v in states.items() if v == "failed"} == {"fct_orders"}
+    assert {k for k, v in states.items() if v == "skipped"} == {"mart_order_sla", "mart_geo_performance", "mart_weather_impact"}
+    assert tables.versions(spark, warehouse.gold_path("mart_order_sla")) == before
+
+
+def test_nothing_is_published_over_rows(spark, stored, tmp_path):
+    """Neither without bronze, nor from bronze without rows."""
+    warehouse, base, _, _ = stored
+    rows = counts(warehouse)
+    nowhere = gold.Warehouse(spark, str(tmp_path / "mistyped"), f"{base}/gold", NOW)
+    states = {r.task: r.state for r in gold.build_gold(nowhere, "r", full_refresh=True).collect()}
+    assert {states[m.name] for m in gold.FACTS} == {"failed"} and set(states.values()) == {"failed", "skipped"}
+    empty = gold.Warehouse(spark, str(tmp_path / "empty"), f"{base}/gold", NOW)
+    for name in ("orders_documento", "movements_entrada_saida", "inventory_produtoestoque"):
+        tables.overwrite(warehouse.bronze(name).limit(0), f"{empty.bronze_root}/{name}")
+    states = {r.task: r.state for r in gold.build_gold(empty, "r", full_refresh=True).collect()}
+    assert {states[m.name] for m in gold.FACTS} == {"failed"}
+    assert counts(warehouse) == rows

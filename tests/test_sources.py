@@ -1,5 +1,6 @@
 """Load modes, versioned tables, checkpoints and key merge."""
 
+import shutil
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -238,7 +239,9 @@ def test_envelope(spark, path):
 
 
 def test_jdbc_options():
-    plain = extract.jdbc_options("jdbc:x", "t")
+    with pytest.raises(ValueError):
+        extract.jdbc_options("jdbc:x", "t")
+    plain = extract.jdbc_options("jdbc:x", "t", one_task=True)
     assert plain == {"url": "jdbc:x", "dbtable": "t", "fetchsize": "2000", "pushDownPredicate": "true"}
     split = extract.jdbc_options("jdbc:x", "t", split_column="id", bounds=(0, 9), splits=3)
     assert split["partitionColumn"] == "id" and split["numPartitions"] == "3"
@@ -258,4 +261,47 @@ def test_streamed_files_are_loaded_once(spark, path):
         df.write.mode("append").parquet(source)
         for _ in range(2):
             incremental.load_available(spark, source, df.schema, target, marks, NOW).awaitTermination()
-        assert content(spark.read.parquet(target).select("k", "v")) == [("a", 1.5)] * n
+        assert content(tables.read(spark, target).select("k", "v")) == [("a", 1.5)] * n
+
+
+def test_appends_are_published_and_repeatable(spark, path, tmp_path):
+    df = lambda v: spark.createDataFrame([("a", v)], "k string, v int")
+    tables.append(df(1), path, "run 1")
+    for _ in range(2):
+        tables.append(df(2), path, "run 2")
+    (tmp_path / "table" / "v00000001+run-3").mkdir()  # an append that was lost midway
+    assert content(tables.read(spark, path)) == [("a", 1), ("a", 2)]
+    tables.overwrite(df(9), path)
+    tables.overwrite(df(10), path)
+    assert tables.expire(spark, path, keep=1) == [1, 2]
+    assert [p.name for p in (tmp_path / "table").iterdir()] == ["v00000003"]
+
+
+def test_a_lost_partition_merge_is_carried_on(spark, path, tmp_path):
+    schema = "d date, k string, v int"
+    d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
+    tables.merge_partitions(spark, spark.createDataFrame([(d1, "a", 1), (d2, "a", 2), (d2, "b", 3)], schema), path, ["d", "k"], "d")
+    # a run wrote its merged partition, removed the old one, and was lost before it moved the new one there
+    base = tmp_path / "table"
+    merged = spark.createDataFrame([(d2, "a", 2), (d2, "b", 30)], schema)
+    tables._with_part(merged, "d").write.partitionBy(tables.PART).parquet(f"{path}/_merge-lost")
+    shutil.rmtree(base / "v00000001" / f"{tables.PART}=p2024-01-02")
+    tables.merge_partitions(spark, spark.createDataFrame([(d1, "c", 4)], schema), path, ["d", "k"], "d")
+    assert content(tables.read(spark, path)) == [(d1, "a", 1), (d1, "c", 4), (d2, "a", 2), (d2, "b", 30)]
+    assert sorted(p.name for p in base.iterdir()) == ["v00000001"]
+
+
+def test_few_files_per_partition(spark, path, tmp_path):
+    days = spark.range(3000).repartition(16).selectExpr("date_add(date'2024-01-01', cast(id % 10 as int)) as d", "id")
+    tables.create(days, path, ["d", "id"], partition="d")
+    assert len(list((tmp_path / "table").rglob("*.parquet"))) == 10
+
+
+def test_movements_bound_reaches_the_scan(spark, path):
+    rows = [("1", NOW, None), ("2", None, NOW), ("3", None, None), ("4", NOW - timedelta(days=9), NOW)]
+    spark.createDataFrame(rows, "sequenciamovimento string, datamovimento timestamp_ntz, datahistorico timestamp_ntz").write.parquet(path)
+    kept = extract.source_window(spark.read.parquet(path), extract.ENTITIES["movements_entrada_saida"], NOW - timedelta(days=1))
+    assert sorted(r.sequenciamovimento for r in kept.collect()) == ["1", "2"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "Or(GreaterThanOrEqual(datamovimento" in pushed and "And(IsNull(datamovimento),GreaterThan" in pushed
