@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHUNK_SIZE, CHUNK_OVERLAP, MIN_CHUNK = 800, 100, 50
 BLANK_LINE = r"\n{2,}"
@@ -80,7 +80,7 @@ def title(path: Column, text: Column) -> Column:
 
 
 def index_documents(docs: DataFrame, path_column: str, text_column: str, **options) -> DataFrame:
-    """Search payload of a full re-index: a stable point id per chunk, type, title, content and source."""
+    """Search payload of a full re-index: a point id made of source and chunk number, type, title, content and source."""
     path, text = F.col(path_column), F.col(text_column)
     return (
         docs.where(_strip(text) != "")
@@ -88,7 +88,7 @@ def index_documents(docs: DataFrame, path_column: str, text_column: str, **optio
             document_type(path).alias("doc_type"), title(path, text).alias("title"), path.alias("source"),
             F.posexplode(split_chunks(text, **options)).alias("chunk_no", "content"),
         )
-        .select(F.xxhash64("source", "chunk_no").alias("point_id"), "doc_type", "title", "content", "source", "chunk_no")
+        .select(F.md5(F.concat_ws("#", "source", "chunk_no")).alias("point_id"), "doc_type", "title", "content", "source", "chunk_no")
     )
 
 
@@ -126,3 +126,59 @@ def cosine_topk(
         vectors.withColumn("score", cosine_to(query)(vector_column)).where("score is not null")
         .orderBy(F.desc("score"), id_column).limit(k)
     )
+
+
+QUERY_BLOCK = 4096
+
+
+def search(
+    index: DataFrame, queries: DataFrame, k: int = 5, vector_column: str = "embedding", id_column: str = "vec_id",
+    query_id: str = "query_id", block: int = QUERY_BLOCK,
+) -> DataFrame:
+    """For each of ``queries`` (``query_id``, ``vector_column``) the ``k`` rows of ``index`` nearest by cosine, with rank,
+    score and their other columns as payload. Ties go to the smaller id.
+
+    The questions are a stated set: they are sent out in blocks of ``block`` vectors, so what a task holds is bounded,
+    and the index is read once per block. Each task keeps its best ``k`` per question, so pairs never leave it, and only
+    the winners meet their payload. Vectors that are NULL or without magnitude take no part.
+    """
+    vectors = index.select(F.col(id_column).cast("long").alias("_id"), F.col(vector_column).alias("_v"))
+    schema = f"{query_id} long, _id long, score double"
+    asked, found = [], None
+    rows = queries.select(F.col(query_id).cast("long"), vector_column).where(F.col(vector_column).isNotNull()).toLocalIterator()
+
+    def part(some: list) -> DataFrame:
+        ids = np.array([r[0] for r in some], np.int64)
+        targets = np.array([r[1] for r in some], np.float64)
+        lengths = np.linalg.norm(targets, axis=1)
+        ids, targets = ids[lengths > 0], (targets / np.maximum(lengths, 1e-300)[:, None])[lengths > 0]
+
+        def best(batches):
+            top_scores, top_ids = np.empty((len(ids), 0)), np.empty((len(ids), 0), np.int64)
+            for b in batches:
+                fits = pc.fill_null(pc.equal(pc.list_value_length(b.column(1)), targets.shape[1]), False)
+                matrix = b.column(1).filter(fits).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, targets.shape[1])
+                own = b.column(0).filter(fits).to_numpy()
+                norm = np.linalg.norm(matrix, axis=1)
+                good = np.isfinite(norm) & (norm > 0)
+                scores = np.concatenate([top_scores, targets @ (matrix[good] / norm[good, None]).T], axis=1)
+                every = np.concatenate([top_ids, np.broadcast_to(own[good], (len(ids), good.sum()))], axis=1)
+                order = np.lexsort((every, -scores), axis=1)[:, :k]
+                top_scores, top_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(every, order, 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids, top_ids.shape[1])), pa.array(top_ids.ravel()), pa.array(top_scores.ravel())], [query_id, "_id", "score"]
+            )
+
+        return vectors.mapInArrow(best, schema)
+
+    for row in rows:
+        asked.append(row)
+        if len(asked) == block:
+            found, asked = part(asked) if found is None else found.unionByName(part(asked)), []
+    if asked:
+        found = part(asked) if found is None else found.unionByName(part(asked))
+    if found is None:
+        found = index.sparkSession.createDataFrame([], schema)
+    ranks = Window.partitionBy(query_id).orderBy(F.desc("score"), "_id")
+    winners = found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
+    return winners.join(index.drop(vector_column), F.col("_id") == F.col(id_column)).drop("_id")

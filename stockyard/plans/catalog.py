@@ -162,6 +162,15 @@ def _cosine(lake: Layers) -> DataFrame:
     return docs.cosine_topk(vectors, query).select("vec_id", "label", F.round("score", 6).alias("score"))
 
 
+def _search(lake: Layers) -> DataFrame:
+    """The documents nearest to each of many questions, with their payload; each tenth vector asks."""
+    documents = binding.table(lake.spark, lake.root, "documents").select("doc_id", "source", "lang")
+    index = binding.table(lake.spark, lake.root, "embeddings").join(documents, F.col("vec_id") == F.col("doc_id"))
+    questions = index.where(F.col("vec_id") % 10 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    found = docs.search(index.drop("doc_id"), questions)
+    return found.select("query_id", "rank", "vec_id", "source", "lang", F.round("score", 6).alias("score"))
+
+
 def _chart(name: str, as_of: datetime) -> Callable[[Layers], DataFrame]:
     def run(lake: Layers) -> DataFrame:
         chart = reports.charts(as_of)[name]
@@ -290,14 +299,15 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "bronze_envelope": _envelope,
     "evolve_schema": _evolve,
     "geo_enrich": lambda k: enrich.geo_reference(k.bronze("entities"), k.bronze("addresses")),
-    "state_of_ibge_code": lambda k: k.bronze("addresses").select(
+    "state_of_ibge_code": lambda k: k.bronze("address_book").select(
         F.col("cep").cast("long").cast("string").alias("entity_id"), uf_of_ibge_code("ibge").alias("uf")
     ),
     "weather_explode": lambda k: enrich.explode_weather(k.bronze("weather_responses")),
     "weather_requests": lambda k: enrich.weather_requests(k.geo, ORDERS_AS_OF),
     "chunk_documents": lambda k: docs.chunk(binding.table(k.spark, k.root, "documents"), "doc_id", sep=r"\n+"),
-    "index_documents": lambda k: docs.index_documents(_documents(k), "path", "text", sep=r"\n+").drop("point_id"),
+    "index_documents": lambda k: docs.index_documents(_documents(k), "path", "text", sep=r"\n+"),
     "cosine_topk": _cosine,
+    "cosine_search": _search,
 }
 
 

@@ -733,8 +733,7 @@ SQL = {
         LEFT JOIN states ON states.uf = CASE WHEN s_suppkey % 7 = 6 THEN 'XX' ELSE """ + UFS + """[n_nationkey + 1] END
         WHERE s_suppkey % 13 <> 12 AND s_suppkey % 10 <> 9""",
     "state_of_ibge_code": f"""
-        SELECT CAST(s_suppkey AS VARCHAR) AS entity_id, {UFS}[s_nationkey + 1] AS uf FROM supplier
-        WHERE s_suppkey % 10 <> 9""",
+        SELECT CAST(s_suppkey AS VARCHAR) AS entity_id, {UFS}[s_nationkey + 1] AS uf FROM supplier""",
     "weather_explode": f"""
         SELECT location_uf, weather_date, avg_temperature_c, min_temperature_c, max_temperature_c, precipitation_mm,
                wind_speed_kmh, weather_code, {LABELS} AS weather_condition
@@ -745,14 +744,15 @@ SQL = {
     # documents and vectors
     "chunk_documents": "SELECT doc_id, chunk_no, content FROM chunks",
     "index_documents": """
-        SELECT CASE WHEN doc_id % 4 = 0 THEN 'adr' WHEN doc_id % 4 = 1 THEN 'runbook'
+        SELECT md5(source || '#' || chunk_no) AS point_id, *
+        FROM (SELECT CASE WHEN doc_id % 4 = 0 THEN 'adr' WHEN doc_id % 4 = 1 THEN 'runbook'
                     WHEN doc_id % 4 = 2 THEN 'architecture' ELSE 'doc' END AS doc_type,
                CASE WHEN doc_id % 4 = 2 THEN 'System Architecture ' ELSE 'Note ' END || doc_id AS title,
                'docs/' || CASE WHEN doc_id % 4 = 0 THEN 'adr/note-' WHEN doc_id % 4 = 1 THEN 'runbook/note-'
                     WHEN doc_id % 4 = 2 THEN 'system-architecture-' ELSE 'runbooks/note-' END || doc_id || '.md'
                  AS source,
                chunk_no, content
-        FROM chunks""",
+        FROM chunks)""",
     "cosine_topk": """
         SELECT vec_id, label, ROUND(list_dot_product(e, q) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(q, q))), 6)
                  AS score
@@ -760,6 +760,13 @@ SQL = {
                      (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings ORDER BY vec_id LIMIT 1) AS q FROM embeddings)
         ORDER BY list_dot_product(e, q) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(q, q))) DESC, vec_id
         LIMIT 5""",
+    "cosine_search": """
+        WITH v AS (SELECT vec_id, source, lang, CAST(embedding AS DOUBLE[]) AS e FROM embeddings JOIN documents ON vec_id = doc_id),
+        pairs AS (SELECT q.vec_id AS query_id, v.vec_id, v.source, v.lang,
+                         list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))) AS score
+                  FROM v JOIN v q ON q.vec_id % 10 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, source, lang, ROUND(score, 6) AS score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5""",
 }
 
 

@@ -66,3 +66,18 @@ def test_cosine_topk(spark):
     want = sorted(((score(v), i) for i, v in vectors[:50]), reverse=True)[:5]
     assert [r.vec_id for r in got] == [i for _, i in want]
     assert all(abs(r.score - s) < 1e-12 for r, (s, _) in zip(got, want))
+
+
+def test_search_of_many_questions(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([-1.0, 0.5, 2.0]) for _ in range(4)], f"t{i}") for i in range(80)] + [(90, None, "n"), (91, [0.0] * 4, "z"), (92, [1.0], "s")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, title string")
+    asked = df.where("vec_id < 12 or vec_id >= 90").selectExpr("vec_id as query_id", "embedding").where("vec_id <> 92")
+    unit = {i: [x / math.sqrt(sum(y * y for y in v)) for x in v] for i, v, _ in rows[:80]}
+    got = docs.search(df, asked, k=3, block=5).collect()
+    for q in range(12):
+        score = {i: sum(a * b for a, b in zip(unit[q], v)) for i, v in unit.items()}
+        best = sorted(score, key=lambda i: (-round(score[i], 9), i))[:3]
+        own = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [round(r.score, 9) for r in own] == [round(score[i], 9) for i in best] and all(r.title == f"t{r.vec_id}" for r in own)
+    assert {r.query_id for r in got} == set(range(12))
