@@ -24,9 +24,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table written to the shared folder and read back, so that lost executors cost no recomputation."""
+    """``df`` as a table written to the shared folder and read back, so that lost executors cost no recomputation.
+
+    Tables that a lazy result still reads stay; an application's folder can be deleted when the application has ended.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
