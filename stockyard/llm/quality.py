@@ -127,7 +127,8 @@ class Net:
 
 def train(x: np.ndarray, bag: np.ndarray, y: np.ndarray, seed: int = 5) -> Net:
     """Adam on batches of bags; rows of one bag stand together."""
-    net = Net(x.mean(0), x.std(0) + 1e-3)
+    mean = x.mean(0, dtype=np.float64)
+    net = Net(mean, np.sqrt(np.maximum(np.square(x).mean(0, dtype=np.float64) - mean**2, 0)) + 1e-3)
     rng = np.random.default_rng(seed)
     first = np.searchsorted(bag, np.arange(len(y) + 1))
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
@@ -172,7 +173,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     lists = got["x"].combine_chunks()
     x = lists.flatten().to_numpy().reshape(-1, FEATURES)
     bag = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()) // FEATURES)
-    return train(x.astype(np.float64), bag, y)
+    net = train(x, bag, y)
+    del got, lists, x
+    pa.default_memory_pool().release_unused()
+    return net
 
 
 def judged(net: Net | float, texts: pa.Array) -> np.ndarray:

@@ -164,18 +164,19 @@ class Model:
         for o in ORDERS:
             here = order == o
             bucket, context = counts["bucket"].to_numpy()[here], counts["context"].to_numpy()[here]
-            alpha = np.zeros((2, 1 << BITS[o]), np.float32)
-            weight = np.ones((2, 1 << BITS[o]), np.float32)
+            alpha, weight = np.zeros((2, 1 << BITS[o]), np.float16), np.ones((2, 1 << BITS[o]), np.float16)
             for side, name in enumerate(("plain", "toxic")):
-                n = counts[name].to_numpy()[here].astype(float)
+                n = counts[name].to_numpy()[here].astype(np.float64)
                 total = np.bincount(context, n, 1 << BITS[o])
-                kinds = np.bincount(context, n > 0, 1 << BITS[o])
                 alpha[side, bucket] = np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1)
-                weight[side] = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1)
+                kinds = np.bincount(context[n > 0], minlength=1 << BITS[o])
+                known = np.flatnonzero(total)
+                weight[side, known] = DISCOUNT * kinds[known] / total[known]
+                del total, kinds
             self.alpha[o], self.weight[o] = alpha, weight
 
     def __getstate__(self) -> dict:
-        """Tables in half precision and packed, as most buckets are alike: the model goes to every executor."""
+        """Tables packed, in half precision, as most buckets are alike: the model goes to every executor."""
         pack = lambda x: (x.shape, zlib.compress(x.astype(np.float16).tobytes(), 1))
         return {k: pack(v) if isinstance(v, np.ndarray) else {o: pack(t) for o, t in v.items()} for k, v in vars(self).items()}
 
@@ -239,6 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     labelled = texts.where(may_learn).hint("merge").join(told, "_id")  # the labels grow with the documents
     counts = class_counts(labelled.where("_rest <> 4")).toArrow()
     model = Model(counts, continuations(docs.select(F.col(text).alias("text"))).toArrow())
+    del counts
+    pa.default_memory_pool().release_unused()
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
