@@ -11,6 +11,8 @@ from tests.oracle import compare, connect
 QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 # these window over a handful of rows: statuses, calendar days
 FEW_ROWS = {"sla_distribution", "pending_alarm"}
+# nothing to find in the smallest tables
+NO_ROWS = {"pending_alarm"}
 
 
 def check_plan(name, df):
@@ -37,7 +39,7 @@ def test_query(spark, con, root, name):
     df = QUERIES[name](spark, root)
     check_plan(name, df)
     difference = compare(df, con, SQL[name])
-    assert difference in (None, "no rows"), difference
+    assert difference == ("no rows" if name in NO_ROWS else None)
 
 
 def test_entry(spark):
