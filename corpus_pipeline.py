@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stockyard.llm import near_duplicates, packing, passages, quality, toxicity
-from stockyard.llm.common import written
+from stockyard.llm.common import shipped, written
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents``: one row per sequence, with the ids of the documents in it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import importlib.util
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import stockyard
+
 SLICE_BYTES = 1 << 20
 
 
@@ -52,6 +58,31 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, with this package sent to its Python workers if they do not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_has_stockyard", False):
+        return spark
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([importlib.util.find_spec("stockyard") is not None])], ["there"])
+
+    if not spark.range(0, 1, 1, 1).mapInArrow(look, "there boolean").first()[0]:
+        package = Path(stockyard.__file__).parent
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, f"stockyard/{file.relative_to(package)}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/llm/{context.applicationId}/stockyard.zip")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(content.getvalue())
+        out.close()
+        context.addPyFile(path.toString())
+    context._has_stockyard = True
+    return spark
+
+
 def id_remainder(doc_id: str | Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``: the split into rows that may be learnt from and held-out rows."""
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % divisor

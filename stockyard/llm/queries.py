@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stockyard.llm import bpe, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm.common import shipped
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
