@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockyard.llm.common import filtered, id_remainder, mapped, slices, text_bytes, written
+from stockyard.llm.common import filtered, id_remainder, mapped, slices, text_bytes
 from stockyard.llm.fitting import logistic
 from stockyard.llm.words import mix
 
