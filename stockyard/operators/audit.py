@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stockyard.functions.exprs import epoch, moment, percent, ratio, today, trunc_to
+from stockyard.functions.exprs import epoch, moment, percent, ratio, trunc_to
 from stockyard.operators.marts import OUTBOUND_STATUS
 
 # Fixed values shown by the gap report.

@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockyard.functions.exprs import (
-    MONEY, epoch, exact_avg, lenient_double, moment, money_avg, money_sum, percent, ratio, today, trunc_to,
+    epoch, exact_avg, lenient_double, moment, money_avg, money_sum, percent, ratio, today, trunc_to,
 )
 
 ON_TIME = ["on_time_express", "on_time"]
