@@ -2,8 +2,9 @@
 
 The models run over the letters of a word with its boundaries (bytes of lower-case text, in 126 classes). Orders 4, 6
 and 8 have counts of their class; they back off to one distribution for both classes, the order-3 continuation counts of
-all documents, so that an expression which is rare in a class is judged by what the corpus makes of it. Counts of
-these orders are kept by hash bucket: the model's size has a bound, however large the corpus.
+all documents, so that an expression which is rare in a class is judged by what the corpus makes of it. Each n-gram
+has counts of its own: seven bits a letter make its key, 56 bits at most, and the model grows with the number of
+different n-grams in the labelled texts.
 
 A text's evidence is the log-likelihood ratio per letter of the whole text, the largest one of a passage of
 ``PASSAGE`` words, the largest of a single word, and what its words' ratios exceed ``MARGIN`` by, per word: an ordinary
@@ -25,7 +26,6 @@ from stockyard.llm.fitting import logistic
 from stockyard.llm.words import mix
 
 ORDERS = (4, 6, 8)
-BITS = {4: 19, 6: 20, 8: 22}
 DISCOUNT = 0.75
 PASSAGE = 32
 MARGIN = 2.0
@@ -34,6 +34,7 @@ LEAST_LETTERS = 100  # a shorter text or passage is not taken for more evidence
 EVIDENCE = ("whole", "passage", "word", "excess")
 CALIBRATION_ROWS = 6_000
 BATCH_BYTES = 1 << 19
+HELD_GRAMS = 1 << 20  # a task counts about this many different n-grams before it sends them on
 
 _CODE = np.zeros(256, np.uint8)
 _CODE[97:123] = np.arange(1, 27)
@@ -86,23 +87,26 @@ class Letters:
         return np.where(self.dist < 2, key & 127, key)
 
 
-def _bucket(keys: np.ndarray, order: int, bits: int) -> np.ndarray:
-    return (mix(keys.view(np.uint64) + np.uint64(order << 56)) >> np.uint64(64 - bits)).astype(np.int64)
+def grams(letters: Letters, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places with a full n-gram of this order, and the n-grams; one's context is all but its last seven bits."""
+    at = np.flatnonzero(letters.dist >= order - 1)
+    return at, letters.keys(order)[at]
 
 
-def grams(letters: Letters, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places with a full n-gram of this order, their buckets, and the buckets of the contexts."""
-    at = np.flatnonzero(letters.dist >= order - 1)
-    key = letters.keys(order)[at]
-    return at, _bucket(key, order, BITS[order]), _bucket(key >> 7, 16 + order, BITS[order])
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and the sum of ``n`` for each."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[new], np.add.reduceat(n, new) if len(new) else n
 
 
 def class_counts(labelled: DataFrame) -> DataFrame:
-    """order, bucket, context, toxic, plain: how often each n-gram occurs in the texts (text, label) of each class."""
+    """order, bucket, toxic, plain: how often each n-gram (its letters' codes as one number) occurs in the texts
+    (text, label) of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {o: np.zeros((2, 1 << BITS[o]), np.int32) for o in ORDERS}
-        contexts = {o: np.zeros(1 << BITS[o], np.int32) for o in ORDERS}
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for whole in batches:
             for b in slices(whole, 0, BATCH_BYTES):
                 label = b.column(1).to_numpy(zero_copy_only=False)
@@ -110,21 +114,24 @@ def class_counts(labelled: DataFrame) -> DataFrame:
                 word = np.repeat(label[letters.word_doc], letters.length)
                 side = np.zeros(len(letters.codes), np.int64)
                 side[1 : 1 + len(word)] = word
-                for o in ORDERS:
-                    at, bucket, context = grams(letters, o)
-                    both, n = np.unique(bucket * 2 + side[at], return_counts=True)
-                    counts[o][both & 1, both >> 1] += n.astype(np.int32)
-                    contexts[o][bucket] = np.maximum(contexts[o][bucket], context)
-        for o in ORDERS:
-            seen = np.flatnonzero(counts[o].any(0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((seen | o << 24).astype(np.int32)), pa.array(contexts[o][seen]), pa.array(counts[o][1, seen]), pa.array(counts[o][0, seen])],
-                ["slot", "context", "toxic", "plain"],
-            )
-
-    parts = labelled.select("text", "label").mapInArrow(run, "slot int, context int, toxic int, plain int")
-    summed = parts.groupBy("slot").agg(F.max("context").alias("context"), F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
-    return summed.selectExpr("slot >> 24 as order", f"slot & {(1 << 24) - 1} as bucket", "context", "toxic", "plain")
+                for i, o in enumerate(ORDERS):
+                    at, key = grams(letters, o)
+                    new, n = np.unique((key | i << 56) << 1 | side[at], return_counts=True)
+                    keys, counts = np.append(keys, new), np.append(counts, n)
+                keys, counts = _summed(keys, counts)
+                if len(keys) > HELD_GRAMS:
+                    yield rows(keys, counts)
+                    keys, counts = keys[:0], counts[:0]
+        yield rows(keys, counts)
+
+    def rows(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        toxic = keys & 1
+        return pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array(n * toxic), pa.array(n * (1 - toxic))], ["gram", "toxic", "plain"])
+
+    parts = labelled.select("text", "label").mapInArrow(run, "gram long, toxic long, plain long")
+    summed = parts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    order = F.element_at(F.array(*map(F.lit, ORDERS)), (F.shiftright("gram", 56) + 1).cast("int"))
+    return summed.select(order.alias("order"), F.expr(f"gram & {(1 << 56) - 1}L").alias("bucket"), "toxic", "plain")
 
 
 def continuations(docs: DataFrame) -> DataFrame:
@@ -147,8 +154,40 @@ def continuations(docs: DataFrame) -> DataFrame:
     )
 
 
+class Places:
+    """Finds whole keys among ``keys``, which are all different, through a table as long as there are keys."""
+
+    def __init__(self, keys: np.ndarray):
+        own = mix(keys.view(np.uint64))  # a bijection: equal values are equal keys
+        self.order = np.argsort(own)
+        self.own = own[self.order]
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(self.own, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int64)
+        self.first = np.append(self.first, len(keys))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Where in ``order`` each key stands, -1 for a key that is not there."""
+        own = mix(keys.view(np.uint64))
+        part = (own >> self.shift).astype(np.int64)
+        at, end = self.first[part], self.first[part + 1]
+        out = np.full(len(keys), -1, np.int64)
+        live = np.flatnonzero(at < end)
+        at = at[live]
+        while len(live):
+            here, want = self.own[at], own[live]
+            hit = here == want
+            out[live[hit]] = at[hit]
+            on = (here < want) & (at + 1 < end[live])
+            live, at = live[on], at[on] + 1
+        return out
+
+
 class Model:
-    """Tables of both classes: discounted probability by n-gram bucket, backoff weight by context bucket."""
+    """Of both classes the discounted probability of each n-gram and the backoff weight of each context.
+
+    The last column of either is what an n-gram or a context has that the labelled texts do not.
+    """
 
     def __init__(self, counts: pa.Table, shared: pa.Table):
         base = np.zeros(LETTERS**3)
@@ -159,32 +198,34 @@ class Model:
         p = (single + 1) / (single.sum() + LETTERS)
         p = self._interpolate(pairs, p[None, :])
         self.base = self._interpolate(triples, p[None, :, :]).astype(np.float32).ravel()
-        self.alpha, self.weight = {}, {}
+        self.grams, self.contexts, self.alpha, self.weight = {}, {}, {}, {}
         order = counts["order"].to_numpy()
         for o in ORDERS:
-            here = order == o
-            bucket, context = counts["bucket"].to_numpy()[here], counts["context"].to_numpy()[here]
-            alpha, weight = np.zeros((2, 1 << BITS[o]), np.float16), np.ones((2, 1 << BITS[o]), np.float16)
+            here = np.flatnonzero(order == o)
+            key = counts["bucket"].to_numpy()[here]
+            here = here[np.argsort(key)]
+            key.sort()
+            new = np.append(True, key[1:] >> 7 != key[:-1] >> 7)[: len(key)]  # n-grams of one context follow each other
+            cut, context = np.flatnonzero(new), np.cumsum(new) - 1
+            grams, contexts = Places(key), Places(key[cut] >> 7)
+            alpha, weight = np.zeros((2, len(key) + 1), np.float32), np.ones((2, len(cut) + 1), np.float32)
             for side, name in enumerate(("plain", "toxic")):
                 n = counts[name].to_numpy()[here].astype(np.float64)
-                total = np.bincount(context, n, 1 << BITS[o])
-                alpha[side, bucket] = np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1)
-                kinds = np.bincount(context[n > 0], minlength=1 << BITS[o])
-                known = np.flatnonzero(total)
-                weight[side, known] = DISCOUNT * kinds[known] / total[known]
-                del total, kinds
-            self.alpha[o], self.weight[o] = alpha, weight
+                total = np.bincount(context, n, len(cut))
+                kinds = np.bincount(context[n > 0], minlength=len(cut))
+                alpha[side, :-1] = (np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1))[grams.order]
+                weight[side, :-1] = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1)[contexts.order]
+            grams.order = contexts.order = None
+            self.grams[o], self.contexts[o], self.alpha[o], self.weight[o] = grams, contexts, alpha, weight
 
     def __getstate__(self) -> dict:
-        """Tables packed, in half precision, as most buckets are alike: the model goes to every executor."""
-        pack = lambda x: (x.shape, zlib.compress(x.astype(np.float16).tobytes(), 1))
-        return {k: pack(v) if isinstance(v, np.ndarray) else {o: pack(t) for o, t in v.items()} for k, v in vars(self).items()}
+        """The base packed, in half precision: the model goes to every executor."""
+        return vars(self) | {"base": zlib.compress(self.base.astype(np.float16).tobytes(), 1)}
 
     def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
         least = np.float32(6e-8)  # half precision knows no smaller number, and a probability is never zero
-        unpack = lambda x: np.frombuffer(zlib.decompress(x[1]), np.float16).astype(np.float32).reshape(x[0])
-        for k, v in state.items():
-            setattr(self, k, {o: unpack(t) for o, t in v.items()} if isinstance(v, dict) else np.maximum(unpack(v), least))
+        self.base = np.maximum(np.frombuffer(zlib.decompress(state["base"]), np.float16).astype(np.float32), least)
 
     @staticmethod
     def _interpolate(n: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -198,9 +239,10 @@ class Model:
             return np.zeros(0)
         p = np.stack([self.base[letters.triples()]] * 2)
         for o in ORDERS:
-            at, bucket, context = grams(letters, o)
+            at, key = grams(letters, o)
+            gram, context = self.grams[o].find(key), self.contexts[o].find(key >> 7)
             for side in (0, 1):
-                p[side, at] = self.alpha[o][side, bucket] + self.weight[o][side, context] * p[side, at]
+                p[side, at] = self.alpha[o][side, gram] + self.weight[o][side, context] * p[side, at]
         ratio = np.log(p[1]) - np.log(p[0])
         return np.add.reduceat(ratio[1:], letters.begins - 1)
 

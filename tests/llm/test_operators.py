@@ -379,6 +379,36 @@ def test_kneser_ney_base_sums_to_one():
     assert np.allclose(model.base.reshape(-1, 128).sum(1), 1, atol=1e-4)
 
 
+def test_every_ngram_has_counts_of_its_own(spark):
+    """All words of three letters: more n-grams than a table of 2^19 slots keeps apart."""
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    words = [x + y + z for x in abc for y in abc for z in abc]
+    texts = [(" ".join(words), 0), (" ".join(w for w in words if w < "c") + " lengthy lengthier", 1)]
+    want = {}
+    for text, label in texts:
+        for w in text.split():
+            w = f"\0{w}\0"
+            for o in toxicity.ORDERS:
+                for i in range(len(w) - o + 1):
+                    key = sum((ord(c) - 96 if c != "\0" else 0) << 7 * (o - 1 - j) for j, c in enumerate(w[i : i + o]))
+                    want.setdefault((o, key), [0, 0])[label] += 1
+    counts = toxicity.class_counts(spark.createDataFrame(texts, "text string, label int")).toArrow()
+    got = {(r["order"], r["bucket"]): [r["plain"], r["toxic"]] for r in counts.to_pylist()}
+    assert got == want and len(counts) == len(want)
+    model = toxicity.Model(counts, pa.table({"triple": pa.array([1], pa.int32()), "before": pa.array([1])}))
+    for o in toxicity.ORDERS:
+        keys = np.array([k for p, k in want if p == o], np.int64)
+        place = model.grams[o].find(keys)
+        assert len(set(place.tolist())) == len(keys) and (place >= 0).all()
+        total = {}
+        for (p, k), n in want.items():
+            if p == o:
+                total[k >> 7] = total.get(k >> 7, 0) + n[1]
+        for k, i in zip(keys.tolist(), place.tolist()):
+            assert model.alpha[o][1, i] == pytest.approx(max(want[o, k][1] - toxicity.DISCOUNT, 0) / max(total[k >> 7], 1), rel=1e-6)
+        assert (model.grams[o].find(np.array([(1 << 7 * o) - 1])) == -1).all()
+
+
 # --- packing
 
 
