@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockyard.llm.common import mapped, written
+from stockyard.llm.components import components
+from stockyard.llm.near_duplicates import confirmed, full_sets, linked_in_blocks
 from stockyard.llm.words import Permutations, mix, shingle_sets
 
 SHINGLE = 5
@@ -61,32 +63,46 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, band: int = BAND) -> DataFrame:
     """a, b: documents that agree on a whole band of the fingerprint and whose sets share ``percent`` of their union.
 
-    Equal fingerprints are one class, joined by its smallest id; a band's members are held against its smallest class,
-    so a band of many copies makes as many pairs as it has members. It gives the stars of the groups, not all pairs.
-    Texts without words and rows without an id have no pair.
+    Equal sets are one class, joined by its smallest id; a band's members are held against its smallest class, so a
+    band of many copies makes as many pairs as it has members. Members that this star leaves outside the component of
+    its centre are held against the centre's other members in blocks, so that the pairs given have the components of
+    all pairs. They are not all pairs: inside a component some are left out. Texts without words and rows without an
+    id have no pair; rows repeated under one id are one document.
     """
-    prints = written(fingerprints(docs, doc_id, text).where("n_shingles > 0 and doc_id is not null"), "prints")
-    classes = prints.groupBy("signature").agg(F.min("doc_id").alias("node"))
+    prints = written(_named(docs, doc_id, text), "prints")
+    classes = written(prints.groupBy("s1", "s2").agg(F.min("node").alias("node"), F.max("n").alias("n"), F.max("signature").alias("signature")), "classes")
+    copies = prints.withColumnRenamed("node", "b").join(classes, ["s1", "s2"]).where("b <> node").selectExpr("node as a", "b")
     bands = F.explode(F.expr(f"transform(sequence(0, {HASHES // band - 1}), i -> struct(i, substring(signature, i * {band} + 1, {band}) as bytes))"))
-    keys = classes.select("node", bands.alias("key"))
-    centre = keys.groupBy("key").agg(F.min("node").alias("a"), F.count("node").alias("n")).where("n > 1").select("key", "a")
-    stars = keys.join(centre, "key").where("node <> a").selectExpr("a", "node as b")
-    copies = prints.join(classes, "signature").where("doc_id <> node").selectExpr("node as a", "doc_id as b")
-    pairs = written(stars.unionByName(copies).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    keys = classes.select("node", "n", bands.alias("key"))
+    centre = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count("node").alias("members")).where("members > 1").select("key", "pivot")
+    placed = written(keys.join(centre, "key").where("node <> pivot").select("key", "pivot", "node", "n"), "placed")
+    stars = placed.selectExpr("pivot as a", "node as b").distinct()
+    sets = written(full_sets(docs, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), doc_id, text), "sets")
+    links = written(confirmed(stars, sets, percent).unionByName(copies).distinct(), "links")
+
+    # members of one band in different components have only been compared with the centre
+    found = written(components(links), "components")
+    here = placed.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = here.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    left = here.join(apart, "key").select("pivot", "node", "n", "component").distinct()
+    left = written(left.join(found.selectExpr("node as pivot", "component as main"), "pivot", "left"), "apart")
+    return links.unionByName(linked_in_blocks(left, sets, percent)).distinct()
+
+
+def _named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """node, n, the set's 128-bit name (s1, s2) and signature of the rows that have an id and words."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(b.column(1), SHINGLE)
-        offsets = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
-        return pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))], ["node", "items"])
-
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(wanted, "node", "left_semi")
-    sets = mapped(texts, each, "node long, items array<long>", text=1)
-    both = (
-        pairs.join(sets.selectExpr("node as b", "items as y"), "b").join(sets.selectExpr("node as a", "items as x"), "a")
-        .select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("same"))
-    )
-    return both.where(f"100 * same >= {percent} * (nx + ny - same)").select("a", "b").distinct()
+        names = np.array([[mix(s).sum(), mix(s ^ np.uint64(0x5DEECE66D)).sum()] for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1]),
+             pa.array([r.tobytes() for r in signatures(b.column(1))], pa.binary())],
+            ["node", "n", "s1", "s2", "signature"],
+        )
+
+    columns = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).where("node is not null")
+    return mapped(columns, each, "node long, n long, s1 long, s2 long, signature binary", text=1).where("n > 0")
 
 
 def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_rows: int = RANGE_ROWS) -> DataFrame:

@@ -335,6 +335,27 @@ def test_similar_pairs(spark):
     assert all(want[a][1] == want[b][1] for a, b in pairs)
 
 
+def test_similar_pairs_have_all_components(spark):
+    """Members of a band that are like each other, but not like its smallest ids."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(1000)]
+
+    def changed(n):
+        at = set(rng.sample(range(1000), n))
+        return " ".join(f"x{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(base))
+
+    rows = [(i, changed(10)) for i in range(14)] + [(100, " ".join(base)), (101, changed(1)), (102, changed(1)), (103, " ".join(base))]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(996)} for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 97 * len(sets[a] | sets[b])}
+    assert {(100, 101), (100, 102)} <= want and all(a >= 100 for a, b in want)
+    got = {tuple(sorted(p)) for p in fingerprint.similar(table(spark, rows), percent=97).collect()}
+    assert got <= want
+    reached = {100}
+    for _ in rows:
+        reached |= {x for p in got if reached & set(p) for x in p}
+    assert reached == {100, 101, 102, 103}
+
+
 # --- classifiers
 
 
