@@ -33,7 +33,10 @@ _TAG = re.compile(
 )
 _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
-RAW = frozenset("script style noscript template iframe object svg math canvas title select textarea".split())
+#: all up to the closing tag is no text of the page, or all of the rest where there is none
+RAW = frozenset("script style title textarea iframe".split())
+#: dropped with their closing tag; one without it is a tag like any other
+HIDDEN = frozenset("noscript template select".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -57,12 +60,32 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+def _closed(page: str, name: str) -> dict[int, int]:
+    """For the elements of this name that have a closing tag: where the opening tag ends, and where the closing one does."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    raw = None
+    for found in _TAG.finditer(page):
+        own, end = (found["name"] or found["name2"] or "").lower(), found["end"] or found["end2"]
+        if raw:
+            if end and own == raw:
+                raw = None
+        elif own == name and not end:
+            opened.append(found.end())
+        elif own == name and opened:
+            out[opened.pop()] = found.end()
+        elif own in ("script", "style") and not end:
+            raw = own
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: path of tags with hints (``div.sidebar``), text, characters inside links."""
     out: list[Block] = []
     stack: list[str] = []
     labels: list[str] = []
     parts: list[str] = []
+    hidden: dict[str, dict[int, int]] = {}
     linked = 0
     at, n = 0, len(page)
 
@@ -107,10 +130,21 @@ def blocks(page: str) -> list[Block]:
             elif name in BLOCK:
                 flush()
             continue
+        rest = found["rest"] if found["name"] else found["rest2"]
         if name in RAW:
+            foreign = "svg" in stack or "math" in stack
+            if foreign and rest.endswith("/"):
+                continue
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else n
-            continue
+            if close or not foreign:
+                at = close.end() if close else n
+                continue
+        if name in HIDDEN:
+            if name not in hidden:
+                hidden[name] = _closed(page, name)
+            if at in hidden[name]:
+                at = hidden[name][at]
+                continue
         if name == "br":
             parts.append(" ")
         if name in VOID:
@@ -125,7 +159,6 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[i] in ended:
                     del stack[i:], labels[i:]
-        rest = found["rest"] if found["name"] else found["rest2"]
         hints = ""
         if rest and "=" in rest:
             hints = ".".join(w for m in _HINT.finditer(rest) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower()))

@@ -231,6 +231,19 @@ def test_blocks():
     assert html.blocks("") == [] and html.blocks("<div></div><p> </p>") == []
 
 
+@pytest.mark.parametrize("page, texts", [
+    ('<p>a <svg width="1"/> b<p>c <math/> d<p>e', ["a b", "c d", "e"]),
+    ("<p>a<svg><title/><path d='1'/></svg> b<p>c<svg><title>t</title><script>x</script></svg> d", ["a b", "c d"]),
+    *((f"<p>a<{t}> b</p><p>c", ["a b", "c"]) for t in ("object", "canvas", "noscript", "template", "select", "svg", "math")),
+    ("<p>a<noscript> b</p><p>c<noscript>d</noscript> e", ["a b", "c e"]),
+    ("<p>a<template>b<template>c</template>d</template> e", ["a e"]),
+    ("<p>a<math><mi>x</mi></math> <object>y</object> <canvas>z</canvas> <svg><text>u</text></svg>", ["ax y z u"]),
+    ("<p>a<script>b<p>c", ["a"]), ("<p>a<title>b<p>c", ["a"]),
+])
+def test_blocks_keep_what_stands_behind_embedded_elements(page, texts):
+    assert [b.text for b in html.blocks(page)] == texts
+
+
 def test_field_marginals_and_viterbi():
     """Against all labellings of a short sequence."""
     rng = np.random.default_rng(1)
