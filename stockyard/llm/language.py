@@ -4,8 +4,8 @@ For each language a suffix automaton holds labelled text of at most ``LEARN_LETT
 greedily into the longest phrases that occur in a language's text; a foreign text needs more phrases. The language
 with the fewest phrases per letter wins, ties going to the first in alphabetical order.
 
-All automata stand in one table of transitions (state, letter), and many windows of texts walk it side by side, one
-letter a step. Windows of ``WINDOW`` letters cover a text from end to end; each begins a phrase of its own.
+Every letter of the learnt texts is a kind of its own; letters that no learnt text has share one. All automata stand in
+one table of transitions (state, letter), and many windows of texts walk it side by side, one letter a step. Windows of ``WINDOW`` letters cover a text from end to end; each begins a phrase of its own.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from stockyard.llm.common import id_remainder, mapped
 LEARN_LETTERS = 40_000  # per language, at most
 LEARN_TEXTS = 200  # per language, at most
 WINDOW = 512
-KINDS = 62  # letters that the table tells apart: the most frequent ones; others share one kind, all else is a gap
+KINDS = 62  # of the most frequent letters' kinds, and of gaps, transitions stand in a full table; of others in a sparse one
 SHARPNESS = 30.0
 
 
@@ -54,12 +54,17 @@ class Automaton:
             last = state
         self.step = step
 
-    def table(self, kinds: int) -> np.ndarray:
+    def table(self, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+        """Transitions by state and kind below ``kinds``, and rows (state, kind, to) for the other kinds."""
         out = np.zeros((len(self.step), kinds), np.int32)  # 0, the start, is where no phrase goes on
+        rest = []
         for state, moves in enumerate(self.step):
             for c, to in moves.items():
-                out[state, c] = to
-        return out
+                if c < kinds:
+                    out[state, c] = to
+                else:
+                    rest.append((state, c, to))
+        return out, np.array(rest, np.int64).reshape(-1, 3)
 
 
 def points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -70,25 +75,27 @@ def points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Alphabet:
-    """Kinds of code points: 0 a gap, 1 any other letter, from 2 the letters told apart."""
-
-    def __init__(self, frequent: np.ndarray):
-        self.frequent = np.sort(frequent)
-        self.low = np.zeros(0x3000, np.uint8)
+    """Kinds of code points: 0 a gap, 1 any other letter, from 2 the letters told apart, in the order given."""
+
+    def __init__(self, letters: np.ndarray):
+        order = np.argsort(letters)
+        self.size = 2 + len(letters)
+        self.known = letters[order]
+        self.number = (2 + order).astype(np.min_scalar_type(self.size))
+        self.low = np.zeros(0x3000, self.number.dtype)
         self.low[[c for c in range(0x3000) if chr(c).isalpha()]] = 1
-        self.number = np.arange(2, 2 + len(self.frequent)).astype(np.uint8)
-        here = self.frequent < 0x3000
-        self.low[self.frequent[here]] = self.number[here]
+        here = self.known < 0x3000
+        self.low[self.known[here]] = self.number[here]
 
     def kinds(self, flat: np.ndarray) -> np.ndarray:
         out = self.low[np.minimum(flat, 0x2FFF)]
         high = np.flatnonzero(flat >= 0x3000)
         if len(high):
             values, back = np.unique(flat[high], return_inverse=True)
-            kind = np.array([chr(c).isalpha() for c in values], np.uint8)
-            at = np.minimum(np.searchsorted(self.frequent, values), max(len(self.frequent) - 1, 0))
-            if len(self.frequent):
-                kind = np.where(self.frequent[at] == values, self.number[at], kind)
+            kind = np.array([chr(c).isalpha() for c in values], self.low.dtype)
+            at = np.minimum(np.searchsorted(self.known, values), max(len(self.known) - 1, 0))
+            if len(self.known):
+                kind = np.where(self.known[at] == values, self.number[at], kind)
             out[high] = kind[back]
         return out
 
@@ -115,17 +122,33 @@ class Model:
         letters, n = np.unique(every, return_counts=True)
         known = np.array([chr(c).isalpha() for c in letters], bool)
         letters, n = letters[known], n[known]
-        self.alphabet = Alphabet(letters[np.lexsort((letters, -n))][: KINDS - 2])
-        tables = []
+        self.alphabet = Alphabet(letters[np.lexsort((letters, -n))])
+        tables, rare = [], [np.zeros((0, 3), np.int64)]
         self.start = []
         for k in self.languages:
             codes, _ = self.alphabet.encode(*flats[k])
-            table = Automaton(codes).table(KINDS)
+            table, rest = Automaton(codes).table(KINDS)
             base = sum(len(t) for t in tables)
+            rare.append(rest + [base, 0, base])
             self.start.append(base)
             tables.append(np.where(table > 0, table + base, 0).astype(np.int32))
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.start = np.array(self.start, np.int64)
+        rest = np.concatenate(rare)
+        keys = rest[:, 0] * self.alphabet.size + rest[:, 1]
+        order = np.argsort(keys)
+        self.rare = np.append(keys[order], np.iinfo(np.int64).max)
+        self.rare_to = np.append(rest[order, 2], 0).astype(np.int32)
+
+    def moves(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Where each language's states (languages, windows) go with the windows' next letters; 0 is nowhere."""
+        to = self.table[state * KINDS + np.minimum(code, KINDS - 1)]
+        rare = np.flatnonzero(code >= KINDS)
+        if len(rare):
+            key = np.broadcast_to(state, to.shape)[:, rare] * self.alphabet.size + code[rare]
+            at = np.searchsorted(self.rare, key)
+            to[:, rare] = np.where(self.rare[at] == key, self.rare_to[at], 0)
+        return to
 
     def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(texts, languages): phrases that each text is parsed into."""
@@ -143,13 +166,13 @@ class Model:
         for t in range(int(length[0]) if len(length) else 0):
             m = alive[t]
             code = codes[begin[:m] + t].astype(np.int64)
-            to = self.table[state[:, :m] * KINDS + code]
+            to = self.moves(state[:, :m], code)
             ended = to == 0
             if t:
                 count[:, :m] += ended | (state[:, :m] == root)
             # a new phrase begins with this letter; a letter that the language never has is a phrase of its own, and
             # leaves the start behind it
-            again = self.table[root * KINDS + code]
+            again = self.moves(root, code)
             state[:, :m] = np.where(ended, np.where(again == 0, root, again), to)
         out = np.zeros((len(sizes), len(root)))
         for i in range(len(root)):

@@ -305,6 +305,29 @@ def test_phrases_are_longest_matches():
         assert got[k] == count
 
 
+def test_letters_of_large_alphabets_are_told_apart():
+    """Two languages in the same 3,000 signs, in other orders, beside Latin text that is more frequent."""
+    rng = random.Random(3)
+    signs = [chr(0x4E00 + i) for i in range(3000)]
+    words = {k: ["".join(rng.sample(signs, 3)) for _ in range(2000)] for k in ("x", "y")}
+    learnt = {k: ["".join(w)] for k, w in words.items()} | {"a": ["the quick brown fox jumps over the lazy dog " * 800]}
+    model = language.Model(learnt)
+    texts = {k: ["".join(rng.choice(words[k]) for _ in range(60)) for _ in range(20)] for k in ("x", "y")}
+    for k, some in texts.items():
+        assert model.predict(pa.array(some))[0] == [k] * 20
+    codes, offsets = model.alphabet.encode(*language.points(pa.array(texts["x"][:1])))
+    got = model.phrases(codes, offsets)[0]
+    part = texts["x"][0]
+    for k, name in enumerate(model.languages):
+        own, count, i, t = " " + learnt[name][0], 0, 0, " " + part
+        while i < len(t):
+            j = i + 1
+            while j < len(t) and t[i : j + 1] in own:
+                j += 1
+            count, i = count + 1, j
+        assert got[k] == count
+
+
 def test_language(spark, root):
     docs = spark.read.parquet(f"{root}/documents.parquet")
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
