@@ -129,56 +129,63 @@ def cosine_topk(
 
 
 QUERY_BLOCK = 4096
+INDEX_SHARD = 8192
+SCORED = 1024  # index vectors that a task scores at once
 
 
 def search(
     index: DataFrame, queries: DataFrame, k: int = 5, vector_column: str = "embedding", id_column: str = "vec_id",
-    query_id: str = "query_id", block: int = QUERY_BLOCK,
+    query_id: str = "query_id", block: int = QUERY_BLOCK, shard: int = INDEX_SHARD,
 ) -> DataFrame:
     """For each of ``queries`` (``query_id``, ``vector_column``) the ``k`` rows of ``index`` nearest by cosine, with rank,
     score and their other columns as payload. Ties go to the smaller id.
 
-    The questions are a stated set: they are sent out in blocks of ``block`` vectors, so what a task holds is bounded,
-    and the index is read once per block. Each task keeps its best ``k`` per question, so pairs never leave it, and only
-    the winners meet their payload. Vectors that are NULL or without magnitude take no part.
+    Questions are dealt to blocks of about ``block`` vectors and the index to shards of about ``shard``; each block
+    meets each shard in one group of a shuffle, so what a task holds is bounded and no vector passes the driver, which
+    sees only the two counts. A group gives its best ``k`` per question, so pairs never leave it, and only the winners
+    meet their payload. Vectors that are NULL or without magnitude take no part, nor do rows without an id.
     """
-    vectors = index.select(F.col(id_column).cast("long").alias("_id"), F.col(vector_column).alias("_v"))
-    schema = f"{query_id} long, _id long, score double"
-    asked, found = [], None
-    rows = queries.select(F.col(query_id).cast("long"), vector_column).where(F.col(vector_column).isNotNull()).toLocalIterator()
+    vectors = index.select(F.col(id_column).cast("long").alias("_id"), F.col(vector_column).alias("_v")).where("_id is not null and _v is not null")
+    asked = queries.select(F.col(query_id).cast("long").alias("_id"), F.col(vector_column).alias("_v")).where("_id is not null and _v is not null")
+    if vectors.schema["_v"].dataType != asked.schema["_v"].dataType:
+        vectors, asked = (d.withColumn("_v", F.col("_v").cast("array<double>")) for d in (vectors, asked))
+    blocks, shards = max(1, -(-asked.count() // block)), max(1, -(-vectors.count() // shard))
+
+    def dealt(rows: DataFrame, question: bool, own: str, n: int, other: str, every: int) -> DataFrame:
+        return rows.select(
+            "_id", "_v", F.lit(question).alias("_question"), F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(every - 1))).alias(other),
+        )
 
-    def part(some: list) -> DataFrame:
-        ids = np.array([r[0] for r in some], np.int64)
-        targets = np.array([r[1] for r in some], np.float64)
-        lengths = np.linalg.norm(targets, axis=1)
-        ids, targets = ids[lengths > 0], (targets / np.maximum(lengths, 1e-300)[:, None])[lengths > 0]
+    schema = f"{query_id} long, _id long, score double"
 
-        def best(batches):
+    def unit(rows: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and vectors of magnitude 1 of the rows with vectors of this length."""
+        rows = rows.filter(pc.equal(pc.list_value_length(rows["_v"]), length))
+        matrix = pc.list_flatten(rows["_v"]).to_numpy().astype("float64").reshape(-1, length)
+        norm = np.linalg.norm(matrix, axis=1)
+        good = np.isfinite(norm) & (norm > 0)
+        return rows["_id"].to_numpy()[good], matrix[good] / norm[good, None]
+
+    def best(group: pa.Table) -> pa.Table:
+        question = group["_question"]
+        mine, others = group.filter(question), group.filter(pc.invert(question))
+        out = [pa.table({query_id: pa.array([], pa.int64()), "_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})]
+        for length in pc.unique(pc.list_value_length(mine["_v"])).to_pylist():
+            if not length:
+                continue
+            (ids, targets), (own, matrix) = unit(mine, length), unit(others, length)
             top_scores, top_ids = np.empty((len(ids), 0)), np.empty((len(ids), 0), np.int64)
-            for b in batches:
-                fits = pc.fill_null(pc.equal(pc.list_value_length(b.column(1)), targets.shape[1]), False)
-                matrix = b.column(1).filter(fits).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, targets.shape[1])
-                own = b.column(0).filter(fits).to_numpy()
-                norm = np.linalg.norm(matrix, axis=1)
-                good = np.isfinite(norm) & (norm > 0)
-                scores = np.concatenate([top_scores, targets @ (matrix[good] / norm[good, None]).T], axis=1)
-                every = np.concatenate([top_ids, np.broadcast_to(own[good], (len(ids), good.sum()))], axis=1)
+            for at in range(0, len(own), SCORED):
+                scores = np.concatenate([top_scores, targets @ matrix[at : at + SCORED].T], axis=1)
+                every = np.concatenate([top_ids, np.broadcast_to(own[at : at + SCORED], (len(ids), len(own[at : at + SCORED])))], axis=1)
                 order = np.lexsort((every, -scores), axis=1)[:, :k]
                 top_scores, top_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(every, order, 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, top_ids.shape[1])), pa.array(top_ids.ravel()), pa.array(top_scores.ravel())], [query_id, "_id", "score"]
-            )
-
-        return vectors.mapInArrow(best, schema)
-
-    for row in rows:
-        asked.append(row)
-        if len(asked) == block:
-            found, asked = part(asked) if found is None else found.unionByName(part(asked)), []
-    if asked:
-        found = part(asked) if found is None else found.unionByName(part(asked))
-    if found is None:
-        found = index.sparkSession.createDataFrame([], schema)
+            out.append(pa.table({query_id: np.repeat(ids, top_ids.shape[1]), "_id": top_ids.ravel(), "score": top_scores.ravel()}))
+        return pa.concat_tables(out)
+
+    together = dealt(asked, True, "_block", blocks, "_shard", shards).unionByName(dealt(vectors, False, "_shard", shards, "_block", blocks))
+    found = together.groupBy("_block", "_shard").applyInArrow(best, schema)
     ranks = Window.partitionBy(query_id).orderBy(F.desc("score"), "_id")
     winners = found.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
     return winners.join(index.drop(vector_column), F.col("_id") == F.col(id_column)).drop("_id")

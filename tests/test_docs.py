@@ -4,6 +4,8 @@ import math
 import random
 import re
 
+import pytest
+
 from stockyard.operators import docs
 
 
@@ -81,3 +83,16 @@ def test_search_of_many_questions(spark):
         own = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
         assert [round(r.score, 9) for r in own] == [round(score[i], 9) for i in best] and all(r.title == f"t{r.vec_id}" for r in own)
     assert {r.query_id for r in got} == set(range(12))
+
+
+def test_search_plans_alike_for_any_number_of_questions(spark, monkeypatch):
+    """No question passes the driver, and the index is in the plan as often for one block as for many."""
+    rng = random.Random(5)
+    df = spark.createDataFrame([(i, [rng.random() - 0.5 for _ in range(4)], f"t{i}") for i in range(60)], "vec_id long, embedding array<double>, title string")
+    asked = df.selectExpr("vec_id as query_id", "embedding")
+    whole = {(r.query_id, r["rank"], r.vec_id) for r in docs.search(df, asked, k=3).collect()}
+    monkeypatch.setattr(type(df), "toLocalIterator", lambda *_, **__: pytest.fail("questions came to the driver"))
+    many = docs.search(df, asked, k=3, block=7, shard=11)
+    assert {(r.query_id, r["rank"], r.vec_id) for r in many.collect()} == whole and len(whole) == 180
+    scans = [d._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") for d in (docs.search(df, asked, block=60), many)]
+    assert scans[0] == scans[1]
