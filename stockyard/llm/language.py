@@ -18,6 +18,7 @@ from stockyard.llm.common import id_remainder, mapped
 
 LEARN_LETTERS = 40_000  # per language, at most
 LEARN_TEXTS = 200  # per language, at most
+PASSAGE = LEARN_LETTERS // 4  # of one text, at most
 WINDOW = 512
 KINDS = 62  # of the most frequent letters' kinds, and of gaps, transitions stand in a full table; of others in a sparse one
 SHARPNESS = 30.0
@@ -193,12 +194,13 @@ class Model:
 
 
 def fit(docs: DataFrame, doc_id: str, text: str, lang: str, may_learn: str) -> Model:
-    """Automata of the first ``LEARN_TEXTS`` texts of each language in the order of a hash, whole texts up to the limit."""
+    """Automata of the first ``LEARN_TEXTS`` texts of each language in the order of a hash, up to the limit; of a text longer
+    than ``PASSAGE`` its beginning, so that no language is left out for the length of its texts."""
     own = Window.partitionBy("lang").orderBy("h", "id", "text")
     some = (
-        docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"), id_remainder(doc_id, 3).alias("_rest"))
+        docs.select(F.col(doc_id).alias("id"), F.substring(text, 1, PASSAGE).alias("text"), F.col(lang).alias("lang"), id_remainder(doc_id, 3).alias("_rest"))
         .where("lang is not null and text is not null").where(may_learn)
-        .where(F.length("text") <= LEARN_LETTERS // 4).withColumn("h", F.xxhash64("id"))
+        .withColumn("h", F.xxhash64("id"))
         .withColumn("n", F.row_number().over(own)).where(F.col("n") <= LEARN_TEXTS).select("lang", "n", "text")
     )
     texts: dict[str, list[str]] = {}
@@ -216,8 +218,8 @@ def predictions(
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score (0 to 1), for every row of ``docs``.
 
-    Learnt from rows whose id remainder (crc32 modulo 3) is not 1 and whose ``lang`` is not null; a language whose
-    rows are all longer than a quarter of the limit, or have no text, is not learnt. A null text, or one without a
+    Learnt from rows whose id remainder (crc32 modulo 3) is not 1 and whose ``lang`` is not null; of a text its
+    first ``PASSAGE`` characters are learnt from at most, and a language whose rows have no text is not learnt. A null text, or one without a
     letter, is ``und`` with score 0. Repeated ids get a row each; a null id counts as held out. Other columns are
     ignored.
     """

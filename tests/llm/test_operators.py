@@ -337,6 +337,19 @@ def test_language(spark, root):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_language_of_long_texts_only(spark):
+    rng = random.Random(5)
+    words = {k: ["".join(rng.choice(abc) for _ in range(5)) for _ in range(300)] for k, abc in (("p", "abcdefg"), ("q", "acegikm"))}
+
+    def text(k, n):
+        return " ".join(rng.choice(words[k]) for _ in range(n))
+
+    rows = [(i, text("p" if i % 2 else "q", 40 if i % 2 else 3000), "p" if i % 2 else "q", "s", 0) for i in range(40)]
+    rows += [(1000 + i, text("q", 40), None, "s", 0) for i in range(10)]
+    got = {r.doc_id: r.lang_pred for r in language.predictions(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {got[1000 + i] for i in range(10)} == {"q"}
+
+
 # --- fingerprints
 
 
