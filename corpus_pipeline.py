@@ -33,6 +33,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of the documents with words; those without (null or blank text), which earlier stages keep, go here."""
     return packing.sequences(packing.pack(docs))
 
 

@@ -114,7 +114,10 @@ def pack(
 
 
 def sequences(placed: DataFrame) -> DataFrame:
-    """One row per sequence of ``pack``: its length, contents and the pieces in their order."""
+    """One row per sequence of ``pack``: its length, contents and the pieces in their order.
+
+    Documents without words (null or blank text) are in no sequence: their rows of ``pack`` end here.
+    """
     piece = F.struct("position", "doc_id", "start", "n_tokens")
     return (
         placed.where("sequence is not null").groupBy("sequence")
