@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -21,9 +22,14 @@ SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, the context's own, or a new one for local runs."""
+    """The folder in spark.checkpoint.dir; where that is unset, the context's own, or a new one for local runs.
+
+    On a cluster one of the two must be set: executors do not see each other's disks.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="stockyard-shared-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")

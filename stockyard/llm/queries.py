@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm import bpe, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm import bpe, conversations, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
 from stockyard.llm.common import shipped
 
 
@@ -57,6 +57,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(conversations.damaged(_table(spark, sf_dir, "conversations")), present="present")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repeated_passages": op1_repeated_passages,
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
+        "op11_conversation_repair": op11_conversation_repair,
     }
 
 
