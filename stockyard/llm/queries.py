@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockyard.llm import bpe, conversations, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm import bpe, conversations, fingerprint, html, language, near_duplicates, negatives, neighbours, packing, passages, quality, toxicity
 from stockyard.llm.common import shipped
 
 
@@ -61,6 +61,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digests(conversations.damaged(_table(spark, sf_dir, "conversations")), present="present")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), "id % 50 = 0")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repeated_passages": op1_repeated_passages,
@@ -74,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -111,8 +118,33 @@ select doc_id, len(w) as n_words, coalesce(n, 0)::bigint as n_repeated, coalesce
 """
 
 
+HARD_NEGATIVES = """
+with v as (
+    select vec_id, label, any_value(v) as v from (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ) group by vec_id, label
+),
+s as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+    from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+),
+p as (
+    select anchor_id, vec_id as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, row_number() over w::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, vec_id) qualify row_number() over w <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_repeated_passages": REPEATED_PASSAGES,
         "op3_near_duplicates": NEAR_DUPLICATES,
+        "op12_hard_negatives": HARD_NEGATIVES,
     }
