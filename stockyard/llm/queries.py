@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stockyard.llm import bpe, conversations, fingerprint, html, language, near_duplicates, negatives, neighbours, packing, passages, quality, toxicity
+from stockyard.llm import bpe, conversations, fingerprint, html, language, lm, near_duplicates, negatives, neighbours, packing, passages, quality, toxicity
 from stockyard.llm.common import shipped
 
 
@@ -67,6 +67,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(vectors.withColumn("label", moved), "id % 50 = 0")
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repeated_passages": op1_repeated_passages,
@@ -81,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_packing": op10_packing,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_language_model": op13_language_model,
     }
 
 
