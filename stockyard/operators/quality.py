@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from stockyard.operators.marts import HEALTH_LEVELS, RISK_LEVELS, SHIFTS, SLA_STATUSES
 
@@ -70,15 +70,44 @@ def check_relationship(df: DataFrame, column: str, parent: DataFrame, parent_col
     return df.where(F.col(column).isNotNull()).join(known, F.col(column) == F.col("_parent"), "left_anti")
 
 
-def model_results(model: str, df: DataFrame) -> DataFrame:
-    """Failing rows of every test of one model in one pass over it: a unique key is grouped once, and the other tests
-    are counted in the same aggregate."""
-    not_null, unique, accepted = TESTS[model]
+def measures(model: str) -> dict[tuple[str, str], Column]:
+    """Counts of failing rows per test (name, column) of a model, for every test but uniqueness."""
+    not_null, _, accepted = TESTS[model]
     counted = {("not_null", c): F.count_if(F.col(c).isNull()) for c in not_null}
-    counted |= {
+    return counted | {
         ("accepted_values", c): F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(values))
         for c, values in accepted.items()
     }
+
+
+class Measured:
+    """The tests of a model, counted while its rows are written, so that nothing is built or read again for them.
+
+    Uniqueness is not among the counts: a merge looks for repeated keys in what it wrote and refuses them.
+    """
+
+    def __init__(self, model: str):
+        self.model, self.counted, self.seen = model, measures(model), Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        """``df``, to be written once."""
+        counts = [expr.alias(f"m{i}") for i, expr in enumerate(self.counted.values())]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def rows(self) -> int:
+        return self.seen.get.get("rows", 0)
+
+    def results(self) -> list[tuple[str, str, str, int, int]]:
+        """model, test, column, failing rows, rows looked at; after the write."""
+        got, rows = self.seen.get, self.rows()
+        found = [(self.model, *test, got.get(f"m{i}", 0), rows) for i, test in enumerate(self.counted)]
+        return found + [(self.model, "unique", c, 0, rows) for c in TESTS[self.model][1]]
+
+
+def model_results(model: str, df: DataFrame) -> DataFrame:
+    """Failing rows of every test of one model in one pass over it: a unique key is grouped once, and the other tests
+    are counted in the same aggregate."""
+    unique, counted = TESTS[model][1], measures(model)
     names = {test: f"_{i}" for i, test in enumerate(counted)}
     if unique:
         key = unique[0]

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from stockyard.operators.dedup import dedup_any
+from stockyard.operators.dedup import dedup_any, dedup_latest
 
 # silver name, bronze name, type
 ORDER_COLUMNS = [
@@ -75,3 +75,23 @@ def stg_inventory(bronze: DataFrame, lenient: bool = False) -> DataFrame:
 
 def stg_movements(bronze: DataFrame, lenient: bool = False) -> DataFrame:
     return dedup_any(project_movements(bronze, lenient), ["movement_id"])
+
+
+LOADED = "_cdc_loaded_at"
+
+
+def _of_newest_load(df: DataFrame, columns: list[tuple[str, str, str]], key: str) -> DataFrame:
+    """Typed rows, of each key that of its newest load."""
+    typed = rename_and_cast(df, [*columns, (LOADED, LOADED, "timestamp_ntz")])
+    return dedup_latest(typed, [key], LOADED).drop(LOADED)
+
+
+def newest_orders(bronze: DataFrame) -> DataFrame:
+    """As ``stg_orders``, with the row of the newest load per key, so that loads merged one by one give the same rows as
+    all of them at once."""
+    return _of_newest_load(bronze, ORDER_COLUMNS, "order_id")
+
+
+def newest_movements(bronze: DataFrame) -> DataFrame:
+    """As ``stg_movements``, with the row of the newest load per key."""
+    return _of_newest_load(bronze, MOVEMENT_COLUMNS, "movement_id").withColumn("qty_delta", F.col("qty_after") - F.col("qty_before"))

@@ -2,9 +2,11 @@
 
 A write goes to a new version folder, which counts once Spark has put its ``_SUCCESS`` marker there; an append goes to a
 folder of its own beside the version it belongs to, named by its run, so that a repeated run replaces it. Readers see
-the old or the new table, never a part of one, also when executors or the driver are lost midway. Only the replacement
-of partitions (``merge_partitions``) moves finished folders one by one; a run that was lost there is carried on by the
-next. A table format with row-level operations does this better; ``merge_into`` uses it where the catalog offers it.
+the old or the new table, never a part of one, also when executors or the driver are lost midway. A merge into a table
+stored by day or month is Spark's dynamic partition overwrite: merged partitions are written in full beside the table
+and swapped in when the job commits, so a job that is lost leaves the table as it was, and nothing of it is read later.
+Only the swap itself is not one step for all partitions; where that matters, keep the table in a catalog with row-level
+operations, which ``merge_into`` uses.
 """
 
 from __future__ import annotations
@@ -13,24 +15,45 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
-# Folder column of a partitioned table: the text of the partitioning column, which itself stays in the files with its
+# Folder column of a partitioned table: the text of the partitioning date, which itself stays in the files with its
 # own type. The letter in front keeps it from being read back as a date or number.
 PART = "part_key"
 
 
-def _with_part(df: DataFrame, column: str | None) -> DataFrame:
+@dataclass(frozen=True)
+class By:
+    """How a table is split into folders: by the days or months of a date column, so their number has a bound."""
+
+    column: str
+    grain: str = "day"
+
+    def key(self, df: DataFrame) -> Column:
+        kind = df.schema[self.column].dataType
+        if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            raise TypeError(f"{self.column} is no date or time")
+        form = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}[self.grain]
+        return F.concat(F.lit("p"), F.coalesce(F.date_format(self.column, form), F.lit("-")))
+
+
+def by(partition: By | str | None) -> By | None:
+    return By(partition) if isinstance(partition, str) else partition
+
+
+def _with_part(df: DataFrame, partition: By | None, sort_by: str | None = None) -> DataFrame:
     """The folder column, and the rows of a folder brought together: a file or a few per folder, however many tasks
     there were. Adaptive execution splits the heavy folders."""
-    if column is None:
-        return df
-    part = F.concat(F.lit("p"), F.coalesce(F.col(column).cast("string"), F.lit("-")))
-    return df.withColumn(PART, part).hint("rebalance", F.col(PART))
+    if partition is None:
+        return _sorted(df, sort_by)
+    dealt = df.withColumn(PART, partition.key(df)).hint("rebalance", F.col(PART))
+    return dealt.sortWithinPartitions(PART, sort_by) if sort_by else dealt
 
 
 class MergeError(ValueError):
@@ -66,10 +89,27 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """The current version with its appends. Columns that only some of them have are NULL in the others."""
     found = versions(spark, path)
     if not found:
         raise FileNotFoundError(path)
-    return spark.read.parquet(_version_path(path, found[-1]), *_appended(spark, path, found[-1]))
+    version, appended = _version_path(path, found[-1]), _appended(spark, path, found[-1])
+    if not appended:
+        return spark.read.parquet(version)
+    return spark.read.schema(_union_schema(spark, [version, *appended])).parquet(version, *appended)
+
+
+def _union_schema(spark: SparkSession, folders: Sequence[str]) -> T.StructType:
+    """The columns of all folders, from one file each, in the order in which they came; a changed type is refused."""
+    fs, _, hadoop = _folder(spark, folders[0])
+    files = []
+    for folder in folders:
+        names = sorted(x.getPath().toString() for x in fs.listStatus(hadoop.Path(folder)) if x.getPath().getName().startswith("part-"))
+        files += names[:1]
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*files).schema
+    except SparkRuntimeException as refused:
+        raise TypeError(f"column type changed in {folders[0]}") from refused
 
 
 def _appended(spark: SparkSession, path: str, n: int, complete: bool = True) -> list[str]:
@@ -113,10 +153,13 @@ def append(df: DataFrame, path: str, run_id: str | None = None) -> int:
     """Add rows to the current version; a table that does not exist yet is created.
 
     The rows become visible together. A run that is repeated under its ``run_id`` replaces what it appended before;
-    rows that arrive twice otherwise are left to the silver layer, which keeps one per key.
+    rows that arrive twice otherwise are left to the silver layer, which keeps one per key. Columns may be added; a
+    column whose type has changed is refused.
     """
     spark = df.sparkSession
     found = versions(spark, path)
+    if found:
+        evolve(_stored(spark, path), df)
     n = found[-1] if found else overwrite(spark.createDataFrame([], df.schema), path)
     name = re.sub(r"[^\w.-]", "-", run_id) if run_id else uuid.uuid4().hex
     df.write.mode("overwrite").parquet(f"{_version_path(path, n)}+{name}")
@@ -155,9 +198,13 @@ def evolve(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
     """The rows of ``df`` whose key does not occur in ``other``."""
+    return _with_keys(df, other, keys, null_safe, "left_anti")
+
+
+def _with_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], null_safe: bool, how: str) -> DataFrame:
     taken = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     same = [df[k].eqNullSafe(taken[f"_k_{k}"]) if null_safe else df[k] == taken[f"_k_{k}"] for k in keys]
-    return df.join(taken, reduce(lambda a, b: a & b, same), "left_anti")
+    return df.join(taken, reduce(lambda a, b: a & b, same), how)
 
 
 def merged(existing: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
@@ -191,19 +238,18 @@ def _staged(new: DataFrame, path: str):
 
 
 def create(
-    df: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True, partition: str | None = None,
+    df: DataFrame, path: str, keys: Sequence[str], null_safe: bool = True, partition: By | str | None = None,
     sort_by: str | None = None, may_be_empty: bool = True,
 ) -> int:
     """Write the next version, look for repeated keys in what was written, and only then publish it.
 
     With ``may_be_empty=False`` an empty result is not published over rows.
     """
-    df = _sorted(df, sort_by)
     spark = df.sparkSession
     found = versions(spark, path)
     n = found[-1] + 1 if found else 1
     target = _version_path(path, n)
-    writer = _with_part(df, partition).write.mode("overwrite")
+    writer = _with_part(df, by(partition), sort_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition:
         writer = writer.partitionBy(PART)
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
@@ -229,52 +275,41 @@ def merge_by_key(
 
 
 def merge_partitions(
-    spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], partition: str, null_safe: bool = True,
+    spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], partition: By | str, null_safe: bool = True,
+    sort_by: str | None = None,
 ) -> int:
-    """Key merge that reads and rewrites only the partitions the new rows fall into.
+    """Key merge that reads and rewrites only the days or months it touches: those of the new rows and, where the date
+    is not part of the key, those in which their keys are stored, so that a row may move.
 
-    ``partition`` must be one of the keys, so that a row cannot move between partitions. The driver sees the names of
-    the touched folders, never rows: one per day or month of the new rows. The merged partitions are written in full
-    beside the table and then put in the place of the old ones; a run that is lost in between is carried on by the
-    next one, before it reads anything.
+    Keys are looked up by a semi-join that reads the key columns alone. The driver sees the names of the touched folders,
+    never rows. A table that gets a new column is written anew.
     """
-    if partition not in keys:
-        raise ValueError(f"{partition} is not part of the key")
+    partition = by(partition)
     if not exists(spark, path):
-        return create(new, path, keys, null_safe, partition)
+        return create(new, path, keys, null_safe, partition, sort_by)
     n = versions(spark, path)[-1]
-    for left in _merges(spark, path):
-        _put_in_place(spark, left, _version_path(path, n))
+    version = _version_path(path, n)
+    stored = spark.read.parquet(version)
     with _staged(new, path) as rows:
         _refuse_duplicates(rows, keys, null_safe)
-        touched = [row[0] for row in _with_part(rows, partition).select(PART).distinct().collect()]
-        affected = _stored(spark, path).where(F.col(PART).isin(touched)).drop(PART)
-        folder = f"{path}/_merge-{uuid.uuid4().hex}"
-        _with_part(merged(affected, rows, keys, null_safe), partition).write.partitionBy(PART).parquet(folder)
-    _put_in_place(spark, folder, _version_path(path, n))
+        if set(rows.columns) - set(stored.columns):
+            return create(merged(stored.drop(PART), rows, keys, null_safe), path, keys, null_safe, partition, sort_by)
+        touched = {row[0] for row in rows.select(partition.key(rows)).distinct().collect()}
+        if partition.column not in keys:
+            held = _with_keys(stored.select(PART, *keys), rows, keys, null_safe, "left_semi")
+            touched |= {row[0] for row in held.select(PART).distinct().collect()}
+        if not touched:
+            return n
+        after = merged(stored.where(F.col(PART).isin(*touched)).drop(PART), rows, keys, null_safe)
+        seen = Observation()
+        filled = _with_part(after, partition, sort_by).observe(seen, F.collect_set(PART).alias("filled"))
+        filled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(version)
+    fs, _, hadoop = _folder(spark, version)
+    for left in touched - set(seen.get["filled"]):  # all their rows have moved
+        fs.delete(hadoop.Path(f"{version}/{PART}={left}"), True)
     return n
 
 
-def _merges(spark: SparkSession, path: str) -> list[str]:
-    """Merged partitions that were written in full and not all put in place."""
-    fs, folder, hadoop = _folder(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("_merge-")]
-    return [f"{path}/{x}" for x in names if fs.exists(hadoop.Path(f"{path}/{x}/_SUCCESS"))]
-
-
-def _put_in_place(spark: SparkSession, folder: str, version: str) -> None:
-    """Move each partition of ``folder`` over the one of ``version``. Doing it again carries on where it stopped."""
-    fs, source, hadoop = _folder(spark, folder)
-    for status in fs.listStatus(source):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{PART}="):
-            target = hadoop.Path(f"{version}/{name}")
-            fs.delete(target, True)
-            if not fs.rename(status.getPath(), target):
-                raise OSError(f"cannot move {status.getPath()} to {target}")
-    fs.delete(source, True)
-
-
 def merge_into(new: DataFrame, table: str, keys: Sequence[str], null_safe: bool = True) -> None:
     """Key merge by the catalog's own row-level operation, for tables in a format that has one."""
     op = "<=>" if null_safe else "="
@@ -299,7 +334,7 @@ def materialize(
     lookback: timedelta = timedelta(0),
     full_refresh: bool = False,
     null_safe: bool = True,
-    partition: str | None = None,
+    partition: By | str | None = None,
     sort_by: str | None = None,
 ) -> int:
     """Build a gold table and merge it by key.
@@ -312,5 +347,5 @@ def materialize(
         return create(build(None), path, keys, null_safe, partition, sort_by, may_be_empty=False)
     since = high_water(spark, path, high_water_column, lookback) if high_water_column else None
     if partition:
-        return merge_partitions(spark, build(since), path, keys, partition, null_safe)
+        return merge_partitions(spark, build(since), path, keys, partition, null_safe, sort_by)
     return merge_by_key(spark, build(since), path, keys, null_safe, sort_by)

@@ -6,7 +6,7 @@ of the watermark file when the source delivers files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stockyard.functions.exprs import moment
@@ -26,10 +26,12 @@ def load_available(
     spark: SparkSession, folder: str, schema: T.StructType, target: str, checkpoint: str, at, per_batch: int = 1000,
 ) -> StreamingQuery:
     """Append everything that has arrived to a bronze table, then stop. A file is loaded exactly once, also when the
-    run is broken off and started again: a batch that comes again replaces what it appended before."""
+    run is broken off and started again: a batch that comes again replaces what it appended before. Batches are named by
+    the id in the stream's checkpoint, so several streams may load into one table."""
     rows = normalise(new_files(spark, folder, schema, per_batch)).withColumn("_cdc_loaded_at", moment(at))
 
     def load(batch: DataFrame, number: int) -> None:
-        tables.append(batch, target, f"batch-{number}")
+        stream = batch.sparkSession.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        tables.append(batch, target, f"{stream}-{number}")
 
     return rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,11 +1,12 @@
 """The stored layers end to end: full build, increment, full refresh."""
 
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from stockyard.operators import reports
+from stockyard.operators import quality, reports
 from stockyard.plans import gold
 from stockyard.sources import binding, tables
 
@@ -66,6 +67,56 @@ def test_metrics_feed_the_job_panels(spark, stored):
     assert reports.run_counts(runs, now).first().failed == 0
 
 
+def month_files(base, table):
+    folder = Path(base) / "gold" / table / "v00000001"
+    return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in folder.iterdir() if p.is_dir() and p.name.startswith("part_key=")}
+
+
+def test_a_load_touches_its_months_only(spark, root, tmp_path):
+    """New, changed and re-dated orders of one night; all other months keep their files."""
+    base = str(tmp_path)
+    orders = binding.orders(spark, root)
+    tables.overwrite(orders, f"{base}/bronze/orders_documento")
+    tables.overwrite(binding.outbound(spark, root), f"{base}/bronze/movements_entrada_saida")
+    tables.overwrite(binding.inventory(spark, root), f"{base}/bronze/inventory_produtoestoque")
+    warehouse = gold.Warehouse(spark, f"{base}/bronze", f"{base}/gold", NOW)
+    gold.build_gold(warehouse, "run-1")
+    before, facts = month_files(base, "fct_orders"), {r.order_id: r for r in warehouse.gold("fct_orders").collect()}
+    moves = month_files(base, "fct_movements")
+    inside = lambda y, m: sorted(k for k, r in facts.items() if (r.issued_at.year, r.issued_at.month) == (y, m))
+    changed, moved = inside(1996, 3)[0], inside(1997, 5)[0]
+    at = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
+    night = orders.where(F.col("sequenciaintegracao").cast("string").isin(changed, moved)).withColumns({
+        "valortotaldocumento": F.lit(1).cast(orders.schema["valortotaldocumento"].dataType), "_cdc_loaded_at": at,
+        "dataemissao": F.when(F.col("sequenciaintegracao").cast("string") == moved, F.lit("1995-07-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("dataemissao")),
+    })
+    tables.append(night, f"{base}/bronze/orders_documento", "night")
+    assert {r.state for r in gold.build_gold(warehouse, "run-2").collect()} == {"success"}
+    after = month_files(base, "fct_orders")
+    assert {k for k in after if after[k] != before.get(k)} == {"part_key=p1996-03", "part_key=p1997-05", "part_key=p1995-07"}
+    assert moves == month_files(base, "fct_movements")
+    now = {r.order_id: r for r in warehouse.gold("fct_orders").collect()}
+    assert now.keys() == facts.keys() and {k for k in now if now[k] != facts[k]} == {changed, moved}
+    assert now[moved].issued_at == datetime(1995, 7, 1) and now[changed].total_value == 1
+    gold.build_gold(warehouse, "run-3", full_refresh=True)
+    assert {r.order_id: r for r in warehouse.gold("fct_orders").collect()} == now
+
+
+def test_tests_are_counted_at_the_write(spark, root, stored):
+    """What a build notes about its rows is what the tests say about the stored tables."""
+    warehouse, _, _, _ = stored
+    metrics = gold.build_gold(warehouse, "run-t", full_refresh=True)
+    noted = gold.test_results(warehouse, "run-t")
+    key = ["model", "test", "column_name", "failures"]
+    names = [m.name for m in gold.FACTS + gold.MARTS]
+    again = quality.test_results({n: warehouse.gold(n) for n in names})
+    assert sorted(map(tuple, noted.select(*key).collect())) == sorted(map(tuple, again.select(*key).collect()))
+    tables_ = {n: warehouse.gold(n) for n in names}
+    for mine, plain in ((gold.null_gate(warehouse, "run-t"), quality.null_gate(tables_)), (gold.row_gate(metrics), quality.row_gate(tables_))):
+        assert sorted(map(tuple, mine.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+        quality.enforce(mine)
+
+
 def test_a_failed_fact_stops_its_marts(spark, stored, monkeypatch):
     warehouse, _, _, _ = stored
     before = tables.versions(spark, warehouse.gold_path("mart_order_sla"))

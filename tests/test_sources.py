@@ -75,8 +75,39 @@ def test_merge_partitions_rewrites_only_what_it_touches(spark, path, tmp_path):
     for _ in range(2):
         tables.merge_partitions(spark, null_day, path, ["d", "k"], "d")
     assert tables.read(spark, path).where("d is null").count() == 1 and tables.read(spark, path).count() == 4
-    with pytest.raises(ValueError):
-        tables.merge_partitions(spark, spark.createDataFrame([(d2, "b", 30)], schema), path, ["k"], "d")
+    with pytest.raises(TypeError):
+        tables.merge_partitions(spark, null_day, f"{path}-k", ["d", "k"], "k")
+
+
+def files(tmp_path, part):
+    folder = tmp_path / "table" / "v00000001" / f"{tables.PART}={part}"
+    return sorted(p.name for p in folder.glob("*.parquet"))
+
+
+def test_a_row_moves_to_another_month(spark, path, tmp_path):
+    """The date is no part of the key: the months in which the new keys are stored are written too, and no other."""
+    schema, by = "k string, at timestamp_ntz, v int", tables.By("at", "month")
+    day = lambda m: datetime(2024, m, 5)
+    rows = [("a", day(1), 1), ("b", day(1), 2), ("c", day(2), 3), ("d", day(3), 4), (None, None, 5)]
+    tables.merge_partitions(spark, spark.createDataFrame(rows, schema), path, ["k"], by)
+    january, march = files(tmp_path, "p2024-01"), files(tmp_path, "p2024-03")
+    tables.merge_partitions(spark, spark.createDataFrame([("c", day(4), 30), (None, day(4), 50)], schema), path, ["k"], by)
+    assert content(tables.read(spark, path)) == sorted(
+        [("a", day(1), 1), ("b", day(1), 2), ("c", day(4), 30), ("d", day(3), 4), (None, day(4), 50)], key=repr
+    )
+    assert january == files(tmp_path, "p2024-01") and march == files(tmp_path, "p2024-03")
+    assert not files(tmp_path, "p2024-02") and not files(tmp_path, "p-")
+    tables.merge_partitions(spark, spark.createDataFrame([], schema), path, ["k"], by)
+    assert tables.read(spark, path).count() == 5 and tables.versions(spark, path) == [1]
+    wide = spark.createDataFrame([("e", day(3), 6, "x")], f"{schema}, w string")
+    tables.merge_partitions(spark, wide, path, ["k"], by)
+    assert content(tables.read(spark, path).where("at >= '2024-03-01' and at < '2024-04-01'")) == [("d", day(3), 4, None), ("e", day(3), 6, "x")]
+
+
+def test_touched_folders_are_pruned_at_the_scan(spark, path):
+    tables.create(spark.createDataFrame([(date(2024, 1, 1), 1), (date(2024, 2, 1), 2)], "d date, k int"), path, ["d", "k"], partition="d")
+    plan = tables._stored(spark, path).where(F.col(tables.PART).isin("p2024-01-01"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part_key" in plan.replace("isnotnull(part_key#", "part_key#")
 
 
 def test_schema_grows_but_types_stay(spark):
@@ -277,18 +308,41 @@ def test_appends_are_published_and_repeatable(spark, path, tmp_path):
     assert [p.name for p in (tmp_path / "table").iterdir()] == ["v00000003"]
 
 
-def test_a_lost_partition_merge_is_carried_on(spark, path, tmp_path):
+def test_a_lost_merge_leaves_no_trace(spark, path, tmp_path):
+    """A run is lost after it has written its merged day and before the swap; a full refresh and the next merge follow."""
     schema = "d date, k string, v int"
     d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
-    tables.merge_partitions(spark, spark.createDataFrame([(d1, "a", 1), (d2, "a", 2), (d2, "b", 3)], schema), path, ["d", "k"], "d")
-    # a run wrote its merged partition, removed the old one, and was lost before it moved the new one there
-    base = tmp_path / "table"
-    merged = spark.createDataFrame([(d2, "a", 2), (d2, "b", 30)], schema)
-    tables._with_part(merged, "d").write.partitionBy(tables.PART).parquet(f"{path}/_merge-lost")
-    shutil.rmtree(base / "v00000001" / f"{tables.PART}=p2024-01-02")
-    tables.merge_partitions(spark, spark.createDataFrame([(d1, "c", 4)], schema), path, ["d", "k"], "d")
-    assert content(tables.read(spark, path)) == [(d1, "a", 1), (d1, "c", 4), (d2, "a", 2), (d2, "b", 30)]
-    assert sorted(p.name for p in base.iterdir()) == ["v00000001"]
+    one = lambda *rows: spark.createDataFrame(rows, schema)
+    tables.merge_partitions(spark, one((d1, "a", 1), (d2, "a", 2), (d2, "b", 3)), path, ["d", "k"], "d")
+    lost = tmp_path / "table" / "v00000001" / ".spark-staging-lost" / f"{tables.PART}=p2024-01-02"
+    lost.mkdir(parents=True)
+    shutil.copytree(tmp_path / "table" / "v00000001" / f"{tables.PART}=p2024-01-02", lost, dirs_exist_ok=True)
+    assert tables.read(spark, path).count() == 3
+    tables.create(one((d2, "x", 7), (d2, "y", 8)), path, ["d", "k"], partition="d")
+    tables.merge_partitions(spark, one((d2, "y", 80), (d1, "c", 4)), path, ["d", "k"], "d")
+    assert content(tables.read(spark, path)) == [(d1, "c", 4), (d2, "x", 7), (d2, "y", 80)]
+
+
+def test_appended_columns_come_back(spark, path):
+    """Each append keeps its own columns; reading gives all of them, and a changed type is refused at the door."""
+    tables.append(spark.createDataFrame([("a", 1)], "k string, v int"), path, "1")
+    tables.append(spark.createDataFrame([("b", 2, "x")], "k string, v int, w string"), path, "2")
+    tables.append(spark.createDataFrame([("c", 1.5)], "k string, z double"), path, "3")
+    stored = tables.read(spark, path)
+    assert set(stored.columns) == {"k", "v", "w", "z"}
+    assert content(stored.select("k", "v", "w", "z")) == [("a", 1, None, None), ("b", 2, "x", None), ("c", None, None, 1.5)]
+    with pytest.raises(TypeError):
+        tables.append(spark.createDataFrame([("d", "2")], "k string, v string"), path, "4")
+    assert tables.read(spark, path).count() == 3
+
+
+def test_two_streams_load_into_one_table(spark, path):
+    target = f"{path}/out"
+    for name in ("x", "y"):
+        df = spark.createDataFrame([(name, Decimal("1.50"))], "k string, v decimal(9,2)")
+        df.write.parquet(f"{path}/{name}")
+        incremental.load_available(spark, f"{path}/{name}", df.schema, target, f"{path}/marks-{name}", NOW).awaitTermination()
+    assert content(tables.read(spark, target).select("k")) == [("x",), ("y",)]
 
 
 def test_few_files_per_partition(spark, path, tmp_path):
