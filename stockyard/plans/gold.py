@@ -109,7 +109,7 @@ MARTS = [
     Model("mart_weather_impact", ("company_id", "depositor_id", "issued_date"),
           lambda w, since: marts.weather_impact(
               w.gold("fct_orders"), w.enrichment("geo_reference"), w.enrichment("weather_daily"), since),
-          "issued_date", inputs=("fct_orders",), by=tables.By("issued_date")),
+          "issued_date", inputs=("fct_orders",), by=tables.By("issued_date", "month")),
 ]
 
 

@@ -253,11 +253,13 @@ def create(
     if partition:
         writer = writer.partitionBy(PART)
     writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(target)
+    fs, _, hadoop = _folder(spark, path)
+    if partition and not any(x.isDirectory() for x in fs.listStatus(hadoop.Path(target))):
+        spark.createDataFrame([], df.schema).write.parquet(f"{target}/{PART}=p-")  # an empty table keeps its columns
     after = spark.read.schema(df.schema).parquet(target)
     _refuse_duplicates(after, keys, null_safe)
     if not may_be_empty and found and after.isEmpty() and not read(spark, path).isEmpty():
         raise EmptyRefreshError(path)
-    fs, _, hadoop = _folder(spark, path)
     fs.create(hadoop.Path(f"{target}/_SUCCESS")).close()
     return n
 

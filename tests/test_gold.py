@@ -13,11 +13,15 @@ from stockyard.sources import binding, tables
 CUT, NOW = datetime(2000, 1, 1), datetime(2001, 8, 1)
 
 
+def recent(orders):
+    return orders.where(F.col("dataemissao") >= F.lit(datetime(1999, 6, 1)).cast("timestamp_ntz"))
+
+
 @pytest.fixture(scope="module")
 def stored(spark, root, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("lake"))
     bronze = f"{base}/bronze"
-    orders = binding.orders(spark, root)
+    orders = recent(binding.orders(spark, root))
     moves = binding.outbound(spark, root).unionByName(binding.movements(spark, root))
     tables.overwrite(orders.where(F.col("dataemissao") < F.lit(CUT).cast("timestamp_ntz")), f"{bronze}/orders_documento")
     tables.overwrite(moves, f"{bronze}/movements_entrada_saida")
@@ -75,7 +79,7 @@ def month_files(base, table):
 def test_a_load_touches_its_months_only(spark, root, tmp_path):
     """New, changed and re-dated orders of one night; all other months keep their files."""
     base = str(tmp_path)
-    orders = binding.orders(spark, root)
+    orders = recent(binding.orders(spark, root))
     tables.overwrite(orders, f"{base}/bronze/orders_documento")
     tables.overwrite(binding.outbound(spark, root), f"{base}/bronze/movements_entrada_saida")
     tables.overwrite(binding.inventory(spark, root), f"{base}/bronze/inventory_produtoestoque")
@@ -84,20 +88,20 @@ def test_a_load_touches_its_months_only(spark, root, tmp_path):
     before, facts = month_files(base, "fct_orders"), {r.order_id: r for r in warehouse.gold("fct_orders").collect()}
     moves = month_files(base, "fct_movements")
     inside = lambda y, m: sorted(k for k, r in facts.items() if (r.issued_at.year, r.issued_at.month) == (y, m))
-    changed, moved = inside(1996, 3)[0], inside(1997, 5)[0]
+    changed, moved = inside(2000, 3)[0], inside(2001, 5)[0]
     at = F.lit("2002-01-01 00:00:00").cast("timestamp_ntz")
     night = orders.where(F.col("sequenciaintegracao").cast("string").isin(changed, moved)).withColumns({
         "valortotaldocumento": F.lit(1).cast(orders.schema["valortotaldocumento"].dataType), "_cdc_loaded_at": at,
-        "dataemissao": F.when(F.col("sequenciaintegracao").cast("string") == moved, F.lit("1995-07-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("dataemissao")),
+        "dataemissao": F.when(F.col("sequenciaintegracao").cast("string") == moved, F.lit("1999-07-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("dataemissao")),
     })
     tables.append(night, f"{base}/bronze/orders_documento", "night")
-    assert {r.state for r in gold.build_gold(warehouse, "run-2").collect()} == {"success"}
+    assert {r.state for r in gold.build_gold(warehouse, "run-2").collect()} == {"success"}  # also of marts without rows
     after = month_files(base, "fct_orders")
-    assert {k for k in after if after[k] != before.get(k)} == {"part_key=p1996-03", "part_key=p1997-05", "part_key=p1995-07"}
+    assert {k for k in after if after[k] != before.get(k)} == {"part_key=p2000-03", "part_key=p2001-05", "part_key=p1999-07"}
     assert moves == month_files(base, "fct_movements")
     now = {r.order_id: r for r in warehouse.gold("fct_orders").collect()}
     assert now.keys() == facts.keys() and {k for k in now if now[k] != facts[k]} == {changed, moved}
-    assert now[moved].issued_at == datetime(1995, 7, 1) and now[changed].total_value == 1
+    assert now[moved].issued_at == datetime(1999, 7, 1) and now[changed].total_value == 1
     gold.build_gold(warehouse, "run-3", full_refresh=True)
     assert {r.order_id: r for r in warehouse.gold("fct_orders").collect()} == now
 
