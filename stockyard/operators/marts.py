@@ -25,8 +25,10 @@ SHIFTS = ["morning", "afternoon", "night"]
 PLACE = ["cidade", "uf", "estado", "regiao", "latitude", "longitude"]
 
 
-def _newer(df: DataFrame, column: str, since: date | datetime | None) -> DataFrame:
-    return df if since is None else df.where(F.col(column) > moment(since))
+def _newer(df: DataFrame, column: str, since: date | datetime | Column | None) -> DataFrame:
+    if since is None:
+        return df
+    return df.where(F.col(column) > (since if isinstance(since, Column) else moment(since)))
 
 
 def sla_status(hours: Column) -> Column:
@@ -112,7 +114,7 @@ def stockout_risk(inventory: DataFrame, as_of: date | datetime) -> DataFrame:
     ).select("*", level.alias("risk_level"), today(as_of).alias("snapshot_date"))
 
 
-def operator_productivity(movements: DataFrame, since: datetime | None = None) -> DataFrame:
+def operator_productivity(movements: DataFrame, since: datetime | Column | None = None) -> DataFrame:
     """Movements per operator, warehouse and day, ranked inside the warehouse and day."""
     delta = F.col("qty_delta")
     daily = (
@@ -135,7 +137,7 @@ def operator_productivity(movements: DataFrame, since: datetime | None = None) -
     return rank_desc(scored, ["warehouse_id", "period_date"], "movement_count", "daily_ranking")
 
 
-def picking_performance(movements: DataFrame, since: datetime | None = None) -> DataFrame:
+def picking_performance(movements: DataFrame, since: datetime | Column | None = None) -> DataFrame:
     """Outbound movements per operator, warehouse, day and shift. The hours of a night count with their own calendar
     date. The rate divides by the rounded hours."""
     at = hour("movement_date")

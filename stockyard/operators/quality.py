@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from stockyard.operators.marts import HEALTH_LEVELS, RISK_LEVELS, SHIFTS, SLA_STATUSES
 
@@ -136,6 +136,39 @@ def test_results(models: dict[str, DataFrame]) -> DataFrame:
 test_results.__test__ = False  # not a test case
 
 
+def volume_anomaly(
+    df: DataFrame, at: str, weeks: int = 8, least: int = 4, factor: float = 3.5, slack: float = 0.05,
+) -> DataFrame:
+    """Days whose number of rows is out of line with earlier days of the same weekday, one row a day.
+
+    A day from the first to the last one without rows counts as a day of zero rows; rows without a date are left out. A
+    day is judged by the median of up to ``weeks`` earlier days of its weekday and by the median distance from it (MAD):
+    ``LOW`` or ``HIGH`` when it lies further off than ``factor`` deviations, where one deviation is at least ``slack`` of
+    the median and at least one row, else ``OK``; ``NEW`` while fewer than ``least`` such days have passed. Rows shrink
+    to one per day first, so the windows, one per weekday, cover the calendar only.
+    """
+    daily = df.where(F.col(at).isNotNull()).groupBy(F.to_date(at).alias("day")).agg(F.count("*").alias("n"))
+    span = daily.agg(F.explode(F.sequence(F.min("day"), F.max("day"))).alias("day"))
+    counted = span.join(daily, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("row_count"))
+    earlier = Window.partitionBy(F.weekday("day")).orderBy("day").rowsBetween(-weeks, -1)
+
+    def middle(values: Column) -> Column:
+        ordered, n = F.array_sort(values), F.size(values)
+        low, high = (F.element_at(ordered, F.floor(x).cast("int")) for x in ((n + 1) / 2, n / 2 + 1))
+        return F.when(n > 0, (low + high) / 2)
+
+    seen = counted.withColumn("_seen", F.collect_list("row_count").over(earlier))
+    judged = seen.withColumn("expected", middle(F.col("_seen"))).withColumn(
+        "spread", middle(F.transform("_seen", lambda x: F.abs(x - F.col("expected"))))
+    )
+    off = F.col("row_count") - F.col("expected")
+    limit = factor * F.greatest(F.col("spread") * 1.4826, F.col("expected") * slack, F.lit(1.0))
+    status = (
+        F.when(F.size("_seen") < least, "NEW").when(off < -limit, "LOW").when(off > limit, "HIGH").otherwise("OK")
+    )
+    return judged.select("day", "row_count", "expected", "spread", status.alias("status"))
+
+
 def store_failures(failing: DataFrame, path: str) -> None:
     failing.write.mode("overwrite").parquet(path)
 

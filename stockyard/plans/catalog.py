@@ -12,6 +12,7 @@ from stockyard.functions.fixed import uf_of_ibge_code
 from stockyard.operators import audit, churn, dedup, docs, enrich, marts, quality, reports, staging
 from stockyard.operators.asof import first_after
 from stockyard.plans.layers import EVENTS_AS_OF, ORDERS_AS_OF, Layers
+from stockyard.session import scratch
 from stockyard.sources import binding, extract, sinks, tables
 
 BEFORE = (date(2001, 1, 1), date(2001, 4, 1))
@@ -92,6 +93,13 @@ def _watermark_scan(lake: Layers) -> DataFrame:
     return extract.scan(lake.bronze("orders"), "dataemissao", datetime(2001, 1, 1))
 
 
+def _increment(lake: Layers) -> DataFrame:
+    """The days behind those that a mart of the movements until some evening holds."""
+    until = lake.fct_movements.where(F.col("movement_date") < moment(date(2024, 1, 21)))
+    stored = marts.operator_productivity(until)
+    return marts.operator_productivity(lake.fct_movements, tables.bound(stored, "period_date"))
+
+
 def _append_new(lake: Layers) -> DataFrame:
     orders = lake.fct_orders.select("order_id", "issued_at")
     stored = orders.where(F.col("issued_at") < moment(date(2000, 1, 1)))
@@ -171,6 +179,16 @@ def _search(lake: Layers) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "source", "lang", F.round("score", 6).alias("score"))
 
 
+def _index_recall(lake: Layers) -> DataFrame:
+    """The same questions put to a stored index, held against the exact search."""
+    path = scratch(lake.spark, "index")
+    vectors = binding.table(lake.spark, lake.root, "embeddings")
+    docs.build_index(vectors, path)
+    asked = vectors.where(F.col("vec_id") % 10 == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    found = docs.recall(docs.search_index(lake.spark, path, asked), docs.search(vectors, asked))
+    return found.select("questions", "neighbours", (F.col("recall") >= 0.9).alias("enough"))
+
+
 def _chart(name: str, as_of: datetime) -> Callable[[Layers], DataFrame]:
     def run(lake: Layers) -> DataFrame:
         chart = reports.charts(as_of)[name]
@@ -245,6 +263,8 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "test_relationship": lambda k: quality.check_relationship(
         k.fct_orders.select("order_id", "depositor_id"), "depositor_id", k.fct_inventory_snapshot, "warehouse_id"
     ),
+    "test_volume": lambda k: quality.volume_anomaly(k.outbound, "movement_date"),
+    "distinct_products_by_month": lambda k: audit.distinct_check(k.outbound, "movement_date", "product_id"),
     "kpis": lambda k: reports.kpis(k.mart_order_sla),
     "movement_count": lambda k: reports.movement_count(k.fct_movements),
     "items_at_risk": lambda k: reports.items_at_risk(k.mart_stockout_risk),
@@ -292,7 +312,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "new_watermark": lambda k: _watermark_scan(k).agg(F.max("dataemissao").alias("last_successful_value")).select(
         F.lit("orders_documento").alias("entity_name"), "last_successful_value"
     ),
-    "high_water_increment": lambda k: marts.operator_productivity(k.fct_movements, datetime(2024, 1, 20)),
+    "high_water_increment": _increment,
     "append_new": _append_new,
     "normalise_values": _normalise,
     "mask_columns": _mask,
@@ -308,6 +328,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "index_documents": lambda k: docs.index_documents(_documents(k), "path", "text", sep=r"\n+"),
     "cosine_topk": _cosine,
     "cosine_search": _search,
+    "cosine_index_recall": _index_recall,
 }
 
 

@@ -184,6 +184,13 @@ def build_gold(
     return spark.createDataFrame(metrics, JOB_METRICS)
 
 
+def stored_counts(warehouse: Warehouse) -> DataFrame:
+    """Rows of every gold table there is, from the footers of its files."""
+    names = [m.name for m in FACTS + MARTS]
+    paths = {n: warehouse.gold_path(n) for n in names if tables.exists(warehouse.spark, warehouse.gold_path(n))}
+    return tables.row_counts(warehouse.spark, paths)
+
+
 TESTED = "run_id string, model string, test string, column_name string, failures long, rows long"
 
 

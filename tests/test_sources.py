@@ -269,6 +269,67 @@ def test_envelope(spark, path):
     assert spark.read.parquet(path).where("entity_name = 'orders' and extraction_date = '2024-03-10'").count() == 1
 
 
+def test_envelopes_by_entity_and_day(spark, path):
+    """A repeated run replaces its rows; a day is read from its folders only; the source rows come back."""
+    def store(run, day, *rows, entity="orders"):
+        df = spark.createDataFrame(rows, "id int, price decimal(9,2), at timestamp_ntz")
+        extract.write_envelope(extract.envelope(df, entity, "oracle_wms", "T", run, NOW + timedelta(days=day)), path)
+        return df
+
+    one, two = (1, Decimal("1.50"), NOW), (2, None, None)
+    store("r1", 0, one, two)
+    store("r2", 1, (3, Decimal("3.00"), NOW))
+    store("r3", 1, (9, None, None), entity="other")
+    schema = store("r1", 0, one).schema  # the run again, with one row fewer
+    rows = extract.read_envelope(spark, path, "orders")
+    assert sorted(r.ingestion_run_id for r in rows.collect()) == ["r1", "r2"]
+    assert content(extract.unwrapped(extract.read_envelope(spark, path, "orders", last=NOW.date()), schema)) == [one]
+    day = extract.read_envelope(spark, path, "orders", NOW.date(), NOW.date(), "r1")
+    assert extract.envelope_violations(day).isEmpty()
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "extraction_date" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    assert len(day.inputFiles()) == 3 and day._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_a_load_by_way_of_envelopes(spark, path):
+    entity = extract.ENTITIES["orders_documento"]
+    for name, raw in (("plain", None), ("raw", f"{path}/envelopes")):
+        extract.extract(spark, documents(spark, 8, 9), entity, f"{path}/{name}", f"{path}/marks-{name}", "r1", NOW, days=7, raw_root=raw)
+    assert content(tables.read(spark, f"{path}/raw/orders_documento")) == content(tables.read(spark, f"{path}/plain/orders_documento"))
+    assert extract.read_envelope(spark, f"{path}/envelopes", entity.name).count() == 2
+
+
+def test_counts_come_from_the_footers(spark, path, monkeypatch):
+    tables.create(spark.range(50).selectExpr("id", "date_add(date'2024-01-01', cast(id % 3 as int)) as d"), f"{path}/a", ["id"], partition="d")
+    tables.append(spark.range(7), f"{path}/b")
+    tables.append(spark.range(5), f"{path}/b")
+    plans, before = [], spark.conf.get("spark.sql.sources.useV1SourceList")
+    union = tables.reduce
+    def seen(f, frames):
+        if all(hasattr(x, "columns") for x in frames):
+            plans.extend(x._jdf.queryExecution().executedPlan().toString() for x in frames)
+        return union(f, frames)
+    monkeypatch.setattr(tables, "reduce", seen)
+    assert content(tables.row_counts(spark, {"a": f"{path}/a", "b": f"{path}/b"})) == [("a", 50), ("b", 12)]
+    assert len(plans) == 2 and all("PushedAggregation: [COUNT(*)]" in p and "ReadSchema: struct<count(*):bigint>" in p for p in plans)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+def test_the_bound_of_an_increment_is_found_at_run_time(spark, path):
+    rows = [("op", "W", "p", -1, datetime(2024, 3, d, 8)) for d in (1, 2, 3)]
+    movements = spark.createDataFrame(rows, MOVES)
+    tables.overwrite(movements, f"{path}/m")
+    tables.overwrite(marts.operator_productivity(movements.where("movement_date < '2024-03-02'")), f"{path}/mart")
+    fact, mart = tables.read(spark, f"{path}/m"), tables.read(spark, f"{path}/mart")
+    new = marts.operator_productivity(fact, tables.bound(mart, "period_date"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert any("DataFilters" in line and "movement_date" in line and "Subquery" in line for line in plan.splitlines())
+    assert sorted(r.period_date.day for r in new.collect()) == [2, 3]
+    assert marts.operator_productivity(fact, tables.bound(mart.limit(0), "period_date")).count() == 3
+
+
 def test_jdbc_options():
     with pytest.raises(ValueError):
         extract.jdbc_options("jdbc:x", "t")
