@@ -11,6 +11,7 @@ from stockyard.functions.exprs import moment
 from stockyard.functions.fixed import uf_of_ibge_code
 from stockyard.operators import audit, churn, dedup, docs, enrich, marts, quality, reports, staging
 from stockyard.operators.asof import first_after
+from stockyard.plans import stored
 from stockyard.plans.layers import EVENTS_AS_OF, ORDERS_AS_OF, Layers
 from stockyard.session import scratch
 from stockyard.sources import binding, extract, sinks, tables
@@ -329,6 +330,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "cosine_topk": _cosine,
     "cosine_search": _search,
     "cosine_index_recall": _index_recall,
+    **stored.QUERIES,
 }
 
 

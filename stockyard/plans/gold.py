@@ -113,7 +113,9 @@ MARTS = [
 ]
 
 
-def _take_loads(warehouse: Warehouse, model: Model, measured: Measured, run_id: str, full_refresh: bool, reopen: timedelta) -> None:
+def take_loads(
+    warehouse: Warehouse, model: Model, measured: Measured, run_id: str, full_refresh: bool = False, reopen: timedelta = timedelta(0),
+) -> None:
     """Merge the rows of the loads since the last build into a fact, in the months that they touch, and remember the load
     time only after that. A run that is lost in between takes the same loads again, with the same result."""
     spark, path = warehouse.spark, warehouse.gold_path(model.name)
@@ -158,7 +160,7 @@ def build_gold(
         try:
             measured = Measured(model.name)
             if model.loads:
-                _take_loads(warehouse, model, measured, run_id, full_refresh, reopen)
+                take_loads(warehouse, model, measured, run_id, full_refresh, reopen)
             else:
                 tables.materialize(
                     spark, path, model.keys, lambda since: measured.over(model.build(warehouse, since)),

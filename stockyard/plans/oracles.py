@@ -785,6 +785,42 @@ SQL = {
     "cosine_index_recall": """
         WITH q AS (SELECT COUNT(*) AS n FROM embeddings WHERE vec_id % 10 = 0), v AS (SELECT COUNT(*) AS n FROM embeddings)
         SELECT q.n AS questions, q.n * LEAST(5, v.n) AS neighbours, TRUE AS enough FROM q, v""",
+    # stored tables
+    "overlap_load": """
+        WITH first AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-12-30' AND o_orderdate < TIMESTAMP '2000-01-01'),
+        loaded AS (SELECT o_orderkey FROM first UNION ALL
+                   SELECT o_orderkey FROM orders WHERE o_orderdate >= COALESCE((SELECT MAX(o_orderdate) FROM first), TIMESTAMP '1999-12-30'))
+        SELECT CAST(o_orderkey AS VARCHAR) AS sequenciaintegracao, COUNT(*) AS times FROM loaded GROUP BY 1""",
+    "checkpoint_rules": """
+        WITH a AS (SELECT MAX(o_orderdate) AS m FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+        b AS (SELECT MAX(o_orderdate) AS m FROM orders)
+        SELECT 'load' AS step, m AS last_value FROM a UNION ALL SELECT 'too few rows', m FROM a UNION ALL SELECT 'replay', m FROM a
+        UNION ALL SELECT 'next load', m FROM b UNION ALL SELECT 'reset', NULL""",
+    "snapshot_load": """
+        SELECT CAST(p_partkey AS VARCHAR) AS codigoproduto, p_name AS descricaoproduto FROM part WHERE p_partkey % 2 = 0""",
+    "upsert_places": """
+        SELECT 'warehouse' AS entity_type, CAST(s_suppkey AS VARCHAR) AS entity_id,
+               CASE WHEN s_suppkey % 7 = 6 THEN 'XX' ELSE """ + UFS + """[s_nationkey + 1] END AS uf,
+               CASE WHEN s_suppkey % 2 = 0 THEN TIMESTAMP '2001-08-01' ELSE TIMESTAMP '2000-01-01' END AS _enriched_at
+        FROM supplier WHERE s_suppkey % 13 <> 12 AND s_suppkey % 10 <> 9""",
+    "upsert_weather": """
+        SELECT location_uf, weather_date, max_temperature_c, TIMESTAMP '2001-08-01' AS _enriched_at FROM weather_days""",
+    "full_refresh": """
+        SELECT * FROM mart_operator_productivity WHERE period_date >= TIMESTAMP '2024-01-10'""",
+    "stored_increment": "SELECT * FROM mart_operator_productivity",
+    "fact_by_loads": "SELECT * FROM fct_orders",
+    "optional_source": """
+        SELECT warehouse_id, company_id, product_class, CAST(NULL AS VARCHAR) AS cidade, CAST(NULL AS VARCHAR) AS uf
+        FROM mart_geo_inventory""",
+    "stored_failures": "SELECT order_id, issued_at FROM fct_orders WHERE delivered_at IS NULL",
+    "stored_counts": """
+        SELECT 'fct_orders' AS table_name, COUNT(*) AS row_count FROM fct_orders UNION ALL
+        SELECT 'fct_movements', COUNT(*) FROM fct_movements""",
+    "bronze_by_day": "SELECT c_custkey, c_name, c_acctbal, c_nationkey FROM customer WHERE c_custkey % 2 = 1",
+    "appended_columns": """
+        SELECT order_id, issued_at, CASE WHEN issued_at >= TIMESTAMP '2000-01-01' THEN document_type END AS document_type FROM fct_orders""",
+    "time_zone_rule": """
+        SELECT o_orderkey, o_orderdate AS plain, o_orderdate - INTERVAL 2 HOUR AS zoned FROM orders""",
 }
 
 
