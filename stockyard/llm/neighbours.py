@@ -4,20 +4,23 @@ Fitting. On at most ``SAMPLE`` vectors, chosen by a hash of the vector, each tre
 two random centres, at the median. A leaf keeps at least ``LEAF`` sampled vectors, so a tree has at most
 ``SAMPLE / LEAF`` leaves and the forest's size has a bound whatever the table's size.
 
-Index. Every vector goes through every tree. Equal vectors are one entry with their smallest ids. A leaf with more
-than ``SHARD`` entries is dealt to several shards, so that a task's matrix stays small.
+Index. Every vector goes through every tree once; equal vectors are one entry with their smallest ids. Entries are dealt
+to shards of about ``SHARD`` by a hash, each sent once with the leaves it lies in, so a task's matrix stays small.
 
 Search. A query's margin in a node is its distance from the plane, negative on the far side. All trees share one
 priority queue keyed by the least margin on the way down; leaves are popped from it until they hold ``share`` times
 as many entries as the index. A child never precedes its parent, so popping is the same as taking leaves in
-descending order of that least margin. The query is sent once to each shard that has popped leaves; there its inner
-products are taken leaf by leaf, and only its best go on. The final order is by exact double-precision scores.
+descending order of that least margin. A query goes to the shards with its popped leaves as bits; the entries in any of
+them are its candidates, and each is scored once, however many trees offer it. What can still be among the best goes on,
+with all that tie, and the final order is by exact double-precision scores. Vectors of different lengths have no product,
+so those of each length have a forest of their own.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +32,9 @@ SAMPLE = 65_536
 LEAF = 128
 TREES = 8
 SHARE = 2.0  # entries popped, counted per tree, as a share of the index
-SHARD = 65_536
-SPARE = 4  # candidates kept beyond the last rank, so that rounding in a matrix product cannot push one out
+SHARD = 32_768
+QUERIES = 128  # that a task scores at once
+ROUNDING = 1e-10  # of the product of the norms: more than a matrix product can be off
 
 
 class Forest:
@@ -127,9 +131,9 @@ def search(
     """The ``k`` nearest of ``vectors`` for each of ``queries``: query_id, rank from 1, vec_id, score.
 
     Both frames have the columns ``vec_id`` and ``vector``; a candidate with the query's own id is left out. Vectors
-    that are null, zero, or hold a null or non-finite component, or have no id, take no part on either side. All others must have
-    one length. Rows repeated under one id count once. Fewer than ``k`` candidates give fewer rows, an empty table
-    none. Ties go to the smaller id. Other columns are ignored.
+    that are null, zero, or hold a null or non-finite component, or have no id, take no part on either side; a query finds
+    vectors of its own length. Rows repeated under one id count once. Fewer than ``k`` candidates give fewer rows, an
+    empty table none. Ties go to the smaller id. Other columns are ignored.
     """
     spark = vectors.sparkSession
     # one entry per distinct vector: its k + 1 smallest ids answer every query, also one that is itself among them
@@ -140,12 +144,32 @@ def search(
         ranked.groupBy("v").agg(ids.alias("ids")).select(F.col("ids")[0].alias("entry"), "v", "ids", F.xxhash64("v").alias("h")),
         "entries",
     )
-    count = entries.count()
     asked = usable(queries, vec_id, vector).dropDuplicates(["id"])
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not count:
-        return spark.createDataFrame([], schema)
+    lengths = [r[0] for r in entries.select(F.size("v")).distinct().collect()]
+    if not lengths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    near = reduce(DataFrame.unionByName, [
+        _near(entries.where(F.size("v") == n), asked.where(F.size("v") == n), k, trees, leaf, share, sample, shard) for n in lengths
+    ])
+    # exact scores: products summed from the first component to the last
+    exact = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    scored = (
+        near.join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
+        .join(entries.select("entry", "v", "ids"), "entry").where(F.size("q") == F.size("v"))
+        .select("query_id", exact.alias("score"), F.explode("ids").alias("vec_id"))
+        .where("vec_id <> query_id")
+    )
+    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
+        scored.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
 
+def _near(entries: DataFrame, asked: DataFrame, k: int, trees: int, leaf: int, share: float, sample: int, shard: int) -> DataFrame:
+    """query_id and entry of all that may be among the ``k`` nearest, for vectors of one length."""
+    spark = entries.sparkSession
+    count = entries.count()
     fraction = min(1.0, sample / count)
     chosen = entries if fraction == 1.0 else entries.where(F.pmod("h", F.lit(1 << 30)) < int(fraction * (1 << 30)))
     forest = Forest(_matrix(chosen.select("v").toArrow().column("v").combine_chunks()), trees, leaf)
@@ -153,140 +177,80 @@ def search(
     per_tree = 2**forest.depth
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Entries to their leaves: one row per tree."""
         for b in batches:
             if b.num_rows:
                 leaves = held.value.leaves(_matrix(b.column("v"))) + np.arange(trees) * per_tree
-                take = np.repeat(np.arange(b.num_rows), trees)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaves.ravel()), b.column("entry").take(take), b.column("v").take(take), b.column("h").take(take)],
-                    ["leaf", "id", "v", "h"],
+                    [*b.columns, _lists(leaves.ravel(), np.full(b.num_rows, trees), pa.int32())], ["entry", "v", "h", "leaves"]
                 )
 
-    placed = entries.select("entry", "v", "h").mapInArrow(route, "leaf long, id long, v array<double>, h long")
+    placed = written(entries.select("entry", "v", "h").mapInArrow(route, "entry long, v array<double>, h long, leaves array<int>"), "leaves")
     # at most trees * SAMPLE / LEAF rows
     sizes = np.zeros(trees * per_tree, np.int64)
-    for r in placed.groupBy("leaf").count().collect():
+    for r in placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
         sizes[r["leaf"]] = r["count"]
-    # whole small leaves share a shard; a large leaf has several of its own
-    pieces = -(-sizes // shard)
-    small = np.where(pieces > 1, 0, sizes)
-    shared = np.cumsum(small) // shard
-    first = np.where(pieces > 1, shared[-1] + 1 + np.cumsum(np.where(pieces > 1, pieces, 0)) - pieces, shared)
-    layout = spark.sparkContext.broadcast((sizes, first, np.maximum(1, pieces)))
-
-    def shard_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, first, pieces = layout.value
-        for b in batches:
-            leaf_ids, h = b.column("leaf").to_numpy(), b.column("h").to_numpy()
-            at = first[leaf_ids] + np.mod(h, pieces[leaf_ids])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(np.zeros(len(at), np.int32), pa.int32()), b.column("id"), b.column("v"),
-                 _lists(leaf_ids, np.ones(len(at), np.int64), pa.int64())],
-                ["shard", "kind", "id", "v", "leaves"],
-            )
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Queries to the shards of the leaves they pop."""
-        forest, (sizes, first, pieces) = held.value, layout.value
-        budget = share * sizes.sum() / trees
+    budget = share * count
+
+    def pop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries with the leaves that they pop, a bit for each."""
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
-                queue = np.argsort(-forest.least_margins(_matrix(b.column("v"))), axis=1, kind="stable")
+            for at in range(0, whole.num_rows, 2 * QUERIES):
+                b = whole.slice(at, 2 * QUERIES)
+                queue = np.argsort(-held.value.least_margins(_matrix(b.column("v"))), axis=1, kind="stable")
                 before = np.cumsum(sizes[queue], axis=1) - sizes[queue]
-                row, place = np.nonzero((before < budget) & (sizes[queue] > 0))
-                leaf_ids = queue[row, place]
-                times = pieces[leaf_ids]
-                row, leaf_ids, piece = np.repeat(row, times), np.repeat(leaf_ids, times), np.concatenate([np.arange(n) for n in times] or [[]])
-                to = first[leaf_ids] + piece.astype(np.int64)
-                order = np.lexsort((leaf_ids, to, row))
-                row, leaf_ids, to = row[order], leaf_ids[order], to[order]
-                new = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(to) != 0)]))
-                take = pa.array(row[new])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to[new]), pa.array(np.ones(len(new), np.int32), pa.int32()), b.column("id").take(take), b.column("v").take(take),
-                     _lists(leaf_ids, np.diff(np.append(new, len(row))), pa.int64())],
-                    ["shard", "kind", "id", "v", "leaves"],
-                )
-
-    keep = k + 1 + SPARE
+                popped = np.zeros(queue.shape, bool)
+                np.put_along_axis(popped, queue, before < budget, 1)
+                bits = np.packbits(popped, axis=1)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([row.tobytes() for row in bits], pa.binary())], ["id", "v", "popped"])
+
+    shards = max(1, -(-count // shard))
+    kind = ["shard", "kind", "id", "v", "leaves", "popped"]
+    stored = placed.select(
+        F.pmod("h", F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), F.col("entry").alias("id"), "v", "leaves",
+        F.lit(None).cast("binary").alias("popped"),
+    )
+    probes = asked.select("id", "v").mapInArrow(pop, "id long, v array<double>, popped binary").select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("kind"), "id", "v",
+        F.lit(None).cast("array<int>").alias("leaves"), "popped",
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come by shard, entries before queries; per query and shard the best entries of its leaves go on."""
-        here, ids, xs, leaves, index = None, [], [], [], None
+        """Rows come by shard, entries before queries; per query the best of a shard's candidates go on."""
+        here, held_rows, index = None, [], None
         for whole in batches:
-            shards, kinds = whole.column("shard").to_numpy(), whole.column("kind").to_numpy()
-            cuts = np.flatnonzero((np.diff(shards) != 0) | (np.diff(kinds) != 0)) + 1
-            for a, z in zip([0, *cuts], [*cuts, len(shards)]):
+            at_shard, kinds = whole.column("shard").to_numpy(), whole.column("kind").to_numpy()
+            cuts = np.flatnonzero((np.diff(at_shard) != 0) | (np.diff(kinds) != 0)) + 1
+            for a, z in zip([0, *cuts], [*cuts, len(kinds)]):
                 b = whole.slice(a, z - a)
-                if shards[a] != here:
-                    here, ids, xs, leaves, index = shards[a], [], [], [], None
+                if at_shard[a] != here:
+                    here, held_rows, index = at_shard[a], [], None
                 if kinds[a] == 0:
-                    ids.append(b.column("id").to_numpy())
-                    xs.append(_matrix(b.column("v")))
-                    leaves.append(b.column("leaves").flatten().to_numpy())
-                elif ids:
-                    index = index or by_leaf(np.concatenate(ids), np.concatenate(xs), np.concatenate(leaves))
-                    for at in range(0, b.num_rows, 512):
-                        yield best(b.slice(at, 512), index)
-
-    def by_leaf(ids: np.ndarray, x: np.ndarray, leaves: np.ndarray) -> dict:
-        order = np.argsort(leaves, kind="stable")
-        cuts = np.flatnonzero(np.diff(leaves[order])) + 1
-        return {int(leaves[part[0]]): (ids[part], x[part]) for part in np.split(order, cuts)}
-
-    def best(b: pa.RecordBatch, index: dict) -> pa.RecordBatch:
-        q, ids = _matrix(b.column("v")), b.column("id").to_numpy()
-        lists = b.column("leaves")
-        row = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
-        leaf_ids = lists.flatten().to_numpy()
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for leaf_id in np.unique(leaf_ids):
-            if int(leaf_id) in index:
-                own, x = index[int(leaf_id)]
-                rows = row[leaf_ids == leaf_id]
-                scores = q[rows] @ x.T
-                if len(own) > keep:
-                    top = np.argpartition(-scores, keep - 1, axis=1)[:, :keep]
-                    scores, own = np.take_along_axis(scores, top, 1), own[top]
-                else:
-                    own = np.broadcast_to(own, scores.shape)
-                found.append((np.repeat(rows, scores.shape[1]), own.ravel(), scores.ravel()))
-        if not found:
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["query_id", "entry", "score"])
-        row, own, score = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((own, -score, row))
-        row, own, score = row[order], own[order], score[order]
-        # an entry found through several trees comes with scores that differ by rounding at most
-        _, once = np.unique(np.stack([row, own]), axis=1, return_index=True)
-        once.sort()
-        row, own, score = row[once], own[once], score[once]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        take = rank < keep
-        return pa.RecordBatch.from_arrays([pa.array(ids[row[take]]), pa.array(own[take]), pa.array(score[take])], ["query_id", "entry", "score"])
-
-    kind = "shard long, kind int, id long, v array<double>, leaves array<long>"
-    rows = placed.mapInArrow(shard_of, kind).unionByName(asked.select("id", "v").mapInArrow(probe, kind))
-    shards = int(first.max() + pieces[-1]) + 1
-    dealt = rows.repartition(max(1, min(shards, 200_000)), "shard").sortWithinPartitions("shard", "kind")
-    hits = dealt.mapInArrow(scan, "query_id long, entry long, score double")
-    per_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "entry")
-    near = (
-        hits.groupBy("query_id", "entry").agg(F.max("score").alias("score"))
-        .withColumn("_n", F.row_number().over(per_query)).where(F.col("_n") <= keep)
-    )
-    # exact scores: products summed from the first component to the last
-    exact = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    scored = (
-        near.select("query_id", "entry")
-        .join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
-        .join(entries.select("entry", "v", "ids"), "entry")
-        .select("query_id", exact.alias("score"), F.explode("ids").alias("vec_id"))
-        .where("vec_id <> query_id")
-    )
-    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        scored.withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+                    held_rows.append((b.column("id").to_numpy(), _matrix(b.column("v")), _matrix(b.column("leaves")).astype(np.int64)))
+                elif held_rows:
+                    if index is None:
+                        index = tuple(np.concatenate(c) for c in zip(*held_rows))
+                        held_rows = [index]
+                    for at in range(0, b.num_rows, QUERIES):
+                        yield best(b.slice(at, QUERIES), *index)
+
+    def best(b: pa.RecordBatch, entry: np.ndarray, x: np.ndarray, leaves: np.ndarray) -> pa.RecordBatch:
+        q, asks = _matrix(b.column("v")), b.column("id").to_numpy()
+        popped = np.unpackbits(np.frombuffer(b"".join(b.column("popped").to_pylist()), np.uint8).reshape(len(q), -1), axis=1).astype(bool)
+        candidate = np.zeros((len(q), len(x)), bool)
+        for tree in leaves.T:
+            candidate |= popped[:, tree]
+        scores = np.where(candidate, q @ x.T, -np.inf)
+        slack = ROUNDING * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
+        last = -np.inf if len(x) <= k + 1 else np.partition(scores, len(x) - k - 1, axis=1)[:, len(x) - k - 1] - slack
+        row, col = np.nonzero((scores.T >= last).T & candidate)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(asks[row]), pa.array(entry[col]), pa.array(scores[row, col]), pa.array(slack[row])], ["query_id", "entry", "score", "slack"]
+        )
+
+    dealt = stored.select(kind).unionByName(probes.select(kind)).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    hits = dealt.mapInArrow(scan, "query_id long, entry long, score double, slack double")
+    # all that are not below the last of the best by more than rounding
+    own = Window.partitionBy("query_id")
+    placed_ = hits.withColumn("_n", F.row_number().over(own.orderBy(F.desc("score"), "entry")))
+    last = F.max(F.when(F.col("_n") == k + 1, F.col("score"))).over(own)
+    return placed_.withColumn("_last", last).where("_last is null or score >= _last - 2 * slack").select("query_id", "entry")
