@@ -208,7 +208,15 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     """
     prints = written(fingerprints(docs, doc_id, text), "fingerprints")
     found = linked(docs, prints, doc_id, text, percent)
-    classes = prints.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
+    known = prints.where("n_shingles > 0 and doc_id is not null")
+    classes = known.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
+    sets = F.struct("s1", "s2")
+    several = known.groupBy("doc_id").agg(F.min(sets).alias("low"), F.max(sets).alias("high")).where("low <> high").select("doc_id")
+    if not several.isEmpty():  # the texts of one id are one document, so their classes belong together
+        own = known.join(several, "doc_id").select("doc_id", "s1", "s2").distinct().join(classes, ["s1", "s2"])
+        least = own.groupBy("doc_id").agg(F.min("node").alias("least"))
+        same = own.join(least, "doc_id").selectExpr("least as a", "node as b")
+        found = components(found.selectExpr("component as a", "node as b").unionByName(same))
     named = classes.join(found, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     return (
         prints.select("doc_id", "n_shingles", "s1", "s2").join(named, ["s1", "s2"], "left")

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from stockyard.llm import conversations, lm, negatives, queries
+from stockyard.llm import conversations, lm, near_duplicates, negatives, neighbours, queries
 from tests.oracle import compare, connect
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -201,3 +201,22 @@ def test_language_model_without_texts_to_learn_from(spark):
     none = lm.scores(df, may_learn="false").collect()
     assert len(none) == 100 and {(r.n_tokens, r.n_known, r.train_tokens, r.score) for r in none} == {(3, 0, 0, 0.0)}
     assert lm.scores(df.limit(0)).collect() == []
+
+
+def test_nearest_of_many_ties_and_of_several_lengths(spark):
+    rows = [(i, [1.0, float(i % 97), 0.0]) for i in range(400)] + [(1000 + i, [1.0 + i] * 5) for i in range(3)] + [(1020, [2.0] * 5), (1040, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(0, [1.0, 0.0, 0.0]), (1020, [2.0] * 5), (1040, [1.0])], df.schema)
+    found = {}
+    for r in neighbours.search(df, asked).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert found == {0: [*range(1, 21)], 1020: [1002, 1001, 1000]}
+
+
+def test_texts_of_one_id_link_what_is_like_either(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, b), (5, a), (5, b), (9, a), (11, c), (11, None), (12, "")]
+    got = near_duplicates.groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got.collect()) == [
+        (3, 3, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True), (11, 11, True), (12, 12, True),
+    ]
