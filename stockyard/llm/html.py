@@ -14,6 +14,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +52,54 @@ ENDS = {
     "tr": ({"tr", "td", "th", "p"}, {"table"}), "td": ({"td", "th", "p"}, {"tr", "table"}), "th": ({"td", "th", "p"}, {"tr", "table"}),
     "body": ({"head"}, set()),
 }
+PARTS = frozenset("article main nav header footer aside form section".split())
 _SCOPES = frozenset("article aside body div footer form header html main nav section table td th ul ol".split())
 
 
+@lru_cache(1 << 16)
+def _features_of(label: str) -> tuple[str, tuple[str, ...], int]:
+    """Tag, hints, and a bit for the slot of each."""
+    tag, *hints = label.split(".")
+    bits = 0
+    for feature in (f"in:{tag}", *(f"hint:{w}" for w in hints)):
+        bits |= 1 << _slot(feature)
+    return tag, tuple(hints), bits
+
+
+class Path:
+    """An open tag with its hints (``div.sidebar``) and, through ``up``, those around it.
+
+    All blocks inside share it, and the features of what stands above are shared as long as they stay the same, so a page
+    needs memory in proportion to its length, however deep its tags are nested.
+    """
+
+    __slots__ = ("label", "tag", "up", "above", "part", "near")
+
+    def __init__(self, label: str, up: Path | None):
+        self.label, self.up = label, up
+        self.tag, hints, own = _features_of(label)
+        above = up.above if up else 0
+        self.above = above if above | own == above else above | own  # a bit per slot
+        self.part = self.tag if self.tag in PARTS else up.part if up else "none"
+        self.near = hints if hints else up.near if up else ()
+
+    def tags(self) -> list[list[str]]:
+        """Tag and hints of each, from the outermost on."""
+        out, node = [], self
+        while node is not None:
+            out.append(node.label.split("."))
+            node = node.up
+        return out[::-1]
+
+    def key(self) -> tuple:
+        """Paths with one key have the same features."""
+        return self.above, self.tag, self.up.tag if self.up else "", self.part, self.near
+
+
 class Block:
     __slots__ = ("path", "text", "linked")
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
+    def __init__(self, path: Path | None, text: str, linked: int):
         self.path, self.text, self.linked = path, text, linked
 
 
@@ -83,19 +126,25 @@ def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: path of tags with hints (``div.sidebar``), text, characters inside links."""
     out: list[Block] = []
     stack: list[str] = []
-    labels: list[str] = []
+    labels: list[Path] = []
+    opened: Counter[str] = Counter()  # open tags by name
     parts: list[str] = []
     hidden: dict[str, dict[int, int]] = {}
     linked = 0
     at, n = 0, len(page)
 
+    def close(since: int) -> None:
+        for tag in stack[since:]:
+            opened[tag] -= 1
+        del stack[since:], labels[since:]
+
     def flush() -> None:
         nonlocal linked
         if parts:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                out.append(Block(tuple(labels), text, linked))
+                out.append(Block(labels[-1] if labels else None, text, linked))
             parts.clear()
         linked = 0
 
@@ -107,7 +156,7 @@ def blocks(page: str) -> list[Block]:
         if found.start() > at:
             piece = page[at : found.start()]
             parts.append(piece)
-            if "a" in stack:
+            if opened["a"]:
                 linked += len(piece)
         at = found.end()
         name = found["name"] or found["name2"]
@@ -117,27 +166,26 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         if found["end"] or found["end2"]:
-            if name in stack:
+            if opened[name]:
+                last = len(stack) - 1
+                while stack[last] != name and (name in BLOCK or stack[last] not in BLOCK):
+                    last -= 1
                 if name in BLOCK:
                     flush()
-                    while stack.pop() != name:
-                        labels.pop()
-                    labels.pop()
-                elif not any(t in BLOCK for t in stack[len(stack) - 1 - stack[::-1].index(name) :]):
-                    while stack.pop() != name:
-                        labels.pop()
-                    labels.pop()
+                    close(last)
+                elif stack[last] == name:  # an inline tag is not closed across a block
+                    close(last)
             elif name in BLOCK:
                 flush()
             continue
         rest = found["rest"] if found["name"] else found["rest2"]
         if name in RAW:
-            foreign = "svg" in stack or "math" in stack
+            foreign = bool(opened["svg"] or opened["math"])
             if foreign and rest.endswith("/"):
                 continue
-            close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            if close or not foreign:
-                at = close.end() if close else n
+            ending = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            if ending or not foreign:
+                at = ending.end() if ending else n
                 continue
         if name in HIDDEN:
             if name not in hidden:
@@ -158,19 +206,20 @@ def blocks(page: str) -> list[Block]:
                 if stack[i] in walls or (stack[i] in _SCOPES and stack[i] not in ended):
                     break
                 if stack[i] in ended:
-                    del stack[i:], labels[i:]
+                    close(i)
         hints = ""
         if rest and "=" in rest:
             hints = ".".join(w for m in _HINT.finditer(rest) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower()))
-        stack.append(name)
-        labels.append(f"{name}.{hints}" if hints else name)
         if rest.endswith("/") and name not in BLOCK:
-            stack.pop()
-            labels.pop()
+            continue
+        labels.append(Path(f"{name}.{hints}" if hints else name, labels[-1] if labels else None))
+        stack.append(name)
+        opened[name] += 1
     flush()
     return out
 
 
+@lru_cache(1 << 16)
 def _slot(feature: str) -> int:
     value = 2166136261
     for c in feature.encode():
@@ -178,19 +227,20 @@ def _slot(feature: str) -> int:
     return (value ^ value >> 15) % SLOTS
 
 
-def path_features(path: tuple[str, ...]) -> list[int]:
+def path_features(path: Path | None) -> list[int]:
     """Tags and hints anywhere above, the last two tags, and the closest tag that divides a page."""
-    tags = [p.split(".")[0] for p in path]
-    found = {f"in:{t}" for t in tags}
-    for p in path:
-        found |= {f"hint:{w}" for w in p.split(".")[1:]}
-    found.add(f"last:{tags[-1] if tags else ''}")
-    found.add("pair:" + ">".join(tags[-2:]))
-    closest = next((p for p in reversed(path) if p.split(".")[0] in ("article", "main", "nav", "header", "footer", "aside", "form", "section")), "none")
-    found.add(f"part:{closest.split('.')[0]}")
-    hinted = next((p for p in reversed(path) if "." in p), "none")
-    found |= {f"near:{w}" for w in hinted.split(".")[1:]}
-    return sorted({_slot(f) for f in found})
+    last, before = (path.tag, path.up.tag if path.up else None) if path else ("", None)
+    found = {
+        _slot(f"last:{last}"), _slot("pair:" + (f"{before}>{last}" if before is not None else last)),
+        _slot(f"part:{path.part if path else 'none'}"), *(_slot(f"near:{w}") for w in (path.near if path else ())),
+    }
+    above, at = path.above if path else 0, 0
+    while above:
+        skip = (above & -above).bit_length()
+        at += skip
+        found.add(at - 1)
+        above >>= skip
+    return sorted(found)
 
 
 def text_features(block: Block, place: int, count: int) -> list[int]:
@@ -200,7 +250,7 @@ def text_features(block: Block, place: int, count: int) -> list[int]:
         f"words:{min(7, int(math.log2(words)))}", f"links:{min(4, 4 * block.linked // max(1, len(text)))}",
         f"end:{text[-1] if text[-1] in '.!?:…' else 'a' if text[-1].isalpha() else 'o'}", f"commas:{min(3, text.count(','))}",
         f"sentences:{min(3, text.count('. '))}", f"place:{4 * place // count}", f"first:{place == 0}", f"last:{place == count - 1}",
-        f"sign:{'©' in text or 'copyright' in text[:200].lower()}",
+        f"sign:{'©' in text or 'copyright' in text.lower()}",
     ]
     return [_slot(f) for f in found]
 
@@ -211,7 +261,7 @@ class Field:
     def __init__(self) -> None:
         self.w = np.zeros(SLOTS)
         self.pair = np.zeros((2, 2))
-        self.paths: dict[tuple[str, ...], tuple[list[int], float]] = {}
+        self.paths: dict[tuple, float] = {}
 
     def features(self, page: list[Block]) -> list[list[int]]:
         return [path_features(b.path) + text_features(b, i, len(page)) for i, b in enumerate(page)]
@@ -221,11 +271,12 @@ class Field:
         out = np.empty(len(page))
         w = self.w
         for i, b in enumerate(page):
-            known = self.paths.get(b.path)
+            key = b.path.key() if b.path else None
+            known = self.paths.get(key)
             if known is None:
                 if len(self.paths) > 50_000:
                     self.paths.clear()
-                known = self.paths[b.path] = float(w[path_features(b.path)].sum())
+                known = self.paths[key] = float(w[path_features(b.path)].sum())
             out[i] = known + sum(w.item(k) for k in text_features(b, i, len(page)))
         return out
 
@@ -281,6 +332,8 @@ class Field:
         found = blocks(page)
         if not found:
             return ""
+        if all(b.path is None for b in found):  # no markup: the page is its text
+            return "\n".join(b.text for b in found)
         labels = self.viterbi(self.scores(found))
         return "\n".join(b.text for b, y in zip(found, labels) if y)
 
@@ -297,7 +350,7 @@ def semantic_labels(page: list[Block]) -> list[int] | None:
     """1 inside an article or main element but no side part; None where the page has neither element."""
     out, any_main = [], False
     for b in page:
-        tags = [p.split(".") for p in b.path]
+        tags = b.path.tags() if b.path else []
         inside = max((i for i, p in enumerate(tags) if p[0] in ("article", "main")), default=None)
         any_main |= inside is not None
         side = any(p[0] in SIDE_TAGS or SIDE_HINTS & set(p[1:]) for p in tags)
@@ -322,6 +375,7 @@ FORMS = [("<form>", "</form>"), ('<form class="search"><label>', "</label></form
 COMMENTS = [
     ('<div id="comments"><div class="comment"><p>', "</p></div></div>"), ('<section class="comments"><p>', "</p></section>"),
     ('<ol class="commentlist"><li>', "</li></ol>"), ('<div class="reader-comments"><p>', "</p></div>"), ('<section class="replies"><article class="comment"><p>', "</p></article></section>"),
+    ('<div class="discussion"><p>', "</p></div>"), ('<div id="responses"><ul><li>', "</li></ul></div>"),
 ]
 
 
@@ -352,12 +406,20 @@ def layouts(main: list[str], other: list[str], rng: np.random.Generator) -> list
     if rng.random() < 0.6:
         level = rng.integers(1, 3)
         inner.append(("1", f"<h{level}>{html.escape(main[0][:60])}</h{level}>"))
+        if level == 1 and rng.random() < 0.4:  # in a header of its own, above who wrote it and when
+            inner[1:1] = [("0", "<header>")]
+            inner.append(("0", f"<p>{html.escape(' '.join(some(1)[0].split()[:4]))}</p></header>"))
     kind = rng.random()
     for i, t in enumerate(main):
         tag = "p" if kind < 0.75 else "div" if kind < 0.85 else ("li" if i % 4 == 1 else "blockquote" if i % 4 == 3 else "p")
         inner.append(("1", f"<{tag}>{html.escape(t)}</{tag}>"))
         if rng.random() < 0.08:
             inner.append(side([*ADVERTS, *SIDES, *FORMS, *NOTICES], some(1)[0]))
+    if rng.random() < 0.4:  # a list of short points, often at the end
+        listing = "ul" if rng.random() < 0.6 else "ol"
+        points = [("1", f"<li>{html.escape(' '.join(t.split()[: rng.integers(1, 7)]))}</li>") for t in main[: rng.integers(2, 5)]]
+        at = len(inner) if rng.random() < 0.6 else int(rng.integers(1, len(inner) + 1))
+        inner[at:at] = [("0", f"<{listing}>"), *points, ("0", f"</{listing}>")]
     if rng.random() < 0.3:
         inner.append(side(COMMENTS, some(1)[0]))
     inner.append(("0", z))

@@ -5,12 +5,13 @@ import heapq
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 
-from stockyard.llm import conversations, lm, near_duplicates, negatives, neighbours, queries
+from stockyard.llm import conversations, html, lm, near_duplicates, negatives, neighbours, queries
 from tests.oracle import compare, connect
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -220,3 +221,34 @@ def test_texts_of_one_id_link_what_is_like_either(spark):
     assert sorted((r.doc_id, r.component_id, r.kept) for r in got.collect()) == [
         (3, 3, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True), (11, 11, True), (12, 12, True),
     ]
+
+
+@pytest.fixture(scope="module")
+def field(spark, root):
+    return html.fit(queries._table(spark, root, "pages"), "page_id", "html")
+
+
+LONG = "Long paragraph of text that goes on and on, with commas. And sentences."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<nav><a href=x>Home</a></nav><article><h1>T</h1><p>{LONG}</p><ul><li>Item one</li><li>Item two</li></ul></article><footer>c</footer>", f"T\n{LONG}\nItem one\nItem two"),
+    (f'<div class="content"><p>{LONG}</p><ol><li>First</li><li>Second</li></ol></div><div class="discussion"><p>I liked this.</p></div>', f"{LONG}\nFirst\nSecond"),
+    (f'<article><header><h1>A title</h1><p class="byline">By A. Nyone</p></header><p>{LONG}</p></article>', f"A title\n{LONG}"),
+    ("plain text &amp; no tags", "plain text & no tags"),
+])
+def test_main_text_of_small_pages(field, page, text):
+    assert field.main_text(page if "plain" in page else f"<html><body>{page}</body></html>") == text
+
+
+def test_deep_pages_take_memory_in_proportion(field):
+    def peak(depth):
+        tracemalloc.start()
+        assert len(html.blocks("".join(f'<div class="c{chr(97 + i % 26)}">x ' for i in range(depth)))) == depth
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    peak(100)
+    assert peak(20_000) < 3 * peak(10_000) < 60_000_000
+    assert field.main_text("<div>" * 50_000 + "<p>x") in ("", "x")
