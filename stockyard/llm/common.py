@@ -94,6 +94,28 @@ def id_remainder(doc_id: str | Column, divisor: int) -> Column:
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % divisor
 
 
+def _slot(key: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(slots))
+
+
+def perhaps_among(rows: DataFrame, key: str, keys: DataFrame, most_slots: int = 1 << 28) -> DataFrame:
+    """The rows whose ``key`` may be among ``keys`` (one column), to make a join with these smaller before its shuffle.
+
+    Keys mark slots of a bitmap by their hash, eight or more slots a key, so that about an eighth of the other rows stay.
+    The bitmap is broadcast; its size is bounded by ``most_slots`` (32 MB), beyond which it fills up and more rows stay.
+    No row that the join needs is lost.
+    """
+    (column,) = keys.columns
+    slots = min(most_slots, 1 << (8 * max(keys.count(), 4096) - 1).bit_length())
+    slot = _slot(F.col(column), slots)
+    bitmap = keys.groupBy(F.bitmap_bucket_number(slot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits"))
+    slot = _slot(F.col(key), slots)
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_place div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    marked = rows.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_place": place}).join(F.broadcast(bitmap), "_bucket")
+    return marked.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(_place % 8 as int))")) != 0).select(*rows.columns)
+
+
 def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts in column ``text`` have about ``limit`` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)

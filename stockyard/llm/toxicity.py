@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockyard.llm.common import filtered, id_remainder, mapped, slices, text_bytes
+from stockyard.llm.common import filtered, id_remainder, mapped, perhaps_among, slices, text_bytes
 from stockyard.llm.fitting import logistic
 from stockyard.llm.words import mix
 
@@ -279,7 +279,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
     """
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), id_remainder(doc_id, 5).alias("_rest")).where("text is not null")
     told = labels.where(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("label"))
-    labelled = texts.where(may_learn).hint("merge").join(told, "_id")  # the labels grow with the documents
+    keys = labels.where(F.col(label).isNotNull()).select(F.col(doc_id).alias("_key"))
+    few = perhaps_among(texts.where(may_learn), "_id", keys)
+    labelled = few.hint("merge").join(told, "_id")  # the labels grow with the documents
     counts = class_counts(labelled.where("_rest <> 4")).toArrow()
     model = Model(counts, continuations(docs.select(F.col(text).alias("text"))).toArrow())
     del counts
