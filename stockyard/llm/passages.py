@@ -10,8 +10,9 @@
 3. *Extend left and right.* A kept suffix speaks for the windows that selected it: up to 40 words to its left, and the
    50 words from the last of them on. Equal extents are one class, whose first document owns it; all windows of an
    extent owned by another document repeat. What is left, one document's extents per class, is compared window by
-   window, again by the first owner. Classes and windows are combined before they are shuffled, so a passage that a
-   third of all documents share is no hot group.
+   window, again by the first owner. Owners are found by sorting: extents, then windows, stand by name and document
+   over range partitions, and the first document of a name is carried along them, from one partition to the next. So a
+   passage that a third of all documents share is no hot group, and nothing is joined by name.
 
 A window repeats if an earlier document, by id, has it too; a document's own repetitions are left alone. Results are
 exact up to collisions of 128-bit hashes.
@@ -23,7 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from stockyard.llm.common import dropped, free_name, mapped, slices, written
 from stockyard.llm.words import Words, mix, runs, stream
@@ -162,6 +165,61 @@ def window_names(owned: DataFrame) -> DataFrame:
     return mapped(owned.select("doc_id", "copy", "begin", "windows"), each, "name long, doc_id long, copy long, at int")
 
 
+def after_first(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` sorted by ``key`` (longs) and doc_id over range partitions, and whether an earlier document has their key.
+
+    The first document of a key is carried along the sorted rows, so one key may fill any number of partitions. New
+    columns: ``repeats``, as far as the partition shows it; ``open``, for rows of the first document of a partition's
+    first key, which the partitions before it may yet make repeats; ``part``; and ``edge``, in one more row per
+    partition, with its first key and document, last key, and the first document of that. ``settled`` reads these.
+    """
+    order = [*key, *(c for c in ("doc_id", "copy", "begin", "at") if c in rows.columns)]
+    names, doc = rows.columns, rows.columns.index("doc_id")
+    at = [names.index(c) for c in key]
+    schema = StructType(rows.schema.fields + StructType.fromDDL("repeats boolean, open boolean, part int, edge array<bigint>").fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        first = last = owner = None  # the first row's key and document, the last row's key, and its first document
+        types = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            types = {f.name: f.type for f in b.schema}
+            keys = np.stack([b.column(i).to_numpy() for i in at], 1)
+            docs = b.column(doc).to_numpy()
+            new = np.append(last != tuple(keys[0].tolist()), (keys[1:] != keys[:-1]).any(1))
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+            owners = np.where(begin < 0, 0 if owner is None else owner, docs[begin])
+            if first is None:
+                first = [*keys[0].tolist(), int(docs[0])]
+            of_first = (keys == first[:-1]).all(1) & (docs == first[-1])
+            last, owner = tuple(keys[-1].tolist()), int(owners[-1])
+            n = b.num_rows
+            more = [pa.array(docs != owners), pa.array(of_first), pa.array(np.full(n, part, np.int32)), pa.nulls(n, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*names, "repeats", "open", "part", "edge"])
+        if first is not None:
+            row = [pa.nulls(1, types[c]) for c in names] + [pa.nulls(1, pa.bool_()), pa.nulls(1, pa.bool_()), pa.array([part], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*row, pa.array([[*first, *last, owner]], pa.list_(pa.int64()))], [*names, "repeats", "open", "part", "edge"])
+
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def settled(marked: DataFrame) -> DataFrame:
+    """A written table of ``after_first`` with ``repeats`` final; one row per partition passes through the driver."""
+    edges = marked.where("edge is not null").select("edge", "part").collect()
+    late, key, owner = [], None, None
+    for edge, part in sorted((list(e), p) for e, p in edges):
+        k = (len(edge) - 2) // 2
+        first, doc, last, own = edge[:k], edge[k], edge[k + 1 : -1], edge[-1]
+        if first == key and owner < doc:
+            late.append(part)
+        if last != key:
+            key, owner = last, own
+    whole = marked.where("edge is null")
+    return whole.withColumn("repeats", F.col("repeats") | (F.col("open") & F.col("part").isin(late))).drop("open", "part", "edge")
+
+
 def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, copy, spans: per document the places (begin, end), in words, of passages that an earlier one has.
 
@@ -171,16 +229,11 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     suffix = written(suffixes(texts), "suffixes")
     found = written(extents(texts, with_equal_neighbour(suffix)), "extents")
     dropped(suffix)
-    owner = found.groupBy("c1", "c2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
-    of_other = F.col("doc_id") != F.col("owner")
-    told = written(
-        found.join(owner, ["c1", "c2"])
-        .select("doc_id", "copy", "begin", "last", of_other.alias("repeats"), F.when(~of_other, F.col("windows")).alias("windows")), "told",
-    )
+    told = settled(written(after_first(found, ["c1", "c2"]).withColumn("windows", F.expr("case when not repeats then windows end")), "told"))
     dropped(found)
-    windows = window_names(told.where("not repeats"))
-    first = windows.groupBy("name").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other")).where("owner <> other").select("name", "owner")
-    partly = windows.join(first, "name").where("doc_id <> owner").selectExpr("doc_id", "copy", f"struct(at as begin, at + {LENGTH} as end) as span")
+    windows = after_first(window_names(told.where("not repeats")), ["name"])
+    later = settled(written(windows.where("repeats or open or edge is not null"), "later-windows")).where("repeats")
+    partly = later.selectExpr("doc_id", "copy", f"struct(at as begin, at + {LENGTH} as end) as span")
     wholly = told.where("repeats").selectExpr("doc_id", "copy", f"struct(begin as begin, last + {LENGTH} as end) as span")
     return wholly.unionByName(partly).groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set("span")).alias("spans"))
 

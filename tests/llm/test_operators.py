@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 
 from stockyard.llm import bpe, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
+from stockyard.llm.common import perhaps_among, written
 from stockyard.llm.components import components
 from stockyard.llm.words import Words, shingle_sets
 
@@ -89,6 +90,31 @@ def test_cut_passages(spark):
             assert len(words_of(got[i])) == n - repeated
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_first_documents_across_partitions(spark, partitions):
+    """Keys that fill several partitions, documents that have a key often, and repeated rows."""
+    rng = random.Random(partitions)
+    rows = [(1, k, rng.randrange(4), rng.randrange(3), i) for i in range(900) for k in [rng.choice([0, 0, 0, 0, 7, 8, rng.randrange(50)])]]
+    rows += [(-2, 5, 9, 0, i) for i in range(300)] + [(1, 0, 2, 0, i) for i in range(300)] + [(-1, 5, d, 0, 0) for d in range(300)] * 2
+    least = {}
+    for a, b, d, *_ in rows:
+        least[a, b] = min(least.get((a, b), d), d)
+    settings = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        frame = spark.createDataFrame(rows, "c1 long, c2 long, doc_id long, copy long, begin int")
+        marked = written(passages.after_first(frame, ["c1", "c2"]), "marked")
+        assert marked.where("edge is not null").count() in range(max(1, partitions - 2), partitions + 1)
+        got = sorted(tuple(r) for r in passages.settled(marked).collect())
+        assert passages.settled(written(passages.after_first(frame.limit(0), ["c1", "c2"]), "none")).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted((*r, r[2] != least[r[0], r[1]]) for r in rows)
+
+
 # --- tokens
 
 
@@ -449,6 +475,16 @@ def test_kneser_ney_base_sums_to_one():
     assert np.allclose(model.base.reshape(-1, 128).sum(1), 1, atol=1e-4)
 
 
+@pytest.mark.parametrize("slots", [1 << 28, 64])
+def test_prefilter_loses_no_row(spark, slots):
+    rows = spark.range(20_000).selectExpr("cast(id as int) as id", "id as _other").union(spark.createDataFrame([(None, 1)], "id int, _other long"))
+    keys = spark.range(0, 20_000, 7).select("id").union(spark.createDataFrame([(None,), (-5,)], "id long"))
+    got = {r.id for r in perhaps_among(rows, "id", keys, slots).collect()}
+    assert got >= set(range(0, 20_000, 7))
+    assert len(got) < 20_000 * (1 / 7 + 1 / 6) if slots > 64 else len(got) == 20_001
+    assert perhaps_among(rows, "id", keys.limit(0)).count() == 0
+
+
 def test_every_ngram_has_counts_of_its_own(spark):
     """All words of three letters: more n-grams than a table of 2^19 slots keeps apart."""
     abc = "abcdefghijklmnopqrstuvwxyz"
