@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from stockyard.functions.exprs import ratio
 from stockyard.sources import tables
@@ -135,7 +136,57 @@ def cosine_topk(
 
 QUERY_BLOCK = 4096
 INDEX_SHARD = 8192
-SCORED = 1024  # index vectors that a task scores at once
+ASKED, SCORED = 256, 4096  # questions and index vectors that a task scores at once
+SLACK = 1e-9  # more than rounding moves a product of two vectors of magnitude 1
+
+
+def ranking() -> tuple[Callable, Callable]:
+    """``nearest`` and ``places``, as inner functions: they travel with a task, so workers need not have this package."""
+
+    def products(targets: np.ndarray, matrix: np.ndarray, row: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Inner products of pairs, each summed alike wherever it stands, so that equal vectors have equal scores."""
+        out = np.empty(len(row))
+        for at in range(0, len(row), INDEX_SHARD):
+            some = slice(at, at + INDEX_SHARD)
+            out[some] = (targets[row[some]] * matrix[own[some]]).sum(1)
+        return out
+
+    def nearest(targets: np.ndarray, matrix: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each of ``targets`` the ``k`` rows of ``matrix`` with the largest inner product, ties to the lesser ``order``:
+        row of the target, row of the matrix, score.
+
+        A matrix product finds the rows that reach the ``k``-th best so far, and only these are ranked.
+        """
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for first in range(0, len(targets), ASKED):
+            some = targets[first : first + ASKED]
+            row, own, score = found[0]
+            floor = np.full(len(some), -np.inf)
+            for at in range(0, len(matrix), SCORED):
+                scores = some @ matrix[at : at + SCORED].T
+                if not at and scores.shape[1] > k:
+                    floor = np.partition(scores, -k, axis=1)[:, -k] - SLACK
+                more, there = np.nonzero(scores >= floor[:, None])
+                there += at
+                row, own = np.append(row, more), np.append(own, there)
+                score = np.append(score, products(some, matrix, more, there))
+                best = np.lexsort((order[own], -score, row))
+                row, own, score = row[best], own[best], score[best]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, own, score = row[keep], own[keep], score[keep]
+                counts = np.bincount(row, minlength=len(some))
+                full = counts == k
+                floor[full] = score[np.cumsum(counts)[full] - 1] - SLACK
+            found.append((row + first, own, score))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def places(ids: pa.ChunkedArray) -> np.ndarray:
+        """The place of each id among the sorted ones."""
+        out = np.empty(len(ids), np.int64)
+        out[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        return out
+
+    return nearest, places
 
 
 def search(
@@ -163,14 +214,15 @@ def search(
         )
 
     schema = f"{query_id} long, _id long, score double"
+    nearest, places = ranking()
 
-    def unit(rows: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def unit(rows: pa.Table, length: int) -> tuple[pa.ChunkedArray, np.ndarray]:
         """Ids and vectors of magnitude 1 of the rows with vectors of this length."""
         rows = rows.filter(pc.equal(pc.list_value_length(rows["_v"]), length))
         matrix = pc.list_flatten(rows["_v"]).to_numpy().astype("float64").reshape(-1, length)
         norm = np.linalg.norm(matrix, axis=1)
         good = np.isfinite(norm) & (norm > 0)
-        return rows["_id"].to_numpy()[good], matrix[good] / norm[good, None]
+        return rows["_id"].filter(pa.array(good)), matrix[good] / norm[good, None]
 
     def best(group: pa.Table) -> pa.Table:
         question = group["_question"]
@@ -180,13 +232,8 @@ def search(
             if not length:
                 continue
             (ids, targets), (own, matrix) = unit(mine, length), unit(others, length)
-            top_scores, top_ids = np.empty((len(ids), 0)), np.empty((len(ids), 0), np.int64)
-            for at in range(0, len(own), SCORED):
-                scores = np.concatenate([top_scores, targets @ matrix[at : at + SCORED].T], axis=1)
-                every = np.concatenate([top_ids, np.broadcast_to(own[at : at + SCORED], (len(ids), len(own[at : at + SCORED])))], axis=1)
-                order = np.lexsort((every, -scores), axis=1)[:, :k]
-                top_scores, top_ids = np.take_along_axis(scores, order, 1), np.take_along_axis(every, order, 1)
-            out.append(pa.table({query_id: np.repeat(ids, top_ids.shape[1]), "_id": top_ids.ravel(), "score": top_scores.ravel()}))
+            row, found, score = nearest(targets, matrix, places(own), k)
+            out.append(pa.table({query_id: ids.take(pa.array(row)), "_id": own.take(pa.array(found)), "score": score}))
         return pa.concat_tables(out)
 
     together = dealt(asked, True, "_block", blocks, "_shard", shards).unionByName(dealt(vectors, False, "_shard", shards, "_block", blocks))
@@ -202,11 +249,29 @@ BUCKET_LENGTH, TABLES = 0.6, 4
 SHIFT = 100.0
 
 
-def _unit(c: Column) -> Column:
-    """The vector with magnitude 1 in doubles; NULL if it is NULL, empty, not finite or without magnitude."""
-    v = c.cast("array<double>")
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when((norm > 0) & (norm < float("inf")), F.transform(v, lambda x: x / norm))
+def _directed(df: DataFrame, vector_column: str) -> DataFrame:
+    """``df`` with ``unit``, the vector with magnitude 1 in doubles, in place of the vector; rows whose vector is NULL,
+    empty, not finite or without magnitude are dropped."""
+    rest = df.drop(vector_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vectors = b.column(b.num_columns - 1)
+            lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = vectors.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            norm, some = np.zeros(len(lengths)), lengths > 0
+            with np.errstate(over="ignore"):
+                if some.any():
+                    norm[some] = np.sqrt(np.add.reduceat(values * values, (np.cumsum(lengths) - lengths)[some]))
+            good = np.isfinite(norm) & (norm > 0)
+            of = np.repeat(good, lengths)
+            offsets = np.append(0, np.cumsum(lengths[good])).astype(np.int32)
+            unit = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[of] / np.repeat(norm, lengths)[of]))
+            columns = b.filter(pa.array(good)).columns[:-1]
+            yield pa.RecordBatch.from_arrays([*columns, unit], [*b.schema.names[:-1], "unit"])
+
+    schema = StructType([*rest.schema.fields, StructField("unit", ArrayType(DoubleType()))])
+    return df.select(*rest.columns, F.col(vector_column).cast("array<double>").alias("unit")).mapInArrow(run, schema)
 
 
 def _features() -> Column:
@@ -234,9 +299,7 @@ def build_index(
     spark = vectors.sparkSession
     found = tables.versions(spark, path)
     n = found[-1] + 1 if found else 1
-    rows = vectors.withColumn("unit", _unit(F.col(vector_column))).drop(vector_column).where(
-        F.col(id_column).isNotNull() & F.col("unit").isNotNull()
-    )
+    rows = _directed(vectors.where(F.col(id_column).isNotNull()), vector_column)
     lsh = BucketedRandomProjectionLSH(
         inputCol="_features", outputCol="_hashes", bucketLength=bucket_length, numHashTables=hash_tables, seed=seed,
     )
@@ -250,32 +313,57 @@ def build_index(
 
 def search_index(
     spark: SparkSession, path: str, questions: DataFrame, k: int = 5, id_column: str = "vec_id",
-    vector_column: str = "embedding", query_id: str = "query_id",
+    vector_column: str = "embedding", query_id: str = "query_id", block: int = QUERY_BLOCK, shard: int = INDEX_SHARD,
 ) -> DataFrame:
     """As ``search``, among the vectors that share a bucket with the question in one of the hash tables.
 
-    Questions and index meet by bucket, as ids; nothing is sent more than once per hash table. Candidates are scored
-    exactly. What lies in other buckets is not found: wider buckets or more tables find more and score more.
+    Questions and index meet by bucket, in blocks of about ``block`` questions and shards of about ``shard`` vectors, so
+    what a task holds is bounded however full a bucket is. A group scores its candidates exactly and gives its best
+    ``k`` per question, so pairs never leave it. What lies in other buckets is not found: wider buckets or more tables
+    find more and score more.
     """
     n = tables.versions(spark, path)[-1]
     model = BucketedRandomProjectionLSHModel.load(f"{path}/_hashes-{n}")
     index = tables.read(spark, path)
-    asked = questions.select(F.col(query_id).cast("long").alias(query_id), _unit(F.col(vector_column)).alias("unit")).where(
-        F.col(query_id).isNotNull() & F.col("unit").isNotNull()
-    )
+    asked = questions.select(F.col(query_id).cast("long").alias("_id"), F.col(vector_column).alias("_v")).where("_id is not null")
+    asked = _hashed(model, _directed(asked, "_v"))
+    there = index.where(F.col("copy") <= k).withColumnRenamed(id_column, "_id")
+    bucket = ["_table", "_bucket"]
 
-    def spread(df: DataFrame, key: str) -> DataFrame:
-        return df.select(key, F.posexplode("buckets").alias("_table", "_bucket"))
+    def spread(df: DataFrame, *columns: str) -> DataFrame:
+        return df.select(*columns, F.posexplode("buckets").alias(*bucket))
 
-    pairs = (
-        spread(_hashed(model, asked), query_id).join(spread(index.where(F.col("copy") <= k), id_column), ["_table", "_bucket"])
-        .select(query_id, id_column).distinct()
-    )
-    product = F.aggregate(F.zip_with("unit", "_q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    scored = (
-        pairs.join(asked.withColumnRenamed("unit", "_q"), query_id).join(index.select(id_column, "unit"), id_column)
-        .select(query_id, id_column, product.alias("score"))
-    )
+    def parts(df: DataFrame, size: int, name: str) -> DataFrame:
+        return spread(df).groupBy(*bucket).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+
+    counts = parts(asked, block, "_blocks").join(parts(there, shard, "_shards"), bucket)
+
+    def dealt(rows: DataFrame, ids: list[Column], own: str, n: str, other: str, every: str) -> DataFrame:
+        return spread(rows, "_id", "unit").join(counts, bucket).select(
+            *ids, "unit", *bucket, F.pmod(F.xxhash64("_id"), F.col(n)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(every) - 1)).alias(other),
+        )
+
+    kind = index.schema[id_column].dataType
+    nearest, places = ranking()
+    together = dealt(
+        asked, [F.col("_id").alias("_asked"), F.lit(None).cast(kind).alias("_there")], "_block", "_blocks", "_shard", "_shards"
+    ).unionByName(dealt(
+        there, [F.lit(None).cast("long").alias("_asked"), F.col("_id").alias("_there")], "_shard", "_shards", "_block", "_blocks"
+    ))
+
+    def best(group: pa.Table) -> pa.Table:
+        question = pc.is_valid(group["_asked"])
+        mine, others = group.filter(question), group.filter(pc.invert(question))
+        targets, matrix = (pc.list_flatten(x["unit"]).to_numpy().reshape(len(x), -1) if len(x) else None for x in (mine, others))
+        if targets is None or matrix is None:
+            return pa.table({query_id: mine["_asked"][:0], id_column: others["_there"][:0], "score": pa.array([], pa.float64())})
+        row, own, score = nearest(targets, matrix, places(others["_there"]), k)
+        return pa.table({query_id: mine["_asked"].take(pa.array(row)), id_column: others["_there"].take(pa.array(own)), "score": score})
+
+    schema = f"{query_id} long, {id_column} {kind.simpleString()}, score double"
+    found = together.groupBy(*bucket, "_block", "_shard").applyInArrow(best, schema)
+    scored = found.groupBy(query_id, id_column).agg(F.max("score").alias("score"))
     ranks = Window.partitionBy(query_id).orderBy(F.desc("score"), id_column)
     winners = scored.withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= k)
     return winners.join(index.drop("unit", "buckets", "copy"), id_column)

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from stockyard.operators import docs
@@ -129,3 +130,34 @@ def test_chunks_with_vectors(spark, tmp_path):
     refresh.reindex_vectors(chunks, vectors, str(tmp_path / "i"))
     found = docs.search_index(spark, str(tmp_path / "i"), spark.createDataFrame([(1, [2.0, 0.1])], "query_id long, embedding array<double>"), id_column="point_id")
     assert [(r.point_id, r.title) for r in found.collect()] == [(ids[0], "T")]
+
+
+def test_search_of_an_index_gives_out_winners_only(spark, tmp_path):
+    """However many vectors share a bucket, no pair of question and vector becomes a row; parts give the same as the whole."""
+    rng = random.Random(6)
+    index = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(600)] + [(600, [None] * 8), (601, [])], "vec_id long, embedding array<double>")
+    asked = index.where("vec_id % 10 = 0").selectExpr("vec_id as query_id", "embedding")
+    path = str(tmp_path / "index")
+    docs.build_index(index, path, bucket_length=1e6, hash_tables=2)
+    key = ["query_id", "rank", "vec_id"]
+    want = sorted(map(tuple, docs.search(index, asked, k=3).select(key).collect()))
+    assert len(want) == 180
+    for options in ({}, {"block": 7, "shard": 50}):
+        found = docs.search_index(spark, path, asked, k=3, **options)
+        assert sorted(map(tuple, found.select(key).collect())) == want
+    plan = docs.search_index(spark, path, asked, k=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "zip_with" not in plan
+
+
+def test_nearest_rows_with_ties():
+    nearest, _ = docs.ranking()
+    rng = random.Random(7)
+    matrix = np.array([[rng.choice([-1.0, 0.5, 2.0]) for _ in range(3)] for _ in range(5000)])
+    targets = np.array([[rng.choice([-1.0, 0.5, 2.0]) for _ in range(3)] for _ in range(300)])
+    order = np.array(rng.sample(range(5000), 5000))
+    row, own, score = nearest(targets, matrix, order, 4)
+    for r in range(300):
+        scores = (targets[r] * matrix).sum(1)
+        want = np.lexsort((order, -scores))[:4]
+        assert own[row == r].tolist() == want.tolist() and score[row == r].tolist() == scores[want].tolist()
+    assert all(len(x) == 0 for x in nearest(targets, matrix[:0], order[:0], 4))
