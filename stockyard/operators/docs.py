@@ -155,8 +155,15 @@ def ranking() -> tuple[Callable, Callable]:
         """For each of ``targets`` the ``k`` rows of ``matrix`` with the largest inner product, ties to the lesser ``order``:
         row of the target, row of the matrix, score.
 
-        A matrix product finds the rows that reach the ``k``-th best so far, and only these are ranked.
+        Of equal rows the first ``k`` take part. A matrix product finds the rows that reach the ``k``-th best so far,
+        and only these are ranked.
         """
+        kept = np.arange(len(matrix))
+        if len(matrix) > k:
+            _, alike = np.unique(np.ascontiguousarray(matrix).view(f"V{matrix.shape[1] * 8}").ravel(), return_inverse=True)
+            by = np.lexsort((order, alike))
+            kept = np.sort(by[np.arange(len(by)) - np.searchsorted(alike[by], alike[by]) < k])
+            matrix, order = matrix[kept], order[kept]
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for first in range(0, len(targets), ASKED):
             some = targets[first : first + ASKED]
@@ -177,7 +184,7 @@ def ranking() -> tuple[Callable, Callable]:
                 counts = np.bincount(row, minlength=len(some))
                 full = counts == k
                 floor[full] = score[np.cumsum(counts)[full] - 1] - SLACK
-            found.append((row + first, own, score))
+            found.append((row + first, kept[own], score))
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def places(ids: pa.ChunkedArray) -> np.ndarray:

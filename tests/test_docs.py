@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -161,3 +162,15 @@ def test_nearest_rows_with_ties():
         want = np.lexsort((order, -scores))[:4]
         assert own[row == r].tolist() == want.tolist() and score[row == r].tolist() == scores[want].tolist()
     assert all(len(x) == 0 for x in nearest(targets, matrix[:0], order[:0], 4))
+
+
+def test_memory_of_a_search_task():
+    """A full block against a full shard holds no score per pair, even where all of them tie."""
+    nearest, _ = docs.ranking()
+    for matrix in (np.random.default_rng(8).normal(size=(docs.INDEX_SHARD, 8)), np.ones((docs.INDEX_SHARD, 8))):
+        targets = np.ones((docs.QUERY_BLOCK, 8))
+        tracemalloc.start()
+        row, own, _ = nearest(targets, matrix, np.arange(len(matrix)), 5)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(row) == len(own) == docs.QUERY_BLOCK * 5 and peak < 100e6
