@@ -64,3 +64,17 @@ def test_submitted_settings_win(spark):
         assert "spark.sql.session.timeZone" in explicit(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_inventory_goes_to_more_tasks_as_it_grows(spark, root, monkeypatch):
+    """The share of one task is bounded, and one key still meets in one task before it is de-duplicated."""
+    from pyspark.sql import functions as F
+    from stockyard.operators import staging
+    from stockyard.sources import binding
+
+    whole = sorted(map(tuple, staging.stg_inventory(binding.inventory(spark, root)).collect()))
+    monkeypatch.setattr(binding, "TASK_BYTES", 4096)
+    stock = staging.stg_inventory(binding.inventory(spark, root))
+    shares = [r["count"] for r in stock.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 20 and max(shares) < len(whole) / 10
+    assert sorted(map(tuple, stock.collect())) == whole
