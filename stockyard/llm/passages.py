@@ -28,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from stockyard.llm.common import dropped, free_name, mapped, slices, written
+from stockyard.llm.common import SLICE_BYTES, TEXT_ROWS, dropped, free_name, mapped, slices, written
 from stockyard.llm.words import Words, mix, runs, stream
 
 LENGTH, SEED = 50, 10
 SPAN = LENGTH - SEED + 1
+PART_BYTES = SLICE_BYTES >> 2  # words take some fifty bytes for each of text
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,7 +70,7 @@ def suffixes(texts: DataFrame) -> DataFrame:
             ["head", "tail", "doc_id", "copy", "place"],
         )
 
-    return mapped(texts, each, "head long, tail long, doc_id long, copy long, place int", text=2)
+    return mapped(texts, each, "head long, tail long, doc_id long, copy long, place int", text=2, limit=PART_BYTES)
 
 
 def with_equal_neighbour(suffix: DataFrame) -> DataFrame:
@@ -145,7 +146,7 @@ def extents(texts: DataFrame, places: DataFrame) -> DataFrame:
         )
 
     rows = texts.join(listed, ["doc_id", "copy"]).select("doc_id", "copy", "text", "places")
-    return mapped(rows, each, "c1 long, c2 long, doc_id long, copy long, begin int, last int, windows binary", text=2)
+    return mapped(rows, each, "c1 long, c2 long, doc_id long, copy long, begin int, last int, windows binary", text=2, limit=PART_BYTES)
 
 
 def window_names(owned: DataFrame) -> DataFrame:
@@ -226,8 +227,8 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     ``copy`` is the hash of the text, so that rows repeated under one id are told apart. Spans may touch or overlap.
     """
     texts = _texts(docs, doc_id, text)
-    suffix = written(suffixes(texts), "suffixes")
-    found = written(extents(texts, with_equal_neighbour(suffix)), "extents")
+    suffix = written(suffixes(texts), "suffixes", TEXT_ROWS)
+    found = written(extents(texts, with_equal_neighbour(suffix)), "extents", TEXT_ROWS)
     dropped(suffix)
     told = settled(written(after_first(found, ["c1", "c2"]).withColumn("windows", F.expr("case when not repeats then windows end")), "told"))
     dropped(found)
