@@ -34,6 +34,7 @@ from stockyard.llm.words import Words, mix, runs, stream
 LENGTH, SEED = 50, 10
 SPAN = LENGTH - SEED + 1
 PART_BYTES = SLICE_BYTES >> 2  # words take some fifty bytes for each of text
+EXTENT_ROWS = 1000  # extents that go to a worker at once; each makes a row for every one of its up to 41 windows
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -230,10 +231,10 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     suffix = written(suffixes(texts), "suffixes", TEXT_ROWS)
     found = written(extents(texts, with_equal_neighbour(suffix)), "extents", TEXT_ROWS)
     dropped(suffix)
-    told = settled(written(after_first(found, ["c1", "c2"]).withColumn("windows", F.expr("case when not repeats then windows end")), "told"))
+    told = settled(written(after_first(found, ["c1", "c2"]).withColumn("windows", F.expr("case when not repeats then windows end")), "told", EXTENT_ROWS))
     dropped(found)
     windows = after_first(window_names(told.where("not repeats")), ["name"])
-    later = settled(written(windows.where("repeats or open or edge is not null"), "later-windows")).where("repeats")
+    later = settled(written(windows.where("repeats or open or edge is not null"), "later-windows", EXTENT_ROWS)).where("repeats")
     partly = later.selectExpr("doc_id", "copy", f"struct(at as begin, at + {LENGTH} as end) as span")
     wholly = told.where("repeats").selectExpr("doc_id", "copy", f"struct(begin as begin, last + {LENGTH} as end) as span")
     return wholly.unionByName(partly).groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set("span")).alias("spans"))

@@ -1,4 +1,4 @@
-"""Whole texts go to workers in small batches; other settings stay."""
+"""What goes to workers at once, and what they look up once for it."""
 
 import pyarrow as pa
 
@@ -27,3 +27,14 @@ def test_passages_send_few_texts_at_once(spark, monkeypatch):
     found = passages.repeated(spark.createDataFrame([(1, text), (2, "other " + text)], "doc_id long, text string")).collect()
     assert [(r.doc_id, len(r.spans) > 0) for r in found] == [(2, True)]
     assert dict(asked)["suffixes"] == dict(asked)["extents"] == passages.TEXT_ROWS
+
+
+def test_extents_go_to_workers_in_small_batches(spark, monkeypatch):
+    """Each extent makes up to 41 rows there, one per window."""
+    asked = []
+    whole = passages.written
+    monkeypatch.setattr(passages, "written", lambda df, name, rows=None: asked.append((name, rows)) or whole(df, name, rows))
+    text = " ".join(f"w{i}" for i in range(80))
+    found = passages.repeated(spark.createDataFrame([(1, text), (2, "other " + text)], "doc_id long, text string")).collect()
+    assert [(r.doc_id, len(r.spans) > 0) for r in found] == [(2, True)]
+    assert dict(asked)["told"] == dict(asked)["later-windows"] == passages.EXTENT_ROWS
