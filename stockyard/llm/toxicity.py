@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stockyard.llm.common import filtered, id_remainder, mapped, perhaps_among, slices, text_bytes
 from stockyard.llm.fitting import logistic
-from stockyard.llm.words import mix
+from stockyard.llm.words import mix, stream
 
 ORDERS = (4, 6, 8)
 DISCOUNT = 0.75
@@ -44,6 +44,7 @@ _CODE[0xC2:0xE0] = np.arange(91, 121)
 _CODE[0xE0:0xF0] = 121 + np.arange(16) % 4
 _CODE[0xF0:0xF5] = 125
 LETTERS = 128
+_LETTER, _PLACE = stream(41, LETTERS), stream(42, 256) | np.uint64(1)
 
 
 class Letters:
@@ -61,9 +62,13 @@ class Letters:
         keep = codes > 0
         keep[1:] |= codes[:-1] > 0
         keep[:1] = True
-        self.codes = np.append(codes[keep], 0).astype(np.int64)
-        if len(self.codes) > 1 and self.codes[-2] == 0:
-            self.codes = self.codes[:-1]
+        self._place(np.append(codes[keep], 0).astype(np.int64))
+        owner = np.append(doc[keep], len(column))[: max(len(self.codes), 1)]
+        self.word_doc = owner[self.begins] if len(self.begins) else np.zeros(0, np.int64)
+        self.rows = len(column)
+
+    def _place(self, codes: np.ndarray) -> None:
+        self.codes = codes[:-1] if len(codes) > 1 and codes[-2] == 0 else codes
         n = len(self.codes)
         zeros = np.flatnonzero(self.codes == 0)
         self.ends = zeros[1:]  # each word ends at a separator and begins behind the one before
@@ -71,9 +76,19 @@ class Letters:
         self.length = self.ends - self.begins + 1
         self.dist = np.arange(n) - np.repeat(zeros, np.diff(np.append(zeros, n)))
         self.dist[self.ends] = self.length
-        owner = np.append(doc[keep], len(column))[: max(n, 1)]
-        self.word_doc = owner[self.begins] if len(self.begins) else np.zeros(0, np.int64)
-        self.rows = len(column)
+
+    def different(self) -> tuple[Letters, np.ndarray]:
+        """The different words, without owners, and which of them each word is; words are told apart by 64-bit hashes."""
+        most = int(self.length.max())
+        place = _PLACE if most < len(_PLACE) else stream(42, most + 1) | np.uint64(1)
+        value = _LETTER[self.codes[1:]] * place[self.dist[1:]]
+        _, first, which = np.unique(mix(np.add.reduceat(value, self.begins - 1)), return_index=True, return_inverse=True)
+        length = self.length[first]
+        end = np.cumsum(length)
+        at = np.repeat(self.begins[first] - (end - length), length) + np.arange(end[-1])
+        own = object.__new__(Letters)
+        own._place(np.concatenate([np.zeros(1, np.int64), self.codes[at]]))
+        return own, which
 
     def keys(self, order: int) -> np.ndarray:
         """The last ``order`` codes at each place as one number; places too close to the text's start are wrong."""
@@ -234,9 +249,11 @@ class Model:
         return np.where(total > 0, known, np.broadcast_to(lower, n.shape))
 
     def word_ratios(self, letters: Letters) -> np.ndarray:
-        """Log-likelihood under the toxic model less that under the plain one, per word."""
+        """Log-likelihood under the toxic model less that under the plain one, per word; it hangs on the word alone, so
+        that each different word of a batch is looked up once."""
         if not len(letters.begins):
             return np.zeros(0)
+        letters, which = letters.different()
         p = np.stack([self.base[letters.triples()]] * 2)
         for o in ORDERS:
             at, key = grams(letters, o)
@@ -244,7 +261,7 @@ class Model:
             for side in (0, 1):
                 p[side, at] = self.alpha[o][side, gram] + self.weight[o][side, context] * p[side, at]
         ratio = np.log(p[1]) - np.log(p[0])
-        return np.add.reduceat(ratio[1:], letters.begins - 1)
+        return np.add.reduceat(ratio[1:], letters.begins - 1)[which]
 
     def evidence(self, column: pa.Array) -> np.ndarray:
         """(texts, 4): ratio per letter of the text, largest of a passage, largest of a word, excess per word (its root)."""

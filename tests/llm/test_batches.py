@@ -1,8 +1,9 @@
 """What goes to workers at once, and what they look up once for it."""
 
+import numpy as np
 import pyarrow as pa
 
-from stockyard.llm import common, passages
+from stockyard.llm import common, passages, toxicity
 
 
 def test_texts_are_written_in_small_batches(spark):
@@ -38,3 +39,23 @@ def test_extents_go_to_workers_in_small_batches(spark, monkeypatch):
     found = passages.repeated(spark.createDataFrame([(1, text), (2, "other " + text)], "doc_id long, text string")).collect()
     assert [(r.doc_id, len(r.spans) > 0) for r in found] == [(2, True)]
     assert dict(asked)["told"] == dict(asked)["later-windows"] == passages.EXTENT_ROWS
+
+
+def test_toxicity_looks_each_different_word_up_once(monkeypatch):
+    words = ["alpha", "beta", "w" * 300, "alpha", "\u00e9t\u00e9", "beta", "alphabet"]
+    counts = pa.table({"order": [4, 6, 8], "bucket": [1 << 7 | 2, 5, 6], "toxic": [3, 1, 1], "plain": [1, 2, 4]})
+    model = toxicity.Model(counts, pa.table({"triple": pa.array([1, 2], pa.int32()), "before": [1, 3]}))
+    asked = []
+    find = toxicity.Places.find
+    monkeypatch.setattr(toxicity.Places, "find", lambda self, keys: asked.append(len(keys)) or find(self, keys))
+
+    def ratios(texts):
+        asked.clear()
+        return model.word_ratios(toxicity.Letters(pa.array(texts))), sum(asked)
+
+    once, few = ratios(words)
+    again, same = ratios([" ".join(words), None, "", *words * 3])
+    assert same == few and len(again) == 4 * len(words)
+    assert np.array_equal(again, np.tile(once, 4))
+    assert np.array_equal(once, np.concatenate([ratios([w])[0] for w in words]))
+    assert len(model.word_ratios(toxicity.Letters(pa.array(["", None, "1 2"])))) == 0
