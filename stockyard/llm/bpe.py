@@ -19,6 +19,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,8 @@ with recursive steps(word, step, toks) as (
             list_append(s.toks[: (least & 4294967295) - 1], (least >> 32)::int), s.toks[(least & 4294967295) + 2 :])
         from steps s join least on s.word = least.word
     )
-),
-last as (select word, arg_max(toks, step) as toks from steps group by word)
-select word, unnest(range(len(toks)))::int as pos, unnest(toks) as tok from last
+)
+select word, arg_max(toks, step) as toks from steps group by word
 """
 
 ROUND = """
@@ -67,9 +67,16 @@ from ranked r left join taken t on t.word = r.word and t.n = r.n left join taken
 where b.n is null
 """
 
+LISTED = "select word, list(tok order by pos) as toks from {} group by word"
+
+PARTS = """
+create or replace temp table parts as
+select word, pos, hex from (select word, unnest(range(len(toks))) as pos, unnest(toks) as tok from found) join vocabulary using (tok)
+"""
+
 TOLD = """
-select word, count(*) as n, string_agg(tok::varchar, ',' order by pos) as ids, string_agg(hex, '' order by pos) as hex
-from found join vocabulary using (tok) group by word
+with told as (select word, string_agg(hex, '' order by pos) as hex from parts group by word)
+select word, len(toks) as n, array_to_string(toks, ',') as ids, hex from found join told using (word)
 """
 
 
@@ -91,6 +98,14 @@ class Generations:
         self.young[key] = value
 
 
+def joined(parts: list[tuple[str, int, bytes]]) -> tuple[str, int, bytes]:
+    """Parts of a text as one: ids with commas between, their number, decoded bytes."""
+    if not parts:
+        return "", 0, b""
+    ids, counts, data = zip(*parts)
+    return ",".join(ids), sum(counts), b"".join(data)
+
+
 class Codec:
     """A vocabulary in DuckDB tables; ``ranks`` maps token bytes to ids, lower ids merge first."""
 
@@ -147,52 +162,48 @@ class Codec:
             while size != (size := self.con.execute("select count(*) from long").fetchall()[0][0]):
                 self.con.execute(ROUND)
                 self.con.execute("create or replace temp table long as select * from after")
-            self.con.execute("create or replace temp table found as select * from long")
+            self.con.execute(f"create or replace temp table found as {LISTED.format('long')}")
             yield from self._told(words)
 
     def _told(self, words: list[str]) -> Iterator[tuple[str, tuple[str, int, bytes]]]:
+        self.con.execute(PARTS)
         for word, n, ids, text in self.con.execute(TOLD).fetchall():
             yield words[word], (ids, n, bytes.fromhex(text))
 
     def encode_cuts(self, cuts: set[str]) -> dict[str, tuple[str, int, bytes]]:
         out, new = {}, {}
+        get, find = self.cuts.get, self.pattern.findall
         for cut in cuts:
-            found = self.cuts.get(cut)
+            found = get(cut)
             if found is not None:
                 out[cut] = found
             else:
-                new[cut] = self.pattern.findall(cut)
-        wanted, known = set(), {}
-        for words in new.values():
-            for w in words:
-                if w not in known and w not in wanted:
-                    found = self.words.get(w)
-                    if found is not None:
-                        known[w] = found
-                    else:
-                        wanted.add(w)
+                new[cut] = find(cut)
+        wanted = set(chain.from_iterable(new.values()))
+        known = {w: found for w in wanted if (found := self.words.get(w)) is not None}
+        wanted.difference_update(known)
         for w, found in self.encode_words(list(wanted)):
             known[w] = found
             self.words.put(w, found)
         for cut, words in new.items():
-            parts = [known[w] for w in words]
-            out[cut] = (",".join(p[0] for p in parts), sum(p[1] for p in parts), b"".join(p[2] for p in parts))
-            self.cuts.put(cut, out[cut])
+            if len(words) == 1:
+                out[cut] = known[words[0]]
+            else:
+                out[cut] = joined([known[w] for w in words])
+                self.cuts.put(cut, out[cut])
         return out
 
     def encode(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
         """Per text its cuts in order, each with ids, their number and decoded bytes."""
         cut = [_cuts(t) for t in texts]
         known = self.encode_cuts(set().union(*cut)) if cut else {}
-        return [[known[c] for c in own] for own in cut]
+        return [list(map(known.__getitem__, own)) for own in cut]
 
     def decode(self, ids: pa.Array) -> list[bytes]:
         """The bytes of each list of ids; unknown ids are skipped."""
-        lengths = np.diff(ids.offsets.to_numpy())
-        rows = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
-        place = np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        self._load("found", pa.table({"word": rows, "pos": place.astype(np.int32), "tok": ids.flatten().cast(pa.int32())}))
+        self._load("found", pa.table({"word": np.arange(len(ids), dtype=np.int32), "toks": ids.cast(pa.list_(pa.int32()))}))
         out = [b""] * len(ids)
+        self.con.execute(PARTS)
         for word, _, _, text in self.con.execute(TOLD).fetchall():
             out[word] = bytes.fromhex(text)
         return out
@@ -258,11 +269,15 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
         rows = codec(path, pattern).encode(b.column(1).fill_null("").to_pylist())
-        return pa.RecordBatch.from_arrays([
-            b.column(0), pa.array([sum([p[1] for p in own]) for own in rows], pa.int64()),
-            pa.array([hashlib.sha256(",".join([p[0] for p in own]).encode()).hexdigest() for own in rows]),
-            pa.array([hashlib.sha256(b"".join([p[2] for p in own])).hexdigest() for own in rows]),
-        ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        sizes, ids, data = [], [], []
+        for own in rows:
+            listed, n, text = joined(own)
+            sizes.append(n)
+            ids.append(hashlib.sha256(listed.encode()).hexdigest())
+            data.append(hashlib.sha256(text).hexdigest())
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(sizes, pa.int64()), pa.array(ids), pa.array(data)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
 
     columns = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return mapped(columns, each, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", text=1, limit=SLICE_BYTES)

@@ -1,9 +1,10 @@
 """What goes to workers at once, and what they look up once for it."""
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 
-from stockyard.llm import common, passages, toxicity
+from stockyard.llm import bpe, common, passages, toxicity
 
 
 def test_texts_are_written_in_small_batches(spark):
@@ -59,3 +60,12 @@ def test_toxicity_looks_each_different_word_up_once(monkeypatch):
     assert np.array_equal(again, np.tile(once, 4))
     assert np.array_equal(once, np.concatenate([ratios([w])[0] for w in words]))
     assert len(model.word_ratios(toxicity.Letters(pa.array(["", None, "1 2"])))) == 0
+
+
+def test_a_cut_of_one_word_is_that_word():
+    """Most cuts are; they are not joined anew and do not take the place of cuts of several words."""
+    codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    found = codec.encode_cuts({" plain", " two,", ""})
+    assert found[" plain"] is codec.words.get(" plain") and codec.cuts.get(" plain") is None
+    assert codec.cuts.get(" two,") == found[" two,"] and found[""] == ("", 0, b"")
+    assert [f[2] for f in found.values()] == [c.encode() for c in found]
