@@ -31,5 +31,7 @@ def fct_inventory_snapshot(stg: DataFrame) -> DataFrame:
     return stg.select(*INVENTORY_FACT)
 
 
-def dim_products(stg_inventory: DataFrame) -> DataFrame:
-    return stg_inventory.select(*PRODUCT_KEY).na.drop(subset=PRODUCT_KEY).distinct()
+def dim_products(stg_inventory: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The different products in stock; with ``tasks``, told apart in so many."""
+    keys = stg_inventory.select(*PRODUCT_KEY).na.drop(subset=PRODUCT_KEY)
+    return (keys.repartition(tasks, *PRODUCT_KEY) if tasks else keys).distinct()

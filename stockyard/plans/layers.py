@@ -52,7 +52,7 @@ class Layers:
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return facts.dim_products(self.stg_inventory)
+        return facts.dim_products(self.stg_inventory, binding.tasks(self.spark, self.root, "lineitem"))
 
     @cached_property
     def geo(self) -> DataFrame:

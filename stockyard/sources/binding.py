@@ -37,7 +37,7 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 TASK_BYTES = 4 << 20  # of an input file, about 300,000 order lines
 
 
-def _tasks(spark: SparkSession, root: str, name: str) -> int:
+def tasks(spark: SparkSession, root: str, name: str) -> int:
     """A number of partitions that grows with a table, so that the share of one task does not."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.parquet")
     size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
@@ -122,11 +122,11 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     """Stock per product and warehouse. Nearly every order line has a pair of its own, so lines are not combined before
     the shuffle, and both shuffles go to a number of partitions that grows with the lines: adaptive merging goes by
     compressed bytes, of which a row here has few."""
-    tasks = _tasks(spark, root, "lineitem")
+    parts = tasks(spark, root, "lineitem")
     part = table(spark, root, "part").select("p_partkey", "p_type")
     df = (
         table(spark, root, "lineitem")
-        .repartition(tasks, "l_partkey", "l_suppkey")
+        .repartition(parts, "l_partkey", "l_suppkey")
         .groupBy("l_partkey", "l_suppkey")
         .agg(
             F.expr("sum(cast(l_quantity as bigint)) as ideal"), F.min("l_quantity").alias("least"),
@@ -148,7 +148,7 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
             "_cdc_loaded_at",
         )
     )
-    return _conform(df, INVENTORY).repartition(tasks, "sequenciaestoque")
+    return _conform(df, INVENTORY).repartition(parts, "sequenciaestoque")
 
 
 def products(spark: SparkSession, root: str) -> DataFrame:

@@ -78,3 +78,16 @@ def test_inventory_goes_to_more_tasks_as_it_grows(spark, root, monkeypatch):
     shares = [r["count"] for r in stock.groupBy(F.spark_partition_id()).count().collect()]
     assert len(shares) > 20 and max(shares) < len(whole) / 10
     assert sorted(map(tuple, stock.collect())) == whole
+
+
+def test_products_are_told_apart_in_more_tasks_as_stock_grows(spark, root, monkeypatch):
+    from pyspark.sql import functions as F
+    from stockyard.plans.layers import Layers
+    from stockyard.sources import binding
+
+    whole = sorted(map(tuple, facts.dim_products(Layers(spark, root).stg_inventory).collect()))
+    monkeypatch.setattr(binding, "TASK_BYTES", 4096)
+    products = Layers(spark, root).dim_products
+    shares = [r["count"] for r in products.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(shares) > 20 and max(shares) < len(whole) / 10
+    assert sorted(map(tuple, products.collect())) == whole
