@@ -91,3 +91,12 @@ def test_products_are_told_apart_in_more_tasks_as_stock_grows(spark, root, monke
     shares = [r["count"] for r in products.groupBy(F.spark_partition_id()).count().collect()]
     assert len(shares) > 20 and max(shares) < len(whole) / 10
     assert sorted(map(tuple, products.collect())) == whole
+
+
+def test_parents_of_a_relationship_are_combined_before_the_shuffle(spark):
+    from stockyard.operators.quality import check_relationship
+
+    children = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c"), (4, "c")], "id int, ref string")
+    parents = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "key string")
+    found = check_relationship(children, "ref", parents, "key")
+    assert "Aggregate" in plan_of(found) and [tuple(r) for r in found.collect()] == [(2, "b")]
