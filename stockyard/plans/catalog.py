@@ -257,7 +257,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "new_clients": lambda k: churn.new_clients(k.mart_order_sla, BEFORE, AFTER),
     "gate_rows": lambda k: quality.row_gate(_gold(k)),
     "gate_nulls": lambda k: quality.null_gate(_gold(k)),
-    "test_results": lambda k: quality.test_results(_gold(k, list(quality.TESTS))),
+    "test_results": lambda k: quality.test_results(_gold(k.staged(), list(quality.TESTS))),
     "test_unique": lambda k: quality.check_unique(k.outbound, "movement_id"),
     "test_not_null": lambda k: quality.check_not_null(k.fct_orders, "delivered_at").select("order_id", "issued_at"),
     "test_accepted_values": lambda k: quality.check_accepted_values(k.fct_movements, "notes", ["purchase", "view"]),

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from stockyard.operators import facts, marts, staging
+from stockyard.session import scratch
 from stockyard.sources import binding
 
 ORDERS_AS_OF = datetime(2001, 8, 1)
@@ -21,6 +22,15 @@ class Layers:
     def bronze(self, name: str) -> DataFrame:
         return getattr(binding, name)(self.spark, self.root)
 
+    def staged(self) -> Layers:
+        """The same layers over silver tables that are written once, for what reads many models in full."""
+        lake = Layers(self.spark, self.root)
+        for name in ("stg_orders", "stg_inventory", "stg_movements"):
+            path = scratch(self.spark, name)
+            getattr(self, name).write.parquet(path)
+            setattr(lake, name, self.spark.read.parquet(path))
+        return lake
+
     @cached_property
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self.bronze("orders"))

@@ -100,3 +100,20 @@ def test_parents_of_a_relationship_are_combined_before_the_shuffle(spark):
     parents = spark.createDataFrame([("a",), ("a",), (None,), ("c",)], "key string")
     found = check_relationship(children, "ref", parents, "key")
     assert "Aggregate" in plan_of(found) and [tuple(r) for r in found.collect()] == [(2, "b")]
+
+
+def test_declarative_tests_build_silver_once(spark, root, monkeypatch):
+    from stockyard.operators import quality
+    from stockyard.plans import catalog
+    from stockyard.plans.layers import Layers
+
+    built = []
+    for name in ("orders", "inventory", "movements"):
+        whole = getattr(binding, name)
+        monkeypatch.setattr(binding, name, lambda *a, name=name, whole=whole: built.append(name) or whole(*a))
+    found = catalog.QUERIES["test_results"](Layers(spark, root))
+    assert sorted(built) == ["inventory", "movements", "orders"]
+    assert not {"l_quantity", "o_orderpriority", "props"}.intersection(re.findall(r"\w+", plan_of(found.where("model like '%inventory%'"))))
+    lake = Layers(spark, root)
+    plain = quality.test_results({m: getattr(lake, m) for m in quality.TESTS})
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
