@@ -2,15 +2,16 @@
 
 1. *Sparse suffixes.* A text is a sequence of words. Each window of ``LENGTH`` = 50 words selects the least hash of its
    ``SEED`` = 10-word runs (a minimiser); only the suffixes at these places are kept, about one for twenty words. Equal
-   windows select the same place, so a repeated passage of 50 words has a kept suffix in every copy.
+   windows select the same place, so a repeated passage of 50 words has a kept suffix in every copy. Of a text's suffixes
+   with the same ten words the first stands for all: a word pair repeated a thousand times is one row.
 2. *Sort and compare neighbours.* The suffixes are sorted by their leading words (as hashes, so the order of words is
    that of their hashes) over range partitions that may cut through equal ones, as document and place complete the
    order. A suffix stays if its ten words equal those of the one before or after it, or if it stands at the edge of a
    partition.
 3. *Extend left and right.* A kept suffix speaks for the windows that selected it: up to 40 words to its left, and the
    50 words from the last of them on. Equal extents are one class, whose first document owns it; all windows of an
-   extent owned by another document repeat. What is left, one document's extents per class, is compared window by
-   window, again by the first owner. Owners are found by sorting: extents, then windows, stand by name and document
+   extent owned by another document repeat. A text has one row per class, with all its places. What is left, one
+   document's row per class, is compared window by window, again by the first owner. Owners are found by sorting: extents, then windows, stand by name and document
    over range partitions, and the first document of a name is carried along them, from one partition to the next. So a
    passage that a third of all documents share is no hot group, and nothing is joined by name.
 
@@ -48,6 +49,17 @@ def minimisers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return chosen[first], first, np.append(first[1:], len(chosen)) - 1
 
 
+def grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts rows of equal keys together, as they stood, and where groups begin in it.
+
+    Only the first key is sorted. A group whose first key is another's too may come in parts; groups never mix.
+    """
+    order = np.argsort(keys[0], kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    return order, np.flatnonzero(new)
+
+
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), F.col(text).alias("text")).where(
         "doc_id is not null and text is not null"
@@ -55,19 +67,25 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def suffixes(texts: DataFrame) -> DataFrame:
-    """head, tail, doc_id, copy, place: the kept suffixes; ``head`` holds two words, ``tail`` the hash of all ten."""
+    """head, tail, doc_id, copy, place: the kept suffixes; ``head`` holds two words, ``tail`` the hash of all ten.
+
+    A text has one row for those of the same ten words, with the first place.
+    """
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
         words = Words(b.column(2))
         parts = [minimisers(words.hash[a:z])[0] for a, z in zip(words.first[:-1], words.first[1:])]
-        take = pa.array(np.repeat(np.arange(len(parts)), [len(p) for p in parts]))
+        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         place = np.concatenate(parts)
-        at = place + np.repeat(words.first[:-1], [len(p) for p in parts])
+        at = place + words.first[row]
         half = words.hash >> np.uint64(32)
         head = half[at] << np.uint64(32) | half[at + 1] if len(at) else np.zeros(0, np.uint64)
         tail = runs(words.hash, SEED)[at] if len(at) else np.zeros(0, np.uint64)
+        order, edge = grouped(tail, head, row)
+        once = order[edge]
+        head, tail, take = head[once], tail[once], pa.array(row[once])
         return pa.RecordBatch.from_arrays(
-            [pa.array(head.view(np.int64)), pa.array(tail.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(place.astype(np.int32))],
+            [pa.array(head.view(np.int64)), pa.array(tail.view(np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(place[once].astype(np.int32))],
             ["head", "tail", "doc_id", "copy", "place"],
         )
 
@@ -114,57 +132,70 @@ class RangeHash:
 
 
 def extents(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """c1, c2 (name of the extent's words), doc_id, copy, begin, last, and the 8-byte names of its windows on end."""
+    """c1, c2 (name of the extent's words), doc_id, copy, begin, last, again, and the 8-byte names of its windows on end.
+
+    A text has one row per name. ``begin`` and ``last`` are of its first place; ``again`` says how far behind each place
+    begins, the first (0) included.
+    """
     listed = places.groupBy("doc_id", "copy").agg(F.collect_set("place").alias("places"))
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch | None:
         words = Words(b.column(2))
         lists = b.column(3)
         wanted, edge = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        rows, begins, lasts, names, windows = [], [], [], [[], []], []
+        rows, begins, lasts, names, again, times, windows = [], [], [], [[], []], [], [], []
         for i, (a, z) in enumerate(zip(words.first[:-1], words.first[1:])):
             place, first, last = minimisers(words.hash[a:z])
-            keep = np.isin(place, wanted[edge[i] : edge[i + 1]])
+            tails = runs(words.hash[a:z], SEED)[place]
+            keep = np.isin(tails, tails[np.isin(place, wanted[edge[i] : edge[i + 1]])])
             first, last = first[keep], last[keep]
             if not len(first):
                 continue
             ranges = RangeHash(words.hash[a:z])
+            named = [ranges.name(first, last + LENGTH, side) for side in (0, 1)]
+            order, group = grouped(*named)
+            once, counts = order[group], np.diff(np.append(group, len(order)))
+            again.append(first[order] - np.repeat(first[once], counts))
+            times.append(counts)
+            first, last = first[once], last[once]
             rows.append(np.full(len(first), i))
             begins.append(first)
             lasts.append(last)
             for side in (0, 1):
-                names[side].append(ranges.name(first, last + LENGTH, side))
+                names[side].append(named[side][once])
             at = np.arange(len(words.hash[a:z]) - LENGTH + 1)
             each_window = (ranges.name(at, at + LENGTH, 0) ^ (ranges.name(at, at + LENGTH, 1) << np.uint64(1))).view(np.int64)
             windows += [each_window[f : e + 1].tobytes() for f, e in zip(first, last)]
         if not rows:
             return None
         take = pa.array(np.concatenate(rows))
+        places_of = pa.ListArray.from_arrays(np.append(0, np.cumsum(np.concatenate(times))).astype(np.int32), np.concatenate(again).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [*(pa.array(np.concatenate(n).view(np.int64)) for n in names), b.column(0).take(take), b.column(1).take(take),
-             pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(lasts).astype(np.int32)), pa.array(windows, pa.binary())],
-            ["c1", "c2", "doc_id", "copy", "begin", "last", "windows"],
+             pa.array(np.concatenate(begins).astype(np.int32)), pa.array(np.concatenate(lasts).astype(np.int32)), places_of, pa.array(windows, pa.binary())],
+            ["c1", "c2", "doc_id", "copy", "begin", "last", "again", "windows"],
         )
 
     rows = texts.join(listed, ["doc_id", "copy"]).select("doc_id", "copy", "text", "places")
-    return mapped(rows, each, "c1 long, c2 long, doc_id long, copy long, begin int, last int, windows binary", text=2, limit=PART_BYTES)
+    schema = "c1 long, c2 long, doc_id long, copy long, begin int, last int, again array<int>, windows binary"
+    return mapped(rows, each, schema, text=2, limit=PART_BYTES)
 
 
 def window_names(owned: DataFrame) -> DataFrame:
-    """name, doc_id, copy, at: one row per window of each extent."""
+    """name, doc_id, copy, at, again: one row per window of each extent, at its first place."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        names = b.column(3).to_pylist()
+        names = b.column(4).to_pylist()
         counts = [len(n) // 8 for n in names]
         take = pa.array(np.repeat(np.arange(len(names)), counts))
         begin = b.column(2).to_numpy()
         at = np.concatenate([np.arange(s, s + n) for s, n in zip(begin, counts)])
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.frombuffer(b"".join(names), np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(at.astype(np.int32))],
-            ["name", "doc_id", "copy", "at"],
+            [pa.array(np.frombuffer(b"".join(names), np.int64)), b.column(0).take(take), b.column(1).take(take), pa.array(at.astype(np.int32)), b.column(3).take(take)],
+            ["name", "doc_id", "copy", "at", "again"],
         )
 
-    return mapped(owned.select("doc_id", "copy", "begin", "windows"), each, "name long, doc_id long, copy long, at int")
+    return mapped(owned.select("doc_id", "copy", "begin", "again", "windows"), each, "name long, doc_id long, copy long, at int, again array<int>")
 
 
 def after_first(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -235,9 +266,9 @@ def repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     dropped(found)
     windows = after_first(window_names(told.where("not repeats")), ["name"])
     later = settled(written(windows.where("repeats or open or edge is not null"), "later-windows", EXTENT_ROWS)).where("repeats")
-    partly = later.selectExpr("doc_id", "copy", f"struct(at as begin, at + {LENGTH} as end) as span")
-    wholly = told.where("repeats").selectExpr("doc_id", "copy", f"struct(begin as begin, last + {LENGTH} as end) as span")
-    return wholly.unionByName(partly).groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    partly = later.selectExpr("doc_id", "copy", f"transform(again, d -> struct(at + d as begin, at + d + {LENGTH} as end)) as spans")
+    wholly = told.where("repeats").selectExpr("doc_id", "copy", f"transform(again, d -> struct(begin + d as begin, last + d + {LENGTH} as end)) as spans")
+    return wholly.unionByName(partly).groupBy("doc_id", "copy").agg(F.array_sort(F.flatten(F.collect_set("spans"))).alias("spans"))
 
 
 def joined_spans(spans: DataFrame) -> DataFrame:

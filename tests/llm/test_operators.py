@@ -10,6 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from stockyard.llm import bpe, fingerprint, html, language, near_duplicates, neighbours, packing, passages, quality, toxicity
 from stockyard.llm.common import perhaps_among, written
@@ -90,6 +91,26 @@ def test_cut_passages(spark):
             assert len(words_of(got[i])) == n - repeated
 
 
+def test_a_text_has_one_row_for_what_it_repeats(spark):
+    """A word pair repeated in many texts, and a passage that texts hold several times, in equal and in other surroundings."""
+    rng = random.Random(9)
+    own = [vocabulary_text(rng, 70, 4000) for _ in range(8)]
+    passage, gap, other = (vocabulary_text(rng, n, 4000) for n in (75, 12, 9))
+    rows = [(i, f"{own[i]} " + "is on " * (300 + i)) for i in range(6)]
+    rows += [(10, f"{own[6]} {passage} {own[7]}"), (11, f"{passage} {gap} " * 5 + f"{passage} {other} " * 3), (12, f"{gap} {passage} " * 4)]
+    rows += [(13, f"{own[6]} " * 3 + f"{other} {passage} {own[7]}"), (14, "only here " * 200), (15, rows[7][1])]
+    texts = passages._texts(table(spark, rows), "doc_id", "text")
+    suffix = written(passages.suffixes(texts), "suffixes")
+    assert suffix.groupBy("doc_id", "head", "tail").count().where("count > 1").count() == 0
+    found = written(passages.extents(texts, passages.with_equal_neighbour(suffix)), "extents")
+    assert found.groupBy("doc_id", "c1", "c2").count().where("count > 1").count() == 0
+    places = {r.doc_id: (r.rows, r.places) for r in found.where("doc_id < 6").groupBy("doc_id").agg(F.expr("count(*) as rows"), F.expr("sum(size(again)) as places")).collect()}
+    assert len(places) == 6 and all(n <= 30 < 250 <= k for n, k in places.values())
+    got = {r.doc_id: (r.n_words, r.n_repeated) for r in passages.report(table(spark, rows)).collect()}
+    assert got == brute_repeats(rows)
+    assert got[11][1] > 8 * 50 and got[14][1] == 0
+
+
 @pytest.mark.parametrize("partitions", [1, 3, 16])
 def test_first_documents_across_partitions(spark, partitions):
     """Keys that fill several partitions, documents that have a key often, and repeated rows."""
